@@ -18,11 +18,12 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.json_text import close_of, file_text, outer_objects
 from sluice.session import scratch_path
+from sluice.sources.paths import FILE_PATH, matching, split_paths
 
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 BROADCAST_SPLITS = 200_000
@@ -38,7 +39,12 @@ WHOLE, OPEN, INNER, CLOSE, ERROR = "whole", "open", "inner", "close", "error"
 
 
 def scan_json_objects(
-    spark: SparkSession, paths: str | list[str], *, whole_file_bytes: int = WHOLE_FILE_BYTES, **options: str
+    spark: SparkSession,
+    paths: str | list[str],
+    *,
+    path_filters: list[str] | None = None,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    **options: str,
 ) -> DataFrame:
     """The outermost JSON objects of ``paths`` as ``(path, seq, json)``.
 
@@ -47,16 +53,18 @@ def scan_json_objects(
     are decoded when this is called, into a table in the scratch folder.
     """
     options = {"ignoreMissingFiles": "true", **options}
-    files = spark.read.format("binaryFile").options(**options).load(paths)
+    paths = split_paths(paths)
+    files = spark.read.format("binaryFile").options(**options).load(paths).where(matching(path_filters))
     small = (
         files.where(F.col("length") <= whole_file_bytes)
-        .select(F.col("_metadata.file_path").alias("path"), "content")
+        .select(F.col(FILE_PATH).alias("path"), "content")
         .mapInArrow(_decode_files, RECORD_SCHEMA)
     )
     largest = files.agg(F.max("length")).first()[0]
     if largest is None or largest <= whole_file_bytes:
         return small
-    return small.unionByName(_scan_large(spark, paths, whole_file_bytes, options))
+    large = matching(path_filters) & (F.col("_metadata.file_size") > whole_file_bytes)
+    return small.unionByName(_scan_large(spark, paths, large, options))
 
 
 def _batches(rows: Iterable[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -94,13 +102,13 @@ def _decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 _SPLIT = ["path", "size", "split", "split_length"]
 
 
-def _scan_large(spark: SparkSession, paths: str | list[str], above: int, options: dict[str, str]) -> DataFrame:
+def _scan_large(spark: SparkSession, paths: list[str], wanted: Column, options: dict[str, str]) -> DataFrame:
     meta = F.col("_metadata")
     pieces = (
         spark.read.options(**options)
         .option("lineSep", "}")
         .text(paths)
-        .where(meta.file_size > above)
+        .where(wanted)
         .select(
             meta.file_path.alias("path"),
             meta.file_size.alias("size"),
