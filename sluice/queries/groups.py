@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.grouping import KEY, group_agg, group_apply, with_group_key
+from sluice.operators.grouping import KEY, group_agg, group_apply, group_frames, with_group_key
 from sluice.operators.ordering import groups_in_key_order, with_ordinals
 from sluice.plans.stages import Stage, run_stages
 from sluice.queries.common import Query, row_count, table, total_cents, whole_number
@@ -58,21 +58,39 @@ def _user_totals(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _user_rows(key: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A total for each user, and a second row for those with a high value."""
-    total = _user_totals(pd.concat(batches, ignore_index=True))
-    yield total.assign(kind="total", amount=total["cents"])[[KEY, "kind", "n", "amount"]]
-    high = total[total["top"] > 20000]
-    if len(high):
-        yield high.assign(kind="top", amount=high["top"])[[KEY, "kind", "n", "amount"]]
+    n = cents = top = 0
+    for rows in batches:
+        n, cents, top = n + rows["n"].sum(), cents + rows["cents"].sum(), max(top, rows["top"].max())
+    found = {"total": cents} if top <= 20000 else {"total": cents, "top": top}
+    yield pd.DataFrame({"kind": list(found), "n": n, "amount": list(found.values())})
 
 
-def grouped_module(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A module that emits one or two rows for each group, over partly combined groups."""
+def _user_frames(rows: pd.DataFrame) -> pd.DataFrame:
+    """The same for many users at once."""
+    totals = _user_totals(rows)
+    high = totals[totals["top"] > 20000]
+    found = pd.concat([totals.assign(kind="total", amount=totals["cents"]), high.assign(kind="top", amount=high["top"])])
+    return found[[KEY, "kind", "n", "amount"]]
+
+
+USER_SCHEMA = f"{KEY} string, kind string, n bigint, amount bigint"
+
+
+def _user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = whole_number(F.col("value"))
-    events = with_group_key(table(spark, sf_dir, "events"), ["user_id"]).select(
+    return with_group_key(table(spark, sf_dir, "events"), ["user_id"]).select(
         KEY, F.lit(1).cast("bigint").alias("n"), cents.alias("cents"), cents.alias("top")
     )
-    schema = f"{KEY} string, kind string, n bigint, amount bigint"
-    return group_apply(events, _user_rows, schema, partial=_user_totals)
+
+
+def grouped_module(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A module that emits one or two rows for each group, over partly combined groups."""
+    return group_apply(_user_events(spark, sf_dir), _user_rows, USER_SCHEMA, partial=_user_totals)
+
+
+def grouped_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same module, called for many groups at once."""
+    return group_frames(_user_events(spark, sf_dir), _user_frames, USER_SCHEMA, partial=_user_totals)
 
 
 def _sum_quantity(_: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -152,6 +170,15 @@ def groups_sorted_in_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _K = "json_extract_string(props, '$.k')"
 
+_USERS_SQL = """
+    WITH users AS (
+        SELECT '{"user_id":' || user_id || '}' AS group_key, count(*) AS n,
+               sum(round(value * 100)::BIGINT)::BIGINT AS cents, max(round(value * 100)::BIGINT) AS top
+        FROM events GROUP BY user_id)
+    SELECT group_key, 'total' AS kind, n, cents AS amount FROM users
+    UNION ALL SELECT group_key, 'top', n, top FROM users WHERE top > 20000
+"""
+
 QUERIES = {
     "group_key": Query(
         group_key,
@@ -188,17 +215,8 @@ QUERIES = {
         FROM orders GROUP BY 1
         """,
     ),
-    "grouped_module": Query(
-        grouped_module,
-        """
-        WITH users AS (
-            SELECT '{"user_id":' || user_id || '}' AS group_key, count(*) AS n,
-                   sum(round(value * 100)::BIGINT)::BIGINT AS cents, max(round(value * 100)::BIGINT) AS top
-            FROM events GROUP BY user_id)
-        SELECT group_key, 'total' AS kind, n, cents AS amount FROM users
-        UNION ALL SELECT group_key, 'top', n, top FROM users WHERE top > 20000
-        """,
-    ),
+    "grouped_module": Query(grouped_module, _USERS_SQL),
+    "grouped_frames": Query(grouped_frames, _USERS_SQL),
     "grouped_combiner": Query(
         grouped_combiner,
         """

@@ -179,7 +179,8 @@ def file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     where = scratch_path(spark, "numbered")
     write_texts(texts.select("value"), where, rows_per_file=1)
-    found = with_file_index(typed(scan_json_objects(spark, where), "o_orderkey bigint"))
+    files = list_files(spark, where)
+    found = with_file_index(scan_json_objects(spark, where), files)
     per_file = found.groupBy("file_index").agg(
         F.min("seq").alias("first_seq"),
         (F.max("seq") + 1 - F.count(F.lit(1))).alias("gaps"),
@@ -190,7 +191,7 @@ def file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("file_index").alias("last_index"),
         F.sum("records").alias("records"),
         F.sum(F.col("first_seq") + F.col("gaps")).alias("out_of_place"),
-        F.lit(list_files(spark, where).count()).alias("files"),
+        F.lit(files.count()).alias("files"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.records import file_extension
-from sluice.sources.json_objects import scan_json_objects
+from sluice.sources.json_objects import WHOLE_FILE_BYTES, objects_of
 from sluice.sources.paths import FILE_PATH, matching, split_paths
 
 BINARY_SCHEMA = "path string, fileName string, content binary"
@@ -20,18 +20,17 @@ def scan_binary(
     spark: SparkSession, paths: str | list[str], *, path_filters: list[str] | None = None, **options: str
 ) -> DataFrame:
     """One record per file: its name and all its bytes."""
-    return _whole_files(spark, paths, options, matching(path_filters))
+    options = {"ignoreMissingFiles": "true", **options}
+    return _whole(_listed(spark, paths, options), matching(path_filters))
 
 
-def _whole_files(spark: SparkSession, paths: str | list[str], options: dict[str, str], wanted: Column) -> DataFrame:
+def _listed(spark: SparkSession, paths: str | list[str], options: dict[str, str]) -> DataFrame:
+    return spark.read.format("binaryFile").options(**options).load(split_paths(paths))
+
+
+def _whole(files: DataFrame, wanted: Column) -> DataFrame:
     # A filter on the metadata column is applied to the listing, so other files stay closed.
-    return (
-        spark.read.format("binaryFile")
-        .options(**{"ignoreMissingFiles": "true", **options})
-        .load(split_paths(paths))
-        .where(wanted)
-        .select(F.col(FILE_PATH).alias("path"), F.col("path").alias("fileName"), "content")
-    )
+    return files.where(wanted).select(F.col(FILE_PATH).alias("path"), F.col("path").alias("fileName"), "content")
 
 
 @dataclass(frozen=True)
@@ -51,7 +50,8 @@ def scan_parsed(
     **options: str,
 ) -> DataFrame:
     """The rows that ``parser`` makes of each file, after the column ``path``."""
-    return _parsed(_whole_files(spark, paths, options, matching(path_filters)), parser)
+    options = {"ignoreMissingFiles": "true", **options}
+    return _parsed(_whole(_listed(spark, paths, options), matching(path_filters)), parser)
 
 
 def _parsed(files: DataFrame, parser: Parser) -> DataFrame:
@@ -84,17 +84,19 @@ def scan_files(
     ``content`` for whole files, and the columns of ``parsers`` for the files they read.
     """
     parsers = parsers or {}
-    extension = file_extension(F.col(FILE_PATH))
+    options = {"ignoreMissingFiles": "true", **options}
+    files = _listed(spark, paths, options)
     allowed = matching(path_filters)
+    extension = file_extension(F.col(FILE_PATH))
     known = sorted({*parsers, "JSON"})
 
-    other = _whole_files(spark, paths, options, allowed & (extension.isNull() | ~extension.isin(known)))
-    records = other.withColumn("extension", file_extension(F.col("path")))
+    records = _whole(files, allowed & (extension.isNull() | ~extension.isin(known)))
+    records = records.withColumn("extension", file_extension(F.col("path")))
     for name in known:
+        wanted = allowed & (extension == name)
         if name in parsers:
-            found = _parsed(_whole_files(spark, paths, options, allowed & (extension == name)), parsers[name])
+            found = _parsed(_whole(files, wanted), parsers[name])
         else:
-            json_only = [*(path_filters or []), r"(?i)\.json$"]
-            found = scan_json_objects(spark, paths, path_filters=json_only, **options)
+            found = objects_of(files, split_paths(paths), wanted, WHOLE_FILE_BYTES, options)
         records = records.unionByName(found.withColumn("extension", F.lit(name)), allowMissingColumns=True)
     return records

@@ -54,17 +54,24 @@ def scan_json_objects(
     """
     options = {"ignoreMissingFiles": "true", **options}
     paths = split_paths(paths)
-    files = spark.read.format("binaryFile").options(**options).load(paths).where(matching(path_filters))
+    files = spark.read.format("binaryFile").options(**options).load(paths)
+    return objects_of(files, paths, matching(path_filters), whole_file_bytes, options)
+
+
+def objects_of(
+    files: DataFrame, paths: list[str], wanted: Column, whole_file_bytes: int, options: dict[str, str]
+) -> DataFrame:
+    """As :func:`scan_json_objects`, for the ``wanted`` ones of the listed ``files``."""
     small = (
-        files.where(F.col("length") <= whole_file_bytes)
+        files.where(wanted & (F.col("length") <= whole_file_bytes))
         .select(F.col(FILE_PATH).alias("path"), "content")
         .mapInArrow(_decode_files, RECORD_SCHEMA)
     )
-    largest = files.agg(F.max("length")).first()[0]
+    largest = files.where(wanted).agg(F.max("length")).first()[0]
     if largest is None or largest <= whole_file_bytes:
         return small
-    large = matching(path_filters) & (F.col("_metadata.file_size") > whole_file_bytes)
-    return small.unionByName(_scan_large(spark, paths, large, options))
+    large = wanted & (F.col("_metadata.file_size") > whole_file_bytes)
+    return small.unionByName(_scan_large(files.sparkSession, paths, large, options))
 
 
 def _batches(rows: Iterable[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:

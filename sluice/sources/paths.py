@@ -14,6 +14,8 @@ from sluice.operators.ordering import with_ordinals
 # The scans' own file path; URL-encoded. Filters on it are applied while files are listed.
 FILE_PATH = "_metadata.file_path"
 
+BROADCAST_FILES = 200_000
+
 # Commas inside braces belong to a glob.
 _PATH = re.compile(r"(?:\{[^}]*\}|[^,{])+")
 
@@ -44,19 +46,22 @@ def matching(path_filters: list[str] | None) -> Column:
 def list_files(
     spark: SparkSession, paths: str | list[str], *, path_filters: list[str] | None = None, **options: str
 ) -> DataFrame:
-    """``(path, length)`` of the files of ``paths``, none of them opened.
+    """``(path, fileName, length)`` of the files of ``paths``, none of them opened.
 
     Directories are listed one level deep unless ``recursiveFileLookup`` is set; names that
-    begin with ``_`` or ``.`` are left out.
+    begin with ``_`` or ``.`` are left out. ``path`` is what the scans call a file,
+    ``fileName`` is the same without URL encoding.
     """
     files = spark.read.format("binaryFile").options(**options).load(split_paths(paths))
-    return files.where(matching(path_filters)).select("path", "length")
+    return files.where(matching(path_filters)).select(
+        F.col(FILE_PATH).alias("path"), F.col("path").alias("fileName"), "length"
+    )
 
 
 def first_files(spark: SparkSession, paths: str | list[str], count: int, **options: str) -> list[str]:
     """The first ``count`` files in path order, for trial runs over a bounded input."""
-    listed = list_files(spark, paths, **options).select("path").orderBy("path").limit(count)
-    return [literal(row.path) for row in listed.collect()]
+    listed = list_files(spark, paths, **options).select("fileName").orderBy("fileName").limit(count)
+    return [literal(row.fileName) for row in listed.collect()]
 
 
 def or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: str, missing_ok: bool) -> DataFrame:
@@ -69,7 +74,9 @@ def or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: str, mi
         raise
 
 
-def with_file_index(records: DataFrame, column: str = "file_index") -> DataFrame:
-    """Adds the ordinal of each record's file, counted from 0 in path order."""
-    files = with_ordinals(records.select("path").distinct(), ["path"], column)
-    return records.join(files.withColumn(column, F.col(column) - 1), "path")
+def with_file_index(records: DataFrame, files: DataFrame, column: str = "file_index") -> DataFrame:
+    """Adds the ordinal of each record's file among the listed ``files``, from 0 in path order."""
+    numbered = with_ordinals(files.select("path").distinct(), ["path"], column)
+    numbered = numbered.withColumn(column, F.col(column) - 1)
+    # A file can hold any share of the records, so they stay where they are if they can.
+    return records.join(F.broadcast(numbered) if files.count() <= BROADCAST_FILES else numbered, "path")
