@@ -5,9 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_PACKAGE = Path(__file__).parent
+_shipped: set[str] = set()
+
 
 def build_session(app: str = "sluice", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings this package is tuned for; ``conf`` overrides any of them.
@@ -27,7 +32,22 @@ def build_session(app: str = "sluice", master: str | None = None, **conf: str) -
         builder = builder.master(master)
     for name, value in {**settings, **conf}.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package, as ``--py-files`` would."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="sluice-"), f"{_PACKAGE.name}.zip")
+    with zipfile.ZipFile(archive, "w") as package:
+        for module in sorted(_PACKAGE.rglob("*.py")):
+            package.write(module, module.relative_to(_PACKAGE.parent))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

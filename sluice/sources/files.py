@@ -17,11 +17,31 @@ BINARY_SCHEMA = "path string, fileName string, content binary"
 
 
 def scan_binary(
-    spark: SparkSession, paths: str | list[str], *, path_filters: list[str] | None = None, **options: str
+    spark: SparkSession,
+    paths: str | list[str],
+    *,
+    path_filters: list[str] | None = None,
+    keep_empty: bool = False,
+    **options: str,
 ) -> DataFrame:
-    """One record per file: its name and all its bytes."""
-    options = {"ignoreMissingFiles": "true", **options}
-    return _whole(_listed(spark, paths, options), matching(path_filters))
+    """One record per file: its name and all its bytes.
+
+    Spark's scans leave out files of no bytes. ``keep_empty`` adds records for those, for
+    which the names of all files pass through the driver.
+    """
+    files = _listed(spark, paths, {"ignoreMissingFiles": "true", **options})
+    found = _whole(files, matching(path_filters))
+    return found.unionByName(_empty(files).where(matching(path_filters, "path"))) if keep_empty else found
+
+
+def _empty(files: DataFrame) -> DataFrame:
+    names = [(name.replace("file:///", "file:/", 1),) for name in files.inputFiles()]
+    every = files.sparkSession.createDataFrame(names, "path string")
+    # A plus sign stands for itself in a path.
+    plain = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    return every.join(files.select(F.col(FILE_PATH).alias("path")), "path", "left_anti").select(
+        "path", plain.alias("fileName"), F.lit(b"").alias("content")
+    )
 
 
 def _listed(spark: SparkSession, paths: str | list[str], options: dict[str, str]) -> DataFrame:
@@ -50,8 +70,8 @@ def scan_parsed(
     **options: str,
 ) -> DataFrame:
     """The rows that ``parser`` makes of each file, after the column ``path``."""
-    options = {"ignoreMissingFiles": "true", **options}
-    return _parsed(_whole(_listed(spark, paths, options), matching(path_filters)), parser)
+    files = _listed(spark, paths, {"ignoreMissingFiles": "true", **options})
+    return _parsed(_whole(files, matching(path_filters)), parser)
 
 
 def _parsed(files: DataFrame, parser: Parser) -> DataFrame:
@@ -74,6 +94,7 @@ def scan_files(
     *,
     parsers: dict[str, Parser] | None = None,
     path_filters: list[str] | None = None,
+    keep_empty: bool = False,
     **options: str,
 ) -> DataFrame:
     """Every file by the scan its extension asks for.
@@ -82,16 +103,22 @@ def scan_files(
     adds or replaces extensions (in upper case). All records have ``path`` and
     ``extension``; ``seq`` and ``json`` are set for JSON objects, ``fileName`` and
     ``content`` for whole files, and the columns of ``parsers`` for the files they read.
+    ``keep_empty`` is that of :func:`scan_binary`; empty files have no JSON objects.
     """
     parsers = parsers or {}
     options = {"ignoreMissingFiles": "true", **options}
     files = _listed(spark, paths, options)
     allowed = matching(path_filters)
-    extension = file_extension(F.col(FILE_PATH))
     known = sorted({*parsers, "JSON"})
 
-    records = _whole(files, allowed & (extension.isNull() | ~extension.isin(known)))
+    def other(path: str) -> Column:
+        return F.coalesce(~file_extension(F.col(path)).isin(known), F.lit(True))
+
+    records = _whole(files, allowed & other(FILE_PATH))
+    if keep_empty:
+        records = records.unionByName(_empty(files).where(matching(path_filters, "path") & other("path")))
     records = records.withColumn("extension", file_extension(F.col("path")))
+    extension = file_extension(F.col(FILE_PATH))
     for name in known:
         wanted = allowed & (extension == name)
         if name in parsers:

@@ -13,10 +13,12 @@ one record per line, or one document per file, so the objects are found in Pytho
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -139,8 +141,7 @@ def _scan_large(spark: SparkSession, paths: list[str], wanted: Column, options:
             .sortWithinPartitions(*_SPLIT, "nth")
         )
     decoded_at = scratch_path(spark, "json-stretches")
-    columns = [*_SPLIT, "in_string", "braces", "arrays", "cut_short", "piece"]
-    placed.select(*columns).mapInArrow(
+    placed.select(*_BEGUN_SPLIT, "piece").mapInArrow(
         _decode_splits, "path string, split bigint, seq bigint, part string, json string"
     ).write.parquet(decoded_at)
     decoded = spark.read.parquet(decoded_at)
@@ -213,19 +214,24 @@ def _split_moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _runs(batch: pa.RecordBatch, columns: list[str] = _SPLIT) -> Iterator[tuple[tuple, int, int]]:
     """Stretches of neighbouring rows of a batch that belong to the same split."""
-    keys = list(zip(*(batch[name].to_pylist() for name in columns), strict=True))
-    begin = 0
-    for at in range(1, len(keys) + 1):
-        if at == len(keys) or keys[at] != keys[begin]:
-            yield keys[begin], begin, at
-            begin = at
+    if not batch.num_rows:
+        return
+    path = batch["path"].dictionary_encode().indices.to_numpy()
+    split = batch["split"].to_numpy()
+    changes = np.flatnonzero((path[1:] != path[:-1]) | (split[1:] != split[:-1])) + 1
+    edges = [0, *changes.tolist(), batch.num_rows]
+    for begin, end in itertools.pairwise(edges):
+        yield tuple(batch[name][begin].as_py() for name in columns), begin, end
+
+
+_BEGUN_SPLIT = ["path", "split", "in_string", "braces", "arrays", "cut_short"]
 
 
 def _decode_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def splits():
         held, current = [], None
         for batch in batches:
-            for key, begin, end in _runs(batch, [*_SPLIT, "in_string", "braces", "arrays", "cut_short"]):
+            for key, begin, end in _runs(batch, _BEGUN_SPLIT):
                 if key != current and held:
                     yield current, held
                     held = []
@@ -235,7 +241,7 @@ def _decode_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield current, held
 
     def rows():
-        for (path, _, split, _, in_string, braces, arrays, cut_short), pieces in splits():
+        for (path, split, in_string, braces, arrays, cut_short), pieces in splits():
             if in_string is None:
                 raise RuntimeError(f"{path}: the input splits changed between the two passes; scan again")
             data = b"}".join(pieces) + (b"" if cut_short else b"}")

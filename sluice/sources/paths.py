@@ -35,11 +35,11 @@ def literal(path: str) -> str:
     return _GLOB_CHARACTER.sub(r"\\\1", path)
 
 
-def matching(path_filters: list[str] | None) -> Column:
+def matching(path_filters: list[str] | None, path: str = FILE_PATH) -> Column:
     """Every one of the regular expressions is found in the file's path."""
     wanted = F.lit(True)
     for pattern in path_filters or []:
-        wanted = wanted & F.col(FILE_PATH).rlike(pattern)
+        wanted = wanted & F.col(path).rlike(pattern)
     return wanted
 
 

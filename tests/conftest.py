@@ -3,7 +3,10 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
+
+# Python workers import the test modules from here.
+os.environ["PYTHONPATH"] = os.path.dirname(os.path.abspath(__file__))
 
 from sluice.session import build_session  # noqa: E402
 
