@@ -33,7 +33,11 @@ def group_key(*paths: str) -> Column:
     The declared column types decide the text, so ``1``, ``1.0`` and ``"1"`` are told
     apart by type. For records kept as JSON text use :func:`json_group_key`.
     """
-    fields = [F.col(path).alias(path) for path in paths]
+    return key_of(*[F.col(path).alias(path) for path in paths])
+
+
+def key_of(*fields: Column) -> Column:
+    """The group key of named columns."""
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "true"})
 
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.records import group_key, json_group_key
+from sluice.functions.records import group_key, json_group_key, key_of
 
 KEY = "group_key"
 
@@ -39,11 +39,24 @@ def with_group_key(
 
 
 def group_agg(df: DataFrame, *aggregates: Column, partitions: int | None = None) -> DataFrame:
-    """Native aggregates per group."""
+    """Native aggregates per group of a frame that has the group key."""
     result = df.groupBy(KEY).agg(*aggregates)
     return result.repartition(partitions, KEY) if partitions else result
 
 
+def group_fields(df: DataFrame, fields: list[str], *aggregates: Column) -> DataFrame:
+    """As :func:`group_agg` after :func:`with_group_key`, for typed columns.
+
+    Rows are grouped by the columns themselves and the key is written once per group, not
+    once per row. Equal values have the same key, for which 0.0 and -0.0 count as equal.
+    """
+    places = [f"_key_{place}" for place in range(len(fields))]
+    groups = df.groupBy(*[F.col(name).alias(place) for name, place in zip(fields, places, strict=True)])
+    result = groups.agg(*aggregates)
+    named = [F.col(place).alias(name) for name, place in zip(fields, places, strict=True)]
+    return result.select(key_of(*named).alias(KEY), *[name for name in result.columns if name not in places])
+
+
 def group_apply(
     df: DataFrame,
     module: GroupModule,
@@ -112,6 +125,8 @@ def _whole_groups(finish: Partial, partial: Partial) -> Callable[[Iterator[pd.Da
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
         for rows in batches:
+            if rows.empty:
+                continue
             rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
             last = int((rows[KEY] == rows[KEY].iloc[-1]).argmax())
             if last:

@@ -27,8 +27,8 @@ def with_ordinals(df: DataFrame, by: list[str], column: str = "ordinal") -> Data
     placed = written.select(
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place")
     )
-    # Part files are named by the number of the range.
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # Part files are named by the number of the range, of at least five digits.
+    before = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_file")
         .agg(F.count(F.lit(1)).alias("_rows"))

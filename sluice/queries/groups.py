@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.grouping import KEY, group_agg, group_apply, group_frames, with_group_key
+from sluice.operators.grouping import KEY, group_agg, group_apply, group_fields, group_frames, with_group_key
 from sluice.operators.ordering import groups_in_key_order, with_ordinals
 from sluice.plans.stages import Stage, run_stages
 from sluice.queries.common import Query, row_count, table, total_cents, whole_number
@@ -17,7 +17,15 @@ from sluice.queries.common import Query, row_count, table, total_cents, whole_nu
 def group_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     quantity = F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")
-    return group_agg(with_group_key(lines, ["l_returnflag", "l_linestatus", "l_linenumber"]), row_count(), quantity)
+    return group_fields(lines, ["l_returnflag", "l_linestatus", "l_linenumber"], row_count(), quantity)
+
+
+def group_key_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with nested fields and fields that are not always there."""
+    k = F.from_json("props", "k int")
+    events = table(spark, sf_dir, "events").select("event_type", F.when(k["k"] > 50, k).alias("props"), "value")
+    cents = F.sum(whole_number(F.col("value"))).alias("cents")
+    return group_fields(events, ["props.k", "event_type"], row_count(), cents)
 
 
 def group_key_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +154,7 @@ def post_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ordered_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every group's place in the byte order of the keys."""
-    groups = group_agg(with_group_key(table(spark, sf_dir, "orders"), ["o_custkey"]), row_count())
+    groups = group_fields(table(spark, sf_dir, "orders"), ["o_custkey"], row_count())
     return with_ordinals(groups, [KEY], "place")
 
 
@@ -162,7 +170,7 @@ def _out_of_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def groups_sorted_in_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups arrive in key order in every partition."""
-    groups = group_agg(with_group_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_returnflag"]), row_count())
+    groups = group_fields(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_returnflag"], row_count())
     ordered = groups_in_key_order(groups, partitions=8)
     seen = ordered.select(KEY).mapInPandas(_out_of_order, "records bigint, out_of_order bigint")
     return seen.agg(F.sum("records").alias("records"), F.sum("out_of_order").alias("out_of_order"))
@@ -189,6 +197,15 @@ QUERIES = {
         FROM lineitem GROUP BY 1
         """,
     ),
+    "group_key_nested": Query(
+        group_key_nested,
+        f"""
+        SELECT CASE WHEN {_K}::INTEGER > 50 THEN '{{"props.k":' || {_K} || ',"event_type":"' || event_type || '"}}'
+                    ELSE '{{"event_type":"' || event_type || '"}}' END AS group_key,
+               count(*) AS n, sum(round(value * 100)::BIGINT)::BIGINT AS cents
+        FROM events GROUP BY 1
+        """,
+    ),
     "group_key_missing": Query(
         group_key_missing,
         f"""

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators import grouping
-from sluice.operators.grouping import KEY, group_agg, group_apply, group_frames, with_group_key
+from sluice.operators.grouping import KEY, group_agg, group_apply, group_fields, group_frames, with_group_key
 from sluice.operators.ordering import groups_in_key_order, with_ordinals
 from sluice.plans.stages import Stage, run_stages
 
@@ -113,6 +113,14 @@ def test_unsafe_combiners_are_refused(spark, skewed):
         with_group_key(frame, [])
 
 
+def test_grouping_by_fields_gives_the_same_keys(spark):
+    rows = [(i % 3 or None, (i % 2,), f"{i % 4}", float(i % 5)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "a int, s struct<b: int>, t string, d double")
+    fields = ["t", "s.b", "a", "d"]
+    by_text = group_agg(with_group_key(frame, fields), F.count(F.lit(1)).alias("v"))
+    assert pairs(group_fields(frame, fields, F.count(F.lit(1)).alias("v"))) == pairs(by_text)
+
+
 def test_given_key_wins(spark):
     frame = spark.createDataFrame([(1, None), (1, '{"x":1}'), (2, None)], "a int, given string")
     keyed = with_group_key(frame, ["a"], given="given")
