@@ -6,11 +6,11 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sluice.functions.records import NAME_PATTERN
-from sluice.operators.grouping import with_group_key
+from sluice.operators.grouping import group_agg, group_fields, with_group_key
 from sluice.operators.modules import passthrough
 from sluice.plans.inputs import is_on
 
@@ -22,9 +22,10 @@ class Stage:
     """A step from frame to frame; without ``fn`` it passes records on.
 
     A stage with ``grouping_fields``, or with ``given_key`` (a column in which the stage
-    before may set the key), gets its input with the column ``group_key``; its ``fn`` then
-    uses ``group_agg`` or ``group_apply``. ``key_json`` names the column of JSON text that
-    the fields are taken from, where records are not typed.
+    before may set the key), groups: ``aggregates()`` gives the native aggregates of each
+    group, or ``fn`` gets its input with the column ``group_key`` and uses ``group_apply``,
+    ``group_frames`` or ``group_agg``. ``key_json`` names the column of JSON text that the
+    fields are taken from, where records are not typed.
     """
 
     name: str
@@ -33,6 +34,7 @@ class Stage:
     grouping_fields: tuple[str, ...] = ()
     given_key: str | None = None
     key_json: str | None = None
+    aggregates: Callable[[], list[Column]] | None = None
     dependencies: tuple[str, ...] = ()
 
     @property
@@ -40,8 +42,13 @@ class Stage:
         return bool(self.grouping_fields or self.given_key)
 
     def apply(self, df: DataFrame) -> DataFrame:
+        fields = list(self.grouping_fields)
+        if self.aggregates and not self.given_key and not self.key_json:
+            return group_fields(df, fields, *self.aggregates())
         if self.grouped:
-            df = with_group_key(df, list(self.grouping_fields), given=self.given_key, json=self.key_json)
+            df = with_group_key(df, fields, given=self.given_key, json=self.key_json)
+        if self.aggregates:
+            return group_agg(df, *self.aggregates())
         return (self.fn or passthrough)(df)
 
 
@@ -55,6 +62,8 @@ def stage_errors(stages: list[Stage]) -> list[str]:
             continue
         if not re.search(NAME_PATTERN, stage.name) or stage.name.endswith("\n"):
             errors.append(f"stage name {stage.name!r} has other characters than letters, digits and _")
+        if stage.aggregates and not stage.grouped:
+            errors.append(f"stage {stage.name} has aggregates, but nothing to group by")
         for dependency in stage.dependencies:
             if dependency not in ("", PREVIOUS) and dependency not in names[:place]:
                 errors.append(f"stage {stage.name} depends on {dependency}, which is not a stage before it")

@@ -55,7 +55,7 @@ def explicit_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.when(F.col("o_totalprice") >= 400000, '{"size":"large"}')
     stages = [
         Stage("set_key", lambda df: df.withColumn("set_key", key)),
-        Stage("count", lambda df: group_agg(df, row_count()), grouping_fields=("o_orderstatus",), given_key="set_key"),
+        Stage("count", aggregates=lambda: [row_count()], grouping_fields=("o_orderstatus",), given_key="set_key"),
     ]
     return run_stages(table(spark, sf_dir, "orders"), stages)
 
@@ -147,7 +147,7 @@ def post_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     stages = [
         Stage("per_customer", per_customer, grouping_fields=("o_custkey",)),
         Stage("several", lambda df: df.where("n >= 2").withColumn("mean", F.expr("cents div n")).drop(KEY)),
-        Stage("per_n", lambda df: group_agg(df, row_count(), F.max("mean").alias("mean")), grouping_fields=("n",)),
+        Stage("per_n", aggregates=lambda: [row_count(), F.max("mean").alias("mean")], grouping_fields=("n",)),
     ]
     return run_stages(table(spark, sf_dir, "orders"), stages)
 

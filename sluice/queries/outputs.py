@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.grouping import KEY, group_agg
+from sluice.operators.grouping import KEY
 from sluice.operators.sinks import archive_raw, write_dataset, write_routed
 from sluice.plans.inputs import typed
 from sluice.plans.stages import Stage
@@ -69,7 +69,7 @@ def drop_folder_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, out, progress = ingest_folders(spark, "drop")
     stages = [
         Stage("typed", lambda df: typed(df.select("json"), EVENT_SCHEMA)),
-        Stage("totals", lambda df: group_agg(df, row_count(), total_cents("value")), grouping_fields=("user_id",)),
+        Stage("totals", aggregates=lambda: [row_count(), total_cents("value")], grouping_fields=("user_id",)),
     ]
     for drop in DROPS:
         write_dataset(events.where(drop), folder, format="json")

@@ -27,7 +27,7 @@ ORDERS_SQL = f"SELECT {', '.join(ORDER_FIELDS)} FROM orders"
 ORDERS_PER_TEXT = 2000
 
 
-def write_free_form_orders(spark: SparkSession, sf_dir: str) -> str:
+def write_free_form_orders(spark: SparkSession, sf_dir: str, texts_per_file: int) -> str:
     """Orders as arrays, as objects that follow each other, and as pretty-printed objects."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderstatus",
@@ -45,17 +45,19 @@ def write_free_form_orders(spark: SparkSession, sf_dir: str) -> str:
         .alias("value")
     )
     where = scratch_path(spark, "free-form")
-    write_texts(texts.select("value"), where, rows_per_file=8)
+    write_texts(texts.select("value"), where, rows_per_file=texts_per_file)
     return where
 
 
 def json_object_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan_json_objects(spark, write_free_form_orders(spark, sf_dir))
+    found = scan_json_objects(spark, write_free_form_orders(spark, sf_dir, texts_per_file=8))
     return typed(found, ORDER_SCHEMA).select(ORDER_FIELDS)
 
 
 def json_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan_json_objects(spark, write_free_form_orders(spark, sf_dir), whole_file_bytes=0)
+    """The scan for files that are too large for one task, which here may have any size."""
+    where = write_free_form_orders(spark, sf_dir, texts_per_file=0)
+    found = scan_json_objects(spark, where, whole_file_bytes=0)
     return typed(found, ORDER_SCHEMA).select(ORDER_FIELDS)
 
 

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.records import merge_json, merge_maps
-from sluice.operators.grouping import group_agg
 from sluice.operators.modules import BatchModule, map_batches, merge_fields, with_record_id
 from sluice.operators.sinks import write_dataset
 from sluice.plans.inputs import Input, typed
@@ -130,8 +129,8 @@ def enrichment_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_dataset(with_props.where(is_file), f"{where}/files", format="json")
     write_dataset(with_props.where(~is_file), f"{where}/rows")
 
-    def totals(df: DataFrame) -> DataFrame:
-        return group_agg(df, row_count(), F.sum("cents").alias("cents"))
+    def totals() -> list[Column]:
+        return [row_count(), F.sum("cents").alias("cents")]
 
     job = Job(
         [
@@ -141,7 +140,7 @@ def enrichment_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         [
             Stage("cents", lambda df: merge_fields(df, {"cents": whole_number(F.col("value"))})),
             Stage("paid", lambda df: df.where("cents > 500")),
-            Stage("by_kind", totals, grouping_fields=("event_type", "props.k")),
+            Stage("by_kind", aggregates=totals, grouping_fields=("event_type", "props.k")),
             Stage("often", lambda df: df.where("n > 1").withColumn("mean", F.expr("cents div n"))),
         ],
     )

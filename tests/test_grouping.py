@@ -141,11 +141,11 @@ def test_grouped_stage_anywhere(spark, place):
 def test_several_grouped_stages(spark):
     frame = spark.createDataFrame([(i % 6, i % 2) for i in range(30)], "a int, b int")
     count = F.count(F.lit(1)).alias("n")
-    chain = [
-        Stage("a", lambda df: df.groupBy(KEY, "b").agg(count).drop(KEY), grouping_fields=("a",)),
-        Stage("b", lambda df: df.groupBy(KEY).agg(F.sum("n").alias("v")), grouping_fields=("b",)),
-    ]
-    assert pairs(run_stages(frame, chain)) == [('{"b":0}', 15), ('{"b":1}', 15)]
+    first = Stage("a", lambda df: df.groupBy(KEY, "b").agg(count).drop(KEY), grouping_fields=("a",))
+    for given in (None, "given"):
+        total = Stage("b", aggregates=lambda: [F.sum("n").alias("v")], grouping_fields=("b",), given_key=given)
+        no_key = Stage("none", lambda df: df.withColumn("given", F.lit(None).cast("string")))
+        assert pairs(run_stages(frame, [first, no_key, total])) == [('{"b":0}', 15), ('{"b":1}', 15)]
 
 
 def test_keys_in_byte_order(spark):

@@ -96,6 +96,7 @@ def test_stage_checks():
     assert "other characters" in stage_errors([Stage("a\n")])[0]
     assert "not a stage before" in stage_errors([Stage("a", dependencies=("b",)), Stage("b")])[0]
     assert stage_errors([Stage("a-b", enabled=False)]) == []
+    assert "nothing to group by" in stage_errors([Stage("a", aggregates=list)])[0]
     stream = Job([Input("s", service="streaming")], [])
     assert "stream" in stream.errors()[0]
     assert "no enabled input" in Job([Input("s", service="csv", enabled=False)], []).errors()[0]
