@@ -22,6 +22,7 @@ def _refuse(name: str) -> Any:
 # Numbers stay text while scanning: only the extent of a value is wanted.
 _scan = json.JSONDecoder(parse_constant=_refuse, parse_int=str, parse_float=str).raw_decode
 _load = json.JSONDecoder(parse_constant=_refuse).decode
+_compact = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
 
 
 def file_text(content: bytes) -> tuple[str, bool]:
@@ -98,10 +99,6 @@ def close_of(text: str, pos: int, braces: int, in_string: bool) -> tuple[int, in
     return None
 
 
-def compact(value: Any) -> str:
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
-
-
 def key_text(record: str | None, paths: list[str]) -> str:
     """Compact JSON object of the fields of ``record`` that exist, in the order of ``paths``."""
     key, root = {}, _load(record) if isinstance(record, str) else None
@@ -111,7 +108,7 @@ def key_text(record: str | None, paths: list[str]) -> str:
             value = value.get(name) if isinstance(value, dict) else None
         if value is not None:
             key[path] = value
-    return compact(key)
+    return _compact(key)
 
 
 def merged_text(record: str | None, changes: str | None) -> str | None:
@@ -120,4 +117,4 @@ def merged_text(record: str | None, changes: str | None) -> str | None:
         return None
     if not isinstance(changes, str):
         return record
-    return compact({**_load(record), **_load(changes)})
+    return _compact({**_load(record), **_load(changes)})

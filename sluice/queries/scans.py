@@ -9,6 +9,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.records import valid_name
+from sluice.operators.sinks import preview
 from sluice.plans.inputs import Input, load_inputs, typed
 from sluice.queries.common import Query, json_of, row_count, table, write_texts
 from sluice.session import scratch_path
@@ -223,15 +225,55 @@ def multi_input_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_inputs(spark, inputs).select(columns)
 
 
+def missing_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An input that may be absent adds nothing."""
+    schema = "p_partkey bigint, p_brand string"
+    where = scratch_path(spark, "present")
+    table(spark, sf_dir, "part").select("p_partkey", "p_brand").write.json(where)
+    inputs = [
+        Input("present", paths=where, schema=schema, missing_ok=True),
+        Input("absent", paths=[where, f"{where}-absent"], schema=schema, missing_ok=True),
+    ]
+    return load_inputs(spark, inputs).select("p_partkey", "p_brand")
+
+
+def vanished_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are replaced between listing and reading are skipped, and the others read."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    where = scratch_path(spark, "vanished")
+    events.where("event_type != 'view'").write.json(f"{where}/kept")
+    events.where("event_type = 'view'").write.json(f"{where}/replaced")
+    found = scan_files(spark, f"{where}/*")
+    events.where("event_type = 'click'").write.mode("overwrite").json(f"{where}/replaced")
+    return typed(found.select("json"), "event_id bigint, event_type string")
+
+
 def input_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A trial run's first records of each input."""
+    """A trial run's first records of each input, files and tables."""
+    where = scratch_path(spark, "trial")
+    table(spark, sf_dir, "part").select("p_partkey", "p_name").write.json(where)
+    files = Input("part", paths=where, schema="p_partkey bigint, p_name string", order_by=("p_partkey",))
 
     def part(name: str, *columns: str, limit: int | None = None) -> Input:
         path = {"path": f"{sf_dir}/{name}.parquet"}
         return Input(name, service="parquet", options=path, order_by=columns, limit=limit)
 
-    inputs = [part("orders", "o_orderkey"), part("customer", "c_custkey", limit=30)]
-    return load_inputs(spark, inputs, trial_limit=100).select("o_orderkey", "o_custkey", "c_custkey", "c_name")
+    inputs = [part("orders", "o_orderkey"), part("customer", "c_custkey", limit=30), files]
+    columns = ["o_orderkey", "o_custkey", "c_custkey", "c_name", "p_partkey", "p_name"]
+    return load_inputs(spark, inputs, trial_limit=100).select(columns)
+
+
+def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest orders, as a person would look at them."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    rows = preview(orders.orderBy(F.desc("o_totalprice"), "o_orderkey"), 20)
+    return spark.createDataFrame(rows, orders.schema)
+
+
+def name_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part")
+    names = parts.select(F.explode(F.array("p_name", "p_brand", "p_type")).alias("name"))
+    return names.groupBy("name", valid_name(F.col("name")).alias("valid")).agg(row_count())
 
 
 QUERIES = {
@@ -293,10 +335,25 @@ QUERIES = {
     "input_limit": Query(
         input_limit,
         """
-        (SELECT o_orderkey, o_custkey, NULL::BIGINT AS c_custkey, NULL::VARCHAR AS c_name
+        (SELECT o_orderkey, o_custkey, NULL::BIGINT AS c_custkey, NULL::VARCHAR AS c_name,
+                NULL::BIGINT AS p_partkey, NULL::VARCHAR AS p_name
          FROM orders ORDER BY o_orderkey LIMIT 100)
         UNION ALL
-        (SELECT NULL, NULL, c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 30)
+        (SELECT NULL, NULL, c_custkey, c_name, NULL, NULL FROM customer ORDER BY c_custkey LIMIT 30)
+        UNION ALL
+        (SELECT NULL, NULL, NULL, NULL, p_partkey, p_name FROM part ORDER BY p_partkey LIMIT 100)
+        """,
+    ),
+    "missing_input": Query(missing_input, "SELECT p_partkey, p_brand FROM part"),
+    "vanished_files": Query(vanished_files, "SELECT event_id, event_type FROM events WHERE event_type <> 'view'"),
+    "first_rows": Query(
+        first_rows, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20"
+    ),
+    "name_check": Query(
+        name_check,
+        """
+        SELECT name, regexp_full_match(name, '[0-9a-zA-Z_]+') AS valid, count(*) AS n
+        FROM (SELECT unnest([p_name, p_brand, p_type]) AS name FROM part) GROUP BY ALL
         """,
     ),
 }

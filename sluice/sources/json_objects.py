@@ -15,11 +15,11 @@ from __future__ import annotations
 
 import itertools
 import json
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +34,17 @@ RECORD_SCHEMA = "path string, seq bigint, json string"
 
 _ROWS_PER_BATCH = 10_000
 _CHARS_PER_BATCH = 16 * 1024 * 1024
-_ESCAPED = re.compile(rb"\\.", re.DOTALL)
+_QUOTE = ord('"')
+
+
+def _steps(up: str, down: str) -> np.ndarray:
+    """What each byte does to the depth."""
+    depth = np.zeros(256, np.int8)
+    depth[ord(up)], depth[ord(down)] = 1, -1
+    return depth
+
+
+_DEPTHS = _steps("{", "}"), _steps("[", "]")
 
 # What a decoded stretch of a split is.
 WHOLE, OPEN, INNER, CLOSE, ERROR = "whole", "open", "inner", "close", "error"
@@ -195,17 +205,19 @@ def _split_moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     moves: dict[tuple, list[int]] = {}
     for batch in batches:
         for split, begin, end in _runs(batch):
-            data = b"}".join(batch["piece"].slice(begin, end - begin).to_pylist()) + b"}"
+            data = _joined(batch, begin, end)
             move = moves.setdefault(split, [0, 0, 0, 0, 0, 0])
-            between_quotes = _ESCAPED.sub(b"", data).split(b'"')
-            same, other = b"".join(between_quotes[0::2]), b"".join(between_quotes[1::2])
+            marks = np.frombuffer(data.replace(b"\\\\", b"").replace(b'\\"', b""), np.uint8)
+            quoted = np.cumsum(marks == _QUOTE, dtype=np.uint8) & 1
             # Columns 2-3 hold for a split begun outside a string, 4-5 for one begun inside.
             out, within = (2, 4) if move[1] % 2 == 0 else (4, 2)
-            for at, plain in ((out, same), (within, other)):
-                move[at] += plain.count(b"{") - plain.count(b"}")
-                move[at + 1] += plain.count(b"[") - plain.count(b"]")
+            for at, depth in enumerate(_DEPTHS):
+                change = depth[marks]
+                in_quotes = int(np.sum(change * quoted.view(np.int8), dtype=np.int64))
+                move[within + at] += in_quotes
+                move[out + at] += int(np.sum(change, dtype=np.int64)) - in_quotes
             move[0] += len(data)
-            move[1] += len(between_quotes) - 1
+            move[1] += int(quoted[-1])
     names = [*_SPLIT, "bytes", "flips", "braces_out", "arrays_out", "braces_in", "arrays_in"]
     rows = [(*split, move[0], move[1] % 2, *move[2:]) for split, move in moves.items()]
     if rows:
@@ -224,6 +236,12 @@ def _runs(batch: pa.RecordBatch, columns: list[str] = _SPLIT) -> Iterator[tuple[
         yield tuple(batch[name][begin].as_py() for name in columns), begin, end
 
 
+def _joined(batch: pa.RecordBatch, begin: int, end: int) -> bytes:
+    """The bytes that the pieces were, with a ``}`` after each."""
+    pieces = batch["piece"].slice(begin, end - begin)
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(pieces)], pieces), b"}")[0].as_py() + b"}"
+
+
 _BEGUN_SPLIT = ["path", "split", "in_string", "braces", "arrays", "cut_short"]
 
 
@@ -236,7 +254,7 @@ def _decode_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     yield current, held
                     held = []
                 current = key
-                held.extend(batch["piece"].slice(begin, end - begin).to_pylist())
+                held.append(_joined(batch, begin, end))
         if held:
             yield current, held
 
@@ -244,7 +262,7 @@ def _decode_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for (path, split, in_string, braces, arrays, cut_short), pieces in splits():
             if in_string is None:
                 raise RuntimeError(f"{path}: the input splits changed between the two passes; scan again")
-            data = b"}".join(pieces) + (b"" if cut_short else b"}")
+            data = b"".join(pieces)[: -1 if cut_short else None]
             for item, (part, text) in enumerate(_stretches(data, split, in_string == 1, braces, arrays)):
                 yield path, split, split + item, part, text
 

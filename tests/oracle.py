@@ -34,12 +34,11 @@ def normal(rows):
     return sorted((tuple(map(plain, row)) for row in rows), key=repr)
 
 
-def compare(spark, connection, query, sf_dir):
+def compare(frame, connection, sql):
     """What differs, or None."""
-    frame = query.run(spark, sf_dir)
     columns = sorted(frame.columns)
     found = normal(map(tuple, frame.select(*columns).collect()))
-    result = connection.execute(query.sql)
+    result = connection.execute(sql)
     names = [column[0] for column in result.description]
     order = [names.index(name) for name in sorted(names)]
     expected = normal(tuple(row[i] for i in order) for row in result.fetchall())
@@ -67,7 +66,7 @@ def main():
     for name in sys.argv[2:] or ALL:
         begun = time.time()
         try:
-            problem = compare(spark, connection, ALL[name], sf_dir)
+            problem = compare(ALL[name].run(spark, sf_dir), connection, ALL[name].sql)
         except Exception as error:  # noqa: BLE001
             problem = f"{type(error).__name__}: {str(error)[:2000]}"
         bad += problem is not None

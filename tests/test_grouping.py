@@ -83,6 +83,25 @@ def test_combining_holds_a_bounded_amount(monkeypatch):
     assert len(chunks) > 5 and sum(map(len, chunks)) == 500
 
 
+def test_a_hot_group_is_small_when_it_reaches_the_module(spark, skewed):
+    frame, groups = skewed
+
+    def arrived(key, batches):
+        yield pd.DataFrame({"v": [sum(map(len, batches))]})
+
+    by_key = {len(values): key for key, values in groups.items()}
+    assert max(by_key) > 2000
+    assert max(row.v for row in group_apply(frame, arrived, SCHEMA, partial=totals).collect()) <= 6
+    assert max(row.v for row in group_apply(frame, arrived, SCHEMA, partial=totals, salts=2).collect()) <= 2
+
+
+def test_aggregates_are_combined_before_the_shuffle(spark, skewed):
+    frame, _ = skewed
+    for found in (group_agg(frame, F.sum("v")), group_fields(frame, ["v"], F.count("*"))):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Exchange") < plan.index("partial_")
+
+
 def test_module_sees_the_whole_group_as_a_stream(spark, skewed, settings):
     frame, groups = skewed
     settings(spark__sql__execution__arrow__maxRecordsPerBatch="100")

@@ -1,5 +1,6 @@
 import json
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,13 +8,13 @@ from pyspark.sql import functions as F
 from sluice.operators.grouping import KEY, group_agg
 from sluice.plans.inputs import typed
 from sluice.plans.stages import Stage
-from sluice.streaming.ingest import Storage, cleaning, ingest_files, ingest_lines, read_batches
+from sluice.streaming.ingest import Storage, cleaning, ingest_files, ingest_lines, read_batches, run_folder
 
 FOLDER = "/data/set/import/ready"
 
 
-def test_cleaning():
-    archive = {"cleanSource": "archive", "sourceArchiveDir": "/keep"}
+def test_cleaning(spark):
+    archive = {"cleanSource": "archive", "sourceArchiveDir": "/keep/all_time"}
     delete = {"cleanSource": "delete"}
     assert cleaning(FOLDER, Storage(), "/keep") == delete
     assert cleaning(FOLDER, Storage({}), "/keep") == delete
@@ -21,6 +22,9 @@ def test_cleaning():
     assert cleaning(FOLDER, Storage({"enabled": False}, {}), "/keep") == delete
     assert cleaning(FOLDER, Storage({}, {}), "/keep") == archive
     assert cleaning(FOLDER, Storage({"enabled": True}, {"enabled": None}), "/keep") == archive
+    day = run_folder(spark, datetime(2024, 5, 6, 7), "yyyy/MM/dd")
+    assert cleaning(FOLDER, Storage({}, {}), "/keep", period=day)["sourceArchiveDir"] == "/keep/2024/05/06"
+    assert run_folder(spark, datetime(2024, 5, 6)) == "all_time"
     assert cleaning("/data/elsewhere", Storage({}, {}), "/keep") == {}
     with pytest.raises(ValueError):
         cleaning(FOLDER, Storage({}, {}))

@@ -20,7 +20,10 @@ def tables():
 
 @pytest.mark.parametrize("name", list(ALL))
 def test_query(spark, tables, name):
-    assert compare(spark, tables, ALL[name], SF_DIR) is None
+    frame = ALL[name].run(spark, SF_DIR)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    assert compare(frame, tables, ALL[name].sql) is None
 
 
 def test_entry(spark):
