@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.sources.files import scan_files
-from sluice.sources.json_objects import RECORD_SCHEMA
 from sluice.sources.paths import first_files, or_empty, split_paths
 from sluice.sources.tables import scan_service
 
 _log = logging.getLogger(__name__)
 
+SOURCE_COLUMNS = ("path", "seq", "extension")
+
 # A trial run looks at no more than this many files for each record that it wants.
 FILES_PER_RECORD = 5
 
@@ -26,6 +27,8 @@ class Input:
     """One input: files of ``paths``, or what the data source ``service`` gives for ``options``.
 
     ``schema`` types the records: of JSON objects for files, of the source for services.
+    Records have the columns of their scan; ``path``, ``seq`` and ``extension``, which tell
+    where a file's record comes from, only with ``source_columns``.
     ``scan(spark, paths, **options)`` replaces the choice of a scan by file extension;
     :func:`~sluice.sources.tables.scan_lines` is the one for files of one record per line.
     """
@@ -34,7 +37,9 @@ class Input:
     paths: str | list[str] | None = None
     service: str | None = None
     options: dict[str, str] = field(default_factory=dict)
+    path_filters: list[str] = field(default_factory=list)
     schema: str | None = None
+    source_columns: bool = False
     scan: Callable[..., DataFrame] | None = None
     enabled: bool | None = None
     limit: int | None = None
@@ -62,24 +67,28 @@ class Input:
 
     def _files(self, spark: SparkSession, limit: int | None) -> DataFrame:
         paths = split_paths(self.paths or [])
-        options = dict(self.options)
+        filters = {"path_filters": self.path_filters} if self.path_filters else {}
         if limit is not None:
-            paths = first_files(spark, paths, FILES_PER_RECORD * limit, **options)
+            paths = first_files(spark, paths, FILES_PER_RECORD * limit, **filters, **self.options)
         if self.scan:
-            return self.scan(spark, paths, **options)
-        records = scan_files(spark, paths, **options)
+            return self.scan(spark, paths, **filters, **self.options)
+        records = scan_files(spark, paths, **filters, **self.options)
+        if not self.source_columns:
+            records = records.drop(*SOURCE_COLUMNS)
         return typed(records, self.schema) if self.schema else records
 
     def _empty_schema(self) -> str:
-        if self.schema:
-            return self.schema
-        return f"{RECORD_SCHEMA}, extension string, fileName string, content binary"
+        source = "path string, seq bigint, extension string, " if self.source_columns else ""
+        return f"{source}{self.schema or 'json string'}, fileName string, content binary"
 
 
 def typed(records: DataFrame, schema: str, column: str = "json") -> DataFrame:
-    """Replaces JSON text by its fields; a missing field is null."""
-    others = [name for name in records.columns if name != column]
-    return records.withColumn("_record", F.from_json(column, schema)).select(*others, "_record.*")
+    """Replaces JSON text by its fields; a missing field is null. A field takes the place of
+    a column of the same name."""
+    parsed = records.withColumn("_record", F.from_json(column, schema))
+    fields = parsed.schema["_record"].dataType.names
+    others = [name for name in records.columns if name != column and name not in fields]
+    return parsed.select(*others, "_record.*")
 
 
 def is_on(enabled: bool | None) -> bool:

@@ -71,6 +71,26 @@ def test_missing_input(spark, tmp_path):
         assert load_inputs(spark, [item]).count() == 0
 
 
+def test_columns_of_file_inputs(spark, tmp_path):
+    where = str(tmp_path / "in")
+    put(tmp_path / "in" / "a.json", [{"a": 1, "path": "own"}])
+    put(tmp_path / "in" / "b.json", [{"a": 2}])
+
+    def load(**options):
+        return load_inputs(spark, [Input("x", paths=where, **options)])
+
+    assert load().columns == ["fileName", "content", "json"]
+    assert load(schema="a int").columns == ["fileName", "content", "a"]
+    full = load(schema="a int, path string", source_columns=True)
+    assert set(full.columns) == {"fileName", "content", "a", "path", "seq", "extension"}
+    assert sorted((r.a, r.path, r.seq, r.extension) for r in full.collect()) == [
+        (1, "own", 0, "JSON"),
+        (2, None, 0, "JSON"),
+    ]
+    assert [r.a for r in load(schema="a int", path_filters=["b.json$"]).collect()] == [2]
+    assert [r.a for r in load(schema="a int", path_filters=["b.json$"], limit=1).collect()] == [2]
+
+
 def test_untyped_records_of_mixed_files(spark, tmp_path):
     put(tmp_path / "in" / "a.json", [{"a": 1}, {"a": {"b": 2}}])
     (tmp_path / "in" / "b.bin").write_bytes(b"123")
