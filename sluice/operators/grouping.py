@@ -8,9 +8,10 @@ as the module's input, on salted keys if asked for, and see only what is left of
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
-from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from sluice.functions.records import group_key, json_group_key, key_of
 KEY = "group_key"
 
 _HELD_BYTES = 64 * 1024 * 1024
+_ROWS_OUT = 2000
 
 GroupModule = Callable[[str, Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 Partial = Callable[[pd.DataFrame], pd.DataFrame]
@@ -92,11 +94,38 @@ def group_apply(
     limit = max_group_rows if partial is None else None
     has_key = KEY in df.sparkSession.createDataFrame([], schema).columns
 
-    def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in module(key[0], batches if limit is None else _checked(key[0], batches, limit)):
-            yield rows.assign(**{KEY: key[0]}) if has_key else rows
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        results, keys = [], []
+        for key, rows in _groups(batches):
+            for result in module(key, rows if limit is None else _checked(key, rows, limit)):
+                results.append(result)
+                keys += [key] * len(result)
+                if len(keys) >= _ROWS_OUT or len(results) >= _ROWS_OUT:
+                    yield _with_keys(results, keys) if has_key else pd.concat(results)
+                    results, keys = [], []
+        if results:
+            yield _with_keys(results, keys) if has_key else pd.concat(results)
+
+    return _by_key(df, partial, salts, partitions).sortWithinPartitions(KEY).mapInPandas(run, schema)
+
 
-    return _by_key(df, partial, salts, partitions).groupBy(KEY).applyInPandas(run, schema)
+def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Iterator[pd.DataFrame]]]:
+    """The groups of rows in key order, each as a stream of frames."""
+
+    def stretches() -> Iterator[tuple[str, pd.DataFrame]]:
+        for rows in batches:
+            keys = rows[KEY].to_numpy()
+            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for begin, end in itertools.pairwise(edges):
+                if begin < end:
+                    yield keys[begin], rows.iloc[begin:end].reset_index(drop=True)
+
+    for key, group in itertools.groupby(stretches(), key=lambda stretch: stretch[0]):
+        yield key, (rows for _, rows in group)
+
+
+def _with_keys(results: list[pd.DataFrame], keys: list[str]) -> pd.DataFrame:
+    return pd.concat(results, ignore_index=True).assign(**{KEY: keys})
 
 
 def group_frames(
@@ -159,12 +188,14 @@ def _as_partial(df: DataFrame, module: GroupModule, schema: str) -> Partial:
     columns = df.columns
 
     def partial(rows: pd.DataFrame) -> pd.DataFrame:
-        results = [
-            result.assign(**{KEY: key})
-            for key, group in rows.groupby(KEY, sort=False)
-            for result in module(key, iter([group]))
-        ]
-        return pd.concat(results, ignore_index=True)[columns] if results else rows.iloc[:0]
+        results, keys = [], []
+        for key, group in rows.groupby(KEY, sort=False):
+            for result in module(key, iter([group])):
+                results.append(result)
+                keys += [key] * len(result)
+        if not keys:
+            return rows.iloc[:0]
+        return _with_keys(results, keys)[columns]
 
     return partial
 
@@ -198,9 +229,10 @@ def _bytes(rows: pd.DataFrame) -> int:
 def _salted(df: DataFrame, partial: Partial, salts: int) -> DataFrame:
     combine = _combined(partial)
 
-    def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from combine(rows.drop(columns="_salt") for rows in batches)
 
     # The same for every run of a task, so a repeated task sends its rows to the same place.
     salted = df.withColumn("_salt", F.spark_partition_id() % salts)
-    return salted.groupBy(KEY, "_salt").applyInPandas(run, df.schema)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return salted.repartition(tasks, KEY, "_salt").mapInPandas(run, df.schema)
