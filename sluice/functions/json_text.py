@@ -20,7 +20,7 @@ def _refuse(name: str) -> Any:
 
 
 # Numbers stay text while scanning: only the extent of a value is wanted.
-_scan = json.JSONDecoder(parse_constant=_refuse, parse_int=str, parse_float=str).raw_decode
+_scan = json.JSONDecoder(parse_constant=_refuse, parse_int=str, parse_float=str).scan_once
 _load = json.JSONDecoder(parse_constant=_refuse).decode
 _compact = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
 
@@ -67,7 +67,7 @@ def outer_objects(
             continue
         try:
             _, end = _scan(text, pos)
-        except ValueError:
+        except (ValueError, StopIteration):
             return spans, pos
         if char == "{":
             spans.append((pos, end))

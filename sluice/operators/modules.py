@@ -77,5 +77,8 @@ def merge_fields(df: DataFrame, changes: dict[str, Column]) -> DataFrame:
 
 
 def with_record_id(df: DataFrame, column: str = "record_id") -> DataFrame:
-    """Adds an id that is unique in the frame, counted up within each partition."""
+    """Adds an id that is unique in the frame, counted up within each partition.
+
+    A frame that is computed again can have other ids; write it before relying on them.
+    """
     return df.withColumn(column, F.monotonically_increasing_id())

@@ -60,7 +60,7 @@ def scan_json_objects(
 ) -> DataFrame:
     """The outermost JSON objects of ``paths`` as ``(path, seq, json)``.
 
-    ``json`` is the object's own text. ``seq`` orders the objects of one file; it counts
+    ``json`` is the object's own text, ``path`` the URL-encoded path. ``seq`` orders the objects of one file; it counts
     from 0 without gaps for files up to ``whole_file_bytes``. Larger files (UTF-8 only)
     are decoded when this is called, into a table in the scratch folder.
     """

@@ -185,3 +185,16 @@ def test_ordinals(spark):
     assert numbered.columns == ["v", "s", "nth"]
     assert sorted((row.nth, row.v) for row in numbered.collect()) == [(v + 1, v) for v in range(2000)]
     assert with_ordinals(frame.limit(0), ["v"]).collect() == []
+
+
+def test_ordinals_of_rows_that_are_mostly_equal_in_order(spark, settings):
+    values = [7] * 3000 + list(range(20))
+    rows = [(v, place, {"a": place}) for place, v in enumerate(values)]
+    frame = spark.createDataFrame(rows, "v int, place int, m map<string, int>").repartition(6)
+    settings(spark__sql__adaptive__enabled="false")
+    ordered = with_ordinals(frame, ["v"], "nth")
+    assert len(ordered.inputFiles()) > 1
+    numbered = ordered.collect()
+    assert sorted(row.nth for row in numbered) == list(range(1, 3021))
+    assert [row.v for row in sorted(numbered, key=lambda row: row.nth)] == sorted(values)
+    assert all(row.m == {"a": row.place} for row in numbered)
