@@ -45,7 +45,8 @@ def archived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     where = scratch_path(spark, "archive")
     archive_raw(events, where, F.col("ts"), "yyyy-MM-dd")
-    return spark.read.parquet(where).groupBy(F.col("period").cast("string").alias("period")).agg(row_count(), total_cents("value"))
+    period = F.col("period").cast("string").alias("period")
+    return spark.read.parquet(where).groupBy(period).agg(row_count(), total_cents("value"))
 
 
 DROPS = ["event_type in ('click', 'view', 'error')", "event_type not in ('click', 'view', 'error')"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -13,8 +14,7 @@ from sluice.functions.records import file_extension
 from sluice.sources.json_objects import WHOLE_FILE_BYTES, objects_of
 from sluice.sources.paths import FILE_PATH, matching, split_paths
 
-BINARY_SCHEMA = "path string, fileName string, content binary"
-
+_ROWS_PER_BATCH = 10_000
 
 def scan_binary(
     spark: SparkSession,
@@ -78,14 +78,17 @@ def _parsed(files: DataFrame, parser: Parser) -> DataFrame:
     schema = f"path string, {parser.schema}"
     names = files.sparkSession.createDataFrame([], schema).columns
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, name, content in batch.itertuples(index=False):
-                found = [(path, *row) for row in parser.parse(name, bytes(content))]
-                if found:
-                    yield pd.DataFrame(found, columns=names, dtype=object)
-
-    return files.mapInPandas(rows, schema)
+    def parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (
+            (path, *row)
+            for batch in batches
+            for path, name, content in batch.itertuples(index=False)
+            for row in parser.parse(name, bytes(content))
+        )
+        while found := list(itertools.islice(rows, _ROWS_PER_BATCH)):
+            yield pd.DataFrame(found, columns=names, dtype=object)
+
+    return files.mapInPandas(parsed, schema)
 
 
 def scan_files(

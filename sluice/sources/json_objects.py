@@ -16,6 +16,7 @@ from __future__ import annotations
 import itertools
 import json
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -136,24 +137,25 @@ def _scan_large(spark: SparkSession, paths: list[str], wanted: Column, options:
             F.col("value").cast("binary").alias("piece"),
         )
     )
-    starts_at = scratch_path(spark, "json-splits")
-    _split_starts(pieces).write.parquet(starts_at)
-    starts = spark.read.parquet(starts_at)
-
-    # One small row per split. Beyond the bound the pieces move to the rows instead, and are
-    # put back into file order, which the scan gives them in the other case.
-    if starts.count() <= BROADCAST_SPLITS:
-        placed = pieces.join(F.broadcast(starts), _SPLIT, "left")
-    else:
-        placed = (
-            pieces.withColumn("nth", F.monotonically_increasing_id())
-            .join(starts.hint("merge"), _SPLIT, "left")
-            .sortWithinPartitions(*_SPLIT, "nth")
-        )
     decoded_at = scratch_path(spark, "json-stretches")
-    placed.select(*_BEGUN_SPLIT, "piece").mapInArrow(
-        _decode_splits, "path string, split bigint, seq bigint, part string, json string"
-    ).write.parquet(decoded_at)
+    with _steady_splits(spark):
+        starts_at = scratch_path(spark, "json-splits")
+        _split_starts(pieces).write.parquet(starts_at)
+        starts = spark.read.parquet(starts_at)
+
+        # One small row per split. Beyond the bound the pieces move to the rows instead, and
+        # are put back into file order, which the scan gives them in the other case.
+        if starts.count() <= BROADCAST_SPLITS:
+            placed = pieces.join(F.broadcast(starts), _SPLIT, "left")
+        else:
+            placed = (
+                pieces.withColumn("nth", F.monotonically_increasing_id())
+                .join(starts.hint("merge"), _SPLIT, "left")
+                .sortWithinPartitions(*_SPLIT, "nth")
+            )
+        placed.select(*_BEGUN_SPLIT, "piece").mapInArrow(
+            _decode_splits, "path string, split bigint, seq bigint, part string, json string"
+        ).write.parquet(decoded_at)
     decoded = spark.read.parquet(decoded_at)
 
     joined = _join_fragments(decoded.where(F.col("part").isin(OPEN, INNER, CLOSE)))
@@ -170,6 +172,20 @@ def _scan_large(spark: SparkSession, paths: list[str], wanted: Column, options:
     )
 
 
+@contextmanager
+def _steady_splits(spark: SparkSession) -> Iterator[None]:
+    """Keeps the size of splits from following the number of executors."""
+    setting = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(setting, None) is not None:
+        yield
+        return
+    spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting)
+
+
 def _split_starts(pieces: DataFrame) -> DataFrame:
     """How each split begins: inside a string or not, and how deep in objects and arrays.
 

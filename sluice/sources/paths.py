@@ -62,8 +62,9 @@ def first_files(
     spark: SparkSession, paths: str | list[str], count: int, *, path_filters: list[str] | None = None, **options: str
 ) -> list[str]:
     """The first ``count`` files in path order, for trial runs over a bounded input."""
-    listed = list_files(spark, paths, path_filters=path_filters, **options).select("fileName").orderBy("fileName").limit(count)
-    return [literal(row.fileName) for row in listed.collect()]
+    listed = list_files(spark, paths, path_filters=path_filters, **options)
+    first = listed.select("fileName").orderBy("fileName").limit(count)
+    return [literal(row.fileName) for row in first.collect()]
 
 
 def or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: str, missing_ok: bool) -> DataFrame:

@@ -168,7 +168,8 @@ def test_several_grouped_stages(spark):
 
 
 def test_keys_in_byte_order(spark):
-    frame = spark.createDataFrame([(text, i) for i, text in enumerate(["é", "z", "Z", "10", "9", "a"] * 9)], f"{KEY} string, v int")
+    texts = ["é", "z", "Z", "10", "9", "a"] * 9
+    frame = spark.createDataFrame([(text, place) for place, text in enumerate(texts)], f"{KEY} string, v int")
     parts = groups_in_key_order(frame, partitions=3).select(KEY).rdd.glom().collect()
     for part in parts:
         keys = [row[0].encode() for row in part]

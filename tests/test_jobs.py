@@ -5,7 +5,6 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from sluice.operators.grouping import KEY
 from sluice.operators.sinks import archive_raw, preview, write_dataset, write_routed
 from sluice.plans.inputs import Input, load_inputs
 from sluice.plans.job import Job
@@ -95,7 +94,8 @@ def test_untyped_records_of_mixed_files(spark, tmp_path):
     put(tmp_path / "in" / "a.json", [{"a": 1}, {"a": {"b": 2}}])
     (tmp_path / "in" / "b.bin").write_bytes(b"123")
     size = Stage("size", lambda df: df.withColumn("size", F.length("content")))
-    keyed = Stage("keys", lambda df: df.groupBy(KEY).agg(F.sum("size").alias("size")), grouping_fields=("a",), key_json="json")
+    sizes = {"aggregates": lambda: [F.sum("size").alias("size")]}
+    keyed = Stage("keys", **sizes, grouping_fields=("a",), key_json="json")
     found = run_stages(load_inputs(spark, [Input("mixed", paths=str(tmp_path / "in"))]), [size, keyed])
     assert sorted(map(tuple, found.collect()), key=str) == [('{"a":1}', None), ('{"a":{"b":2}}', None), ("{}", 3)]
 

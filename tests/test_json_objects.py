@@ -4,6 +4,7 @@ import random
 import pytest
 
 from sluice.functions.json_text import file_text, outer_objects
+from sluice.sources import json_objects
 from sluice.sources.json_objects import scan_json_objects
 
 CASES = {
@@ -136,6 +137,22 @@ def test_only_large_files_are_split(spark, small_splits, folder):
     assert found == {"small.json": ['{"a":1}'], "large.json": ['{"a":2}'] * 500}
 
 
+def test_setting_for_steady_splits_is_put_back(spark, small_splits, settings, folder):
+    where = folder({"large": '{"a":2}\n' * 500})
+    assert scan_json_objects(spark, where, whole_file_bytes=0).count() == 500
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+    settings(spark__sql__files__minPartitionNum="3")
+    assert scan_json_objects(spark, where, whole_file_bytes=0).count() == 500
+    assert spark.conf.get("spark.sql.files.minPartitionNum") == "3"
+
+
+def test_unknown_splits_are_an_error(spark, small_splits, folder, monkeypatch):
+    starts = json_objects._split_starts
+    monkeypatch.setattr(json_objects, "_split_starts", lambda pieces: starts(pieces).where("split = 0"))
+    with pytest.raises(Exception, match="splits changed"):
+        scan_json_objects(spark, folder({"large": '{"a":2}\n' * 500}), whole_file_bytes=0)
+
+
 def test_text_helpers():
     assert outer_objects("[1, 2") == ([], 5)
     assert outer_objects(', {"a":1}]', arrays=1, after_value=True) == ([(2, 9)], 10)
