@@ -29,7 +29,8 @@ class Input:
     ``schema`` types the records: of JSON objects for files, of the source for services.
     Records have the columns of their scan; ``path``, ``seq`` and ``extension``, which tell
     where a file's record comes from, only with ``source_columns``.
-    ``scan(spark, paths, **options)`` replaces the choice of a scan by file extension;
+    ``scan(spark, paths, **options)`` replaces the choice of a scan by file extension, and
+    gets the schema and the path filters too, if there are any;
     :func:`~sluice.sources.tables.scan_lines` is the one for files of one record per line.
     """
 
@@ -71,7 +72,8 @@ class Input:
         if limit is not None:
             paths = first_files(spark, paths, FILES_PER_RECORD * limit, **filters, **self.options)
         if self.scan:
-            return self.scan(spark, paths, **filters, **self.options)
+            schema = {"schema": self.schema} if self.schema else {}
+            return self.scan(spark, paths, **schema, **filters, **self.options)
         records = scan_files(spark, paths, **filters, **self.options)
         if not self.source_columns:
             records = records.drop(*SOURCE_COLUMNS)

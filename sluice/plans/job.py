@@ -35,8 +35,12 @@ class Job:
             raise ValueError("; ".join(errors))
         return run_stages(load_inputs(spark, self.inputs, self.trial_limit), self.stages, counts)
 
-    def run(self, spark: SparkSession, dataset: str, **sink: object) -> dict[str, int]:
-        """Adds the result to ``dataset``; gives the number of records after each stage."""
-        counts: dict[str, Observation] = {}
+    def run(self, spark: SparkSession, dataset: str, *, count_stages: bool = False, **sink: object) -> dict[str, int]:
+        """Adds the result to ``dataset``.
+
+        ``count_stages`` gives the number of records after each stage. Filters and column
+        choices of later stages do not reach the input through a stage that is counted.
+        """
+        counts: dict[str, Observation] | None = {} if count_stages else None
         write_dataset(self.plan(spark, counts), dataset, **sink)
-        return {name: observed.get["records"] for name, observed in counts.items()}
+        return {name: observed.get["records"] for name, observed in (counts or {}).items()}

@@ -74,7 +74,8 @@ def run_stages(df: DataFrame, stages: list[Stage], counts: dict[str, Observation
     """Runs the enabled stages in list order, each on the result of the one before.
 
     Raw file bytes reach the first stage only. With ``counts``, each stage's number of
-    records is observed while the result is computed and can be read from it afterwards.
+    records is observed while the result is computed and can be read from it afterwards;
+    filters of later stages then stay above the stages that are counted.
     """
     enabled = [stage for stage in stages if is_on(stage.enabled)]
     if not enabled:

@@ -7,21 +7,30 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from sluice.sources.paths import split_paths
+from sluice.sources.paths import matching, split_paths
 
 
 def scan_lines(
-    spark: SparkSession, paths: str | list[str], schema: str | StructType | None = None, **options: str
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: str | StructType | None = None,
+    *,
+    path_filters: list[str] | None = None,
+    **options: str,
 ) -> DataFrame:
     """One JSON record per line, at any file size. Without a schema, it is inferred in an
     extra pass over the input."""
     reader = spark.read.options(**options)
-    return (reader.schema(schema) if schema else reader).json(split_paths(paths))
+    lines = (reader.schema(schema) if schema else reader).json(split_paths(paths))
+    return lines.where(matching(path_filters)) if path_filters else lines
 
 
-def scan_text(spark: SparkSession, paths: str | list[str], **options: str) -> DataFrame:
+def scan_text(
+    spark: SparkSession, paths: str | list[str], *, path_filters: list[str] | None = None, **options: str
+) -> DataFrame:
     """One row ``value`` per line."""
-    return spark.read.options(**options).text(split_paths(paths))
+    lines = spark.read.options(**options).text(split_paths(paths))
+    return lines.where(matching(path_filters)) if path_filters else lines
 
 
 def scan_service(

@@ -10,7 +10,7 @@ from sluice.plans.inputs import Input, load_inputs
 from sluice.plans.job import Job
 from sluice.plans.script import register_frames, run_script
 from sluice.plans.stages import Stage, run_stages, stage_errors
-from sluice.sources.tables import scan_lines
+from sluice.sources.tables import scan_lines, scan_text
 
 
 def put(path, records):
@@ -90,6 +90,16 @@ def test_columns_of_file_inputs(spark, tmp_path):
     assert [r.a for r in load(schema="a int", path_filters=["b.json$"], limit=1).collect()] == [2]
 
 
+def test_inputs_with_their_own_scan(spark, tmp_path):
+    where = str(tmp_path / "in")
+    for name in "abc":
+        put(tmp_path / "in" / f"{name}.json", [{"a": 1, "name": name}, {"a": 2, "name": name}])
+    lines = Input("lines", paths=where, scan=scan_lines, schema="name string", path_filters=["[ab].json$"])
+    assert sorted(r.name for r in load_inputs(spark, [lines]).collect()) == ["a", "a", "b", "b"]
+    assert load_inputs(spark, [lines]).columns == ["name"]
+    assert scan_text(spark, where, path_filters=["c.json$"]).count() == 2
+
+
 def test_untyped_records_of_mixed_files(spark, tmp_path):
     put(tmp_path / "in" / "a.json", [{"a": 1}, {"a": {"b": 2}}])
     (tmp_path / "in" / "b.bin").write_bytes(b"123")
@@ -126,13 +136,26 @@ def test_job(spark, tmp_path):
     source = put(tmp_path / "in" / "a.json", [{"a": i} for i in range(10)])
     job = Job([Input("in", paths=source, schema="a int")], [Stage("all"), Stage("even", lambda df: df.where("a % 2 = 0"))])
     out = str(tmp_path / "out")
-    assert job.run(spark, out) == {"all": 10, "even": 5}
-    assert job.run(spark, out) == {"all": 10, "even": 5}
+    assert job.run(spark, out, count_stages=True) == {"all": 10, "even": 5}
+    assert job.run(spark, out) == {}
     assert spark.read.parquet(out).count() == 10
     with pytest.raises(ValueError, match="more than once"):
         Job(job.inputs, [Stage("x"), Stage("x")]).plan(spark)
 
 
+def test_stages_are_planned_as_one(spark, tmp_path):
+    spark.range(10).selectExpr("id AS a", "id AS b", "id AS c").write.parquet(str(tmp_path / "in"))
+    stages = [
+        Stage("sum", lambda df: df.withColumn("d", F.col("a") + F.col("b"))),
+        Stage("some", lambda df: df.where("a > 5")),
+        Stage("few", lambda df: df.select("d")),
+    ]
+    job = Job([Input("in", service="parquet", options={"path": str(tmp_path / "in")})], stages)
+    plan = job.plan(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(a,5)" in plan
+    assert "ReadSchema: struct<a:bigint,b:bigint>" in plan
+
+
 def test_sinks(spark, tmp_path):
     frame = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(10)], "v int, target string")
     for compact in (False, True):
@@ -140,6 +163,9 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "routed" / "target=a")).count() == 10
     write_dataset(frame, str(tmp_path / "parts"), partition_by=["target"])
     assert spark.read.parquet(str(tmp_path / "parts")).where("target = 'b'").count() == 5
+    texts = frame.select(F.to_json(F.struct("v")).alias("json"), "target")
+    write_routed(texts, str(tmp_path / "texts"), format="text")
+    assert spark.read.json(str(tmp_path / "texts" / "target=b")).agg(F.sum("v")).first()[0] == 25
     run = F.to_timestamp(F.lit("2024-05-06 07:08:09"))
     archive_raw(frame, str(tmp_path / "raw"), run, "yyyyMMdd")
     archive_raw(frame, str(tmp_path / "raw"), run)
