@@ -6,9 +6,10 @@ so they share at least T shingles, T from their sizes, and T of the query's list
 1. Every text becomes its set of shingle hashes; equal sets are one class from here on.
 2. All sets count their shingles in a table of 2^20 cells. The counts order the shingles, rare
    cells first: any fixed order is right, a good one is fast.
-3. A set of n posts its first n - T + 1 shingles. Linked sets share a posting, so runs of
-   postings of one shingle, sorted by size and broken where sizes cannot link, give groups that
-   no link leaves. Sets alone in their groups are done; most are.
+3. A set of n posts its first n - T + 1 shingles. Linked sets share a posting. In a short list of
+   postings all pairs of fitting sizes are candidates, and the histograms of the sets' hashes,
+   which bound their difference from below, rule out nearly all that merely share a passage. A long list is sorted by size and broken where sizes cannot link. Either way no link
+   leaves the groups that candidates make. Sets alone in their groups are done; most are.
 4. A group's whole sets meet in a task, which builds inverted lists and searches them with
    DivideSkip: the longest lists are set aside, the short ones are merged with a heap that skips
    what cannot reach T, and survivors are looked up in the long ones by bisection. Counts are
@@ -21,13 +22,14 @@ so they share at least T shingles, T from their sizes, and T of the query's list
 from __future__ import annotations
 
 import heapq
+import zlib
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.components import components
@@ -38,6 +40,7 @@ THRESHOLD = 80  # hundredths
 CELL_BITS = 20
 BLOCKS = 64
 CHUNK_SHINGLES = 400_000
+SHORT_LIST = 32
 _PIECE = 1 << 20
 _M = 1 << 64
 
@@ -237,53 +240,71 @@ def _cells(found: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
+def _histogram(found: np.ndarray) -> np.ndarray:
+    """How many hashes end in each of 2^k ways, up to 255: 64 ways, or an eighth of a larger set's size."""
+    ways = 1 << max(6, (len(found) // 8).bit_length())
+    return np.minimum(np.bincount((found & np.uint64(ways - 1)).astype(np.int64), minlength=ways), 255).astype(np.uint8)
+
+
+def may_link(size: int, other: int, histogram: bytes, others: bytes, threshold: int = THRESHOLD) -> bool:
+    """False only if the sets differ in more shingles than linked sets of these sizes can."""
+    a, b = (np.frombuffer(data, np.uint8).astype(np.int32) for data in (histogram, others))
+    while len(a) != len(b):
+        # Fewer ways are the sums of more.
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = a[: len(a) // 2] + a[len(a) // 2 :]
+    return np.abs(a - b).sum() <= size + other - 2 * required(size, other, threshold)
+
+
 def _shingle_counts(documents: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
-    """``id, class, n`` of every row, written; and the cells' counts, 2^20 numbers whatever the input."""
+    """``id, class, n, histogram`` of every row, written; and the cells' counts, 2^20 numbers whatever the input."""
+    width = (1 << CELL_BITS) // BLOCKS
 
     def work(rows):
         counts = np.zeros(1 << CELL_BITS, np.int64)
         for key, text in rows:
             found = shingles(text, words)
             counts[_cells(found)] += 1
-            yield key, class_of(found) if len(found) else None, len(found), None, None, None
-        width = len(counts) // BLOCKS
+            name = class_of(found) if len(found) else None
+            yield key, name, len(found), _histogram(found).tobytes(), None, None, None
+        # A task's counts, a byte of each at a time; only the lowest is ever full.
         for block in range(BLOCKS):
             part = counts[block * width : (block + 1) * width]
-            places = np.flatnonzero(part)
-            if len(places):
-                yield None, None, None, block, places.astype("<u4").tobytes(), part[places].astype("<u4").tobytes()
+            for shift in range(0, int(part.max()).bit_length(), 8):
+                digits = ((part >> shift) & 255).astype(np.uint8)
+                yield None, None, None, None, block, shift, zlib.compress(digits.tobytes(), 1)
 
-    every = staged(
-        map_rows(documents, work, "id bigint, class bigint, n bigint, block int, places binary, counts binary"), "sets"
-    )
-    width = (1 << CELL_BITS) // BLOCKS
+    schema = "id bigint, class bigint, n bigint, histogram binary, block int, shift int, digits binary"
+    every = staged(map_rows(documents, work, schema), "sets")
 
     def add(rows):
         held: dict[int, np.ndarray] = {}
-        for block, places, counts in rows:
+        for block, shift, digits in rows:
             total = held.setdefault(block, np.zeros(width, np.int64))
-            total[np.frombuffer(places, "<u4")] += np.frombuffer(counts, "<u4")
+            total += np.frombuffer(zlib.decompress(digits), np.uint8).astype(np.int64) << shift
         for block, total in held.items():
             yield block, total.astype("<i8").tobytes()
 
-    parts = every.where("block is not null").select("block", "places", "counts")
+    parts = every.where("block is not null").select("block", "shift", "digits")
     summed = map_rows(parts.repartition("block"), add, "block int, total binary", every=1)
     table = np.zeros(1 << CELL_BITS, np.int64)
     for block, total in summed.toLocalIterator():
         table[block * width : (block + 1) * width] += np.frombuffer(total, "<i8")
-    return every.where("block is null").select("id", "class", "n"), table
+    return every.where("block is null").select("id", "class", "n", "histogram"), table
 
 
-def _candidate_groups(documents: DataFrame, table: np.ndarray, words: int, threshold: int) -> DataFrame:
+def _candidate_groups(
+    documents: DataFrame, rows: DataFrame, table: np.ndarray, words: int, threshold: int
+) -> DataFrame:
     """``id, component`` of the classes that may have a link: no link leaves a component."""
     context = documents.sparkSession.sparkContext
     # Ranks instead of counts: as 32-bit numbers, 4 MB.
     shared = context.broadcast(np.unique(table, return_inverse=True)[1].astype(np.uint32))
 
-    def work(rows):
+    def work(given):
         rank = shared.value
         lately: set[int] = set()
-        for (text,) in rows:
+        for (text,) in given:
             found = shingles(text, words)
             if not len(found):
                 continue
@@ -301,17 +322,41 @@ def _candidate_groups(documents: DataFrame, table: np.ndarray, words: int, thres
 
     postings = map_rows(documents.select("text"), work, "shingle bigint, class bigint, n bigint", every=50_000)
     run = Window.partitionBy("shingle").orderBy("n", "class")
-    before = postings.select("class", F.lag("class").over(run).alias("other"), "n", F.lag("n").over(run).alias("least"))
-    edges = before.where((F.col("class") != F.col("other")) & (100 * F.col("least") >= threshold * F.col("n")))
-    return components(edges.select("class", "other").distinct(), "class", "other", "candidates")
+    one = F.struct("n", "class")
+    lists = postings.withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("times > 1")
+    lists = lists.withColumn("before", F.lag(one).over(run)).withColumn(
+        "all", F.when(F.col("times") <= SHORT_LIST, F.collect_list(one).over(run.rowsBetween(1 - SHORT_LIST, -1)))
+    )
+    fits = (F.col("class") != F.col("other.class")) & (100 * F.col("other.n") >= threshold * F.col("n"))
+
+    def pairs(frame: DataFrame, other: Column) -> DataFrame:
+        found = frame.select("class", "n", other.alias("other")).where(fits)
+        return found.select(
+            F.least("class", "other.class").alias("a"), F.greatest("class", "other.class").alias("b")
+        ).distinct()
+
+    chained = pairs(lists.where(F.col("times") > SHORT_LIST), F.col("before"))
+    listed = pairs(lists.where(F.col("times") <= SHORT_LIST), F.explode("all"))
+    known = rows.where("class is not null").groupBy("class").agg(F.first("n").alias("n"), F.first("histogram").alias("h"))
+    first = known.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("h").alias("ha"))
+    second = known.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("h").alias("hb"))
+
+    def compare(given):
+        for a, b, size, other, histogram, others in given:
+            if may_link(size, other, histogram, others, threshold):
+                yield a, b
+
+    both = listed.join(first, "a").join(second, "b").select("a", "b", "na", "nb", "ha", "hb")
+    edges = map_rows(both, compare, "a bigint, b bigint", every=20_000).unionByName(chained)
+    return components(edges, label="candidates")
 
 
 def _linked_classes(
     source: DataFrame, words: int, threshold: int, chunk_shingles: int
 ) -> tuple[DataFrame, DataFrame]:
-    """``id, class, n`` of every row of ``id, text``; ``class, root, component_id`` of every class."""
+    """``id, class, n, histogram`` of every row of ``id, text``; ``class, root, component_id`` of every class."""
     rows, table = _shingle_counts(source, words)
-    groups = staged(_candidate_groups(source, table, words, threshold), "groups")
+    groups = staged(_candidate_groups(source, rows, table, words, threshold), "groups")
     sizes = rows.where("class is not null").groupBy("class").agg(F.min("id").alias("first"), F.max("n").alias("n"))
     # Each group in chunks of a bounded number of shingles; its members are spread by their hash.
     members = staged(groups.join(sizes, groups["id"] == sizes["class"]).select("class", "first", "n", "component"), "members")
