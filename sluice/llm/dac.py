@@ -17,10 +17,12 @@ Numbers are little-endian.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import cache
 from typing import BinaryIO
 
 import numpy as np
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.pieces import Codes, cut
-from sluice.llm.rows import filesystem, map_rows, staged
+from sluice.llm.rows import filesystem, map_rows, staged, utf8
 from sluice.session import scratch_path
 
 MAGIC = b"SLUICDAC"
@@ -39,6 +41,7 @@ SEGMENT_IDS = 1 << 20
 FILE_IDS = 1 << 25
 END_ID = 2
 BATCH_CHARS = 1 << 17
+JOINED = 200
 
 
 class Codes8:
@@ -92,6 +95,16 @@ class Codes8:
             places = ranks[places // RANK_STEP].astype(np.int64) + before
         return out
 
+    def all(self) -> np.ndarray:
+        """All ids in order, level by level."""
+        out = self.levels[0].astype(np.uint32)
+        live = None
+        for level, words in enumerate(self.bits):
+            on = np.flatnonzero(np.unpackbits(words.view(np.uint8), count=len(self.levels[level]), bitorder="little"))
+            live = on if live is None else live[on]
+            out[live] |= self.levels[level + 1].astype(np.uint32) << np.uint32(BITS * (level + 1))
+        return out
+
     def dump(self) -> bytes:
         out = [struct.pack("<II", len(self), len(self.levels))]
         for level, chunks in enumerate(self.levels):
@@ -201,28 +214,64 @@ class Reader:
         ]
         return np.concatenate(parts) if parts else np.empty(0, np.uint32)
 
-    def documents(self) -> Iterator[tuple[int | None, int, int, Callable[[], np.ndarray]]]:
-        """Key, first place, number of ids and a function that reads them, of each document."""
-        start = 0
+    def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
+        """Key, first place and ids of each document in turn; every segment is decoded once."""
+        number, held, first, start = -1, np.empty(0, np.uint32), 0, 0
         for key, end in zip(self.keys, self.ends.tolist(), strict=True):
-            yield key, start, end - start, lambda start=start, end=end: self.at(np.arange(start, end))
+            while first + len(held) < end:
+                number += 1
+                rest = held[start - first :]
+                first, held = start, np.concatenate([rest, self._segment(number).all()])
+            yield key, start, held[start - first : end - first]
             start = end
 
 
-def library_codes(path: str) -> Codes:
-    """Pieces as little-endian 32-bit ids, encoded by the tokenizers library without threads of its own."""
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class LibraryEncoder:
+    """Pieces as packed ids, by the tokenizers library without threads of its own.
 
-    tokenizer = Tokenizer.from_file(path)
-
-    def encode(parts):
-        found = tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
+    Pieces that are a space and a word are encoded many in one text: the library's pre-tokenizer
+    parts them again, and the tokens' lengths tell where.
+    """
 
-    return Codes(encode)
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        special = {token.content for token in self.tokenizer.get_added_tokens_decoder().values()}
+        for token, code in self.tokenizer.get_vocab().items():
+            # A letter of the vocabulary stands for a byte; special tokens stand for themselves.
+            self.sizes[code] = len(utf8(token)) if token in special else len(token)
+
+    def encode(self, pieces: list[str]) -> list[bytes]:
+        words, others = [], []
+        for piece in pieces:
+            (words if piece[:1] == " " and piece.split() == [piece[1:]] else others).append(piece)
+        texts = ["".join(words[at : at + JOINED]) for at in range(0, len(words), JOINED)]
+        found = self._ids(texts)
+        known: dict[str, bytes] = dict(zip(others, map(packed, self._ids(others)), strict=True))
+        for number, ids in enumerate(found):
+            some = words[number * JOINED : (number + 1) * JOINED]
+            ids = np.array(ids, "<u4")
+            ends = np.cumsum([len(utf8(word)) for word in some])
+            places = 4 * np.concatenate([[0], np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1])
+            data = ids.tobytes()
+            known.update((word, data[a:b]) for word, a, b in zip(some, places, places[1:], strict=False))
+        return [known[piece] for piece in pieces]
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
+@cache
+def library_codes(path: str) -> Codes:
+    """One for all tasks of a worker, so words are looked up that an earlier task met."""
+    return Codes(LibraryEncoder(path).encode)
 
 
 def write_files(
@@ -299,8 +348,8 @@ def read_files(manifest: DataFrame) -> DataFrame:
         for path, first in rows:
             files, name = filesystem(path)
             with files.open_input_file(name) as source:
-                for key, start, count, ids in Reader(source, source.size()).documents():
-                    yield key, first + start, count, zlib.crc32(ids().astype("<u4").tobytes())
+                for key, start, ids in Reader(source, source.size()).documents():
+                    yield key, first + start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())
 
     spread = placed.select("path", "before").repartition(max(1, manifest.count()))
     return map_rows(spread, work, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
