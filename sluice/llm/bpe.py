@@ -293,6 +293,12 @@ class Decoder:
         return self.state.decode(b"".join(map(self.bytes_of.__getitem__, ids)), final)
 
 
+@cache
+def piece_codes(path: str) -> Codes:
+    """One for all tasks of a worker, so words are looked up that an earlier task met."""
+    return Codes(Encoder(MergeList.from_file(path)).encode)
+
+
 def encode_texts(df: DataFrame, path: str, *, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the ids of its texts; a null text is empty. A column that has the name is replaced."""
     return _with_codes(df, path, text, f"`{ids}` array<int>", (ids,), lambda codes, merges: (codes,))
@@ -329,7 +335,7 @@ def _with_codes(df: DataFrame, path: str, text: str, fields: str, new: tuple[str
 
     def work(rows):
         merges = MergeList.from_file(path)
-        codes = Codes(Encoder(merges).encode)
+        codes = piece_codes(path)
 
         def batches():
             held, size = [], 0
