@@ -1,9 +1,11 @@
 """Near-duplicate vectors by spherical-cap filters.
 
 A vector is turned by a fixed rotation and cut into blocks. Each block has a small code of random
-directions; a filter is one direction per block, so a few codes make millions of filters. A
+directions; a filter is one direction per block, so a few codes make millions of filters. There
+are several such tables of filters. A
 vector falls into the filters whose direction it exceeds a threshold with. They are list-decoded
-block by block, and branches that cannot reach the threshold any more are cut. Vectors that share
+block by block, and branches that cannot reach the threshold any more are cut. A vector that
+exceeds it with fewer than ``LEAST`` filters of a table falls into its ``LEAST`` best. Vectors that share
 a filter and a label are compared, so a pair is found if a filter holds both; see ``README`` for
 the measured recall. Compared pairs are decided by their cosine in double precision.
 """
@@ -11,7 +13,6 @@ the measured recall. Compared pairs are decided by their cosine in double precis
 from __future__ import annotations
 
 from functools import cache
-from statistics import NormalDist
 
 import numpy as np
 import xxhash
@@ -23,7 +24,9 @@ from sluice.llm.rows import limited_broadcast, map_rows, staged
 
 COSINE = 0.93
 BLOCKS = 3
-LIST = 14
+TABLES = 6
+LIST = 18
+LEAST = 3
 PER_FILTER = 64
 CHUNK = 1_000
 BATCH = 512
@@ -31,30 +34,52 @@ BATCH = 512
 
 def code_size(vectors: int, blocks: int = BLOCKS) -> int:
     """Directions per block, so that filters hold about ``PER_FILTER`` vectors of a random cloud."""
-    return int(min(400, max(16, np.ceil((vectors * LIST / PER_FILTER) ** (1 / blocks)))))
+    return int(min(400, max(16, np.ceil((vectors * LIST / TABLES / PER_FILTER) ** (1 / blocks)))))
+
+
+def cap_threshold(dimension: int, share: float) -> float:
+    """The inner product that a share of all unit vectors exceeds with a given one."""
+    cosine = np.linspace(1, -1, 200_001)
+    # The density of the inner product of two random directions, added up from 1 downwards.
+    density = np.maximum(1 - cosine**2, 0) ** ((max(dimension, 3) - 3) / 2)
+    above = np.cumsum(density)
+    return float(cosine[np.searchsorted(above, min(share, 0.5) * above[-1])])
 
 
 class Filters:
-    """The filters of one dimension; the same in every task."""
+    """The filters of one dimension; the same in every task.
 
-    def __init__(self, dimension: int, size: int, blocks: int = BLOCKS):
+    A product code suits some vectors better than others, so there are several, each behind a
+    rotation of its own.
+    """
+
+    def __init__(self, dimension: int, size: int):
         rng = np.random.default_rng([7, dimension, size])
-        self.size, self.blocks = size, min(blocks, dimension)
-        self.rotation = np.linalg.qr(rng.normal(size=(dimension, dimension)))[0]
+        self.size, self.blocks = size, min(BLOCKS, dimension)
         self.parts = np.array_split(np.arange(dimension), self.blocks)
-        self.codes = []
-        for part in self.parts:
-            code = rng.normal(size=(size, len(part)))
-            # Blocks share the length of a filter's direction by their dimensions.
-            code *= np.sqrt(len(part) / dimension) / np.linalg.norm(code, axis=1, keepdims=True)
-            self.codes.append(code)
-        share = min(0.4, LIST / size**self.blocks)
-        self.threshold = NormalDist().inv_cdf(1 - share) / np.sqrt(dimension)
+        self.tables = []
+        for _ in range(TABLES):
+            rotation = np.linalg.qr(rng.normal(size=(dimension, dimension)))[0]
+            codes = []
+            for part in self.parts:
+                code = rng.normal(size=(size, len(part)))
+                # Blocks share the length of a filter's direction by their dimensions.
+                code *= np.sqrt(len(part) / dimension) / np.linalg.norm(code, axis=1, keepdims=True)
+                codes.append(code)
+            self.tables.append((rotation, codes))
+        self.threshold = cap_threshold(dimension, LIST / TABLES / size**self.blocks)
 
     def decode(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) pairs of unit vectors, by row and filter."""
-        turned = vectors @ self.rotation
-        values = [turned[:, part] @ code.T for part, code in zip(self.parts, self.codes, strict=True)]
+        found = [self._decode(vectors, *table) for table in self.tables]
+        row = np.concatenate([rows for rows, _ in found])
+        name = np.concatenate([names + i * self.size**self.blocks for i, (_, names) in enumerate(found)])
+        order = np.lexsort((name, row))
+        return row[order], name[order]
+
+    def _decode(self, vectors: np.ndarray, rotation: np.ndarray, codes: list) -> tuple[np.ndarray, np.ndarray]:
+        turned = vectors @ rotation
+        values = [turned[:, part] @ code.T for part, code in zip(self.parts, codes, strict=True)]
         most = [value.max(axis=1) for value in values]
         row = np.arange(len(vectors))
         name = np.zeros(len(vectors), np.int64)
@@ -64,8 +89,25 @@ class Filters:
             sums = total[:, None] + value[row]
             at, choice = np.nonzero(sums >= (self.threshold - left[row])[:, None])
             total, name, row = sums[at, choice], name[at] * self.size + choice, row[at]
-        order = np.lexsort((name, row))
-        return row[order], name[order]
+        few = np.flatnonzero(np.bincount(row, minlength=len(vectors)) < LEAST)
+        if not len(few):
+            return row, name
+        best_row, best_name = self._best([value[few] for value in values])
+        stay = ~np.isin(row, few)
+        return np.concatenate([row[stay], few[best_row]]), np.concatenate([name[stay], best_name])
+
+    def _best(self, values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The ``LEAST`` best filters of each row: they are made of the best directions of each block."""
+        count = len(values[0])
+        total, name = np.zeros((count, 1)), np.zeros((count, 1), np.int64)
+        for value in values:
+            choice = np.argsort(-value, axis=1)[:, :LEAST]
+            sums = total[:, :, None] + np.take_along_axis(value, choice, axis=1)[:, None, :]
+            names = name[:, :, None] * self.size + choice[:, None, :]
+            sums, names = sums.reshape(count, -1), names.reshape(count, -1)
+            top = np.argsort(-sums, axis=1)[:, :LEAST]
+            total, name = np.take_along_axis(sums, top, axis=1), np.take_along_axis(names, top, axis=1)
+        return np.repeat(np.arange(count), name.shape[1]), name.ravel()
 
 
 @cache
