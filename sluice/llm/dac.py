@@ -271,7 +271,7 @@ def packed(ids: list[int]) -> bytes:
 @cache
 def library_codes(path: str) -> Codes:
     """One for all tasks of a worker, so words are looked up that an earlier task met."""
-    return Codes(LibraryEncoder(path).encode)
+    return Codes(LibraryEncoder(path).encode, 400_000)
 
 
 def write_files(

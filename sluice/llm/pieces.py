@@ -16,7 +16,7 @@ _RUNS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 # A space after white space may be no border.
 _AFTER_WHITE = [white + " " for white in WHITE]
 LONGEST = 64
-CACHE = 400_000
+CACHE = 120_000
 
 
 def cut(text: str) -> list[str]:

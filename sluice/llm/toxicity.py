@@ -19,7 +19,7 @@ from sluice.llm.rows import map_rows, utf8
 
 SIZES = (4, 5, 6)  # ascending
 CELLS = 1 << 18
-TRAIN_ROWS = 6_000
+TRAIN_ROWS = 4_000
 THRESHOLD = 0.5
 _BYTES = 1 << 20
 
