@@ -25,10 +25,14 @@ _load = json.JSONDecoder(parse_constant=_refuse).decode
 _compact = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
 
 
-def file_text(content: bytes) -> tuple[str, bool]:
-    """Decoded file content up to the first undecodable byte, and whether there was one."""
-    content = content.removeprefix(codecs.BOM_UTF8)
-    encoding = json.detect_encoding(content)
+def file_text(content: bytes, begins: bool = True) -> tuple[str, bool]:
+    """Decoded file content up to the first undecodable byte, and whether there was one.
+
+    Content that does not begin a file has no byte order mark and is UTF-8.
+    """
+    if begins:
+        content = content.removeprefix(codecs.BOM_UTF8)
+    encoding = json.detect_encoding(content) if begins else "utf-8"
     try:
         return content.decode(encoding), False
     except UnicodeDecodeError as bad:
@@ -67,7 +71,7 @@ def outer_objects(
             continue
         try:
             _, end = _scan(text, pos)
-        except (ValueError, StopIteration):
+        except (ValueError, StopIteration, RecursionError):
             return spans, pos
         if char == "{":
             spans.append((pos, end))

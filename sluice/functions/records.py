@@ -9,7 +9,8 @@ from pyspark.sql.functions import pandas_udf
 
 from sluice.functions import json_text
 
-NAME_PATTERN = "^[0-9a-zA-Z_]+$"
+# To the very end: a last line break is no part of a name.
+NAME_PATTERN = r"^[0-9a-zA-Z_]+\z"
 NO_PERIOD = "all_time"
 
 

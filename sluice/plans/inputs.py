@@ -50,10 +50,11 @@ class Input:
     def load(self, spark: SparkSession, trial_limit: int | None = None) -> DataFrame | None:
         """The records; ``None`` for a service that does not exist.
 
-        A limit takes the first rows by ``order_by``, or any rows without it, which reads
-        no more of the input than it takes to find them.
+        Only a trial run, one with a ``trial_limit``, cuts anything: of a service input its own
+        ``limit`` rows if it has one. It takes the first rows by ``order_by`` of the files that it
+        looks at, or any rows without it, which reads no more than it takes to find them.
         """
-        own = self.limit is not None and (self.service or trial_limit is None)
+        own = trial_limit is not None and self.service and self.limit is not None
         limit = self.limit if own else trial_limit
         if self.service:
             records = scan_service(spark, self.service, self.options, self.schema)

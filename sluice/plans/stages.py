@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sluice.functions.records import NAME_PATTERN
 from sluice.operators.grouping import group_agg, group_fields, with_group_key
 from sluice.operators.modules import passthrough
 from sluice.plans.inputs import is_on
@@ -60,7 +59,7 @@ def stage_errors(stages: list[Stage]) -> list[str]:
     for place, stage in enumerate(stages):
         if not is_on(stage.enabled):
             continue
-        if not re.search(NAME_PATTERN, stage.name) or stage.name.endswith("\n"):
+        if not re.fullmatch("[0-9a-zA-Z_]+", stage.name):
             errors.append(f"stage name {stage.name!r} has other characters than letters, digits and _")
         if stage.aggregates and not stage.grouped:
             errors.append(f"stage {stage.name} has aggregates, but nothing to group by")

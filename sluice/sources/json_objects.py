@@ -291,7 +291,7 @@ def _stretches(
     """The objects of one split in order, and the pieces of those that cross its borders."""
     if split == 0 and not json.detect_encoding(data[:4]).startswith("utf-8"):
         raise ValueError("a JSON file of this size must be UTF-8")
-    text, damaged = file_text(data)
+    text, damaged = file_text(data, begins=split == 0)
     pos = 0
     if in_string or braces > 0:
         close = close_of(text, 0, braces, in_string)
@@ -315,17 +315,29 @@ def _join_fragments(fragments: DataFrame) -> DataFrame:
     in_file = Window.partitionBy("path").orderBy("split", "seq")
     began = F.last(F.when(F.col("part") == OPEN, F.col("seq")), ignorenulls=True).over(in_file)
     # The running place needs only the fragments' places, so their texts stay out of it.
-    places = fragments.select("path", "split", "seq", "part").withColumn("began", began).drop("part")
+    places = fragments.select("path", "split", "seq", "part").withColumn("began", began)
+    # An object ends at its first closing fragment. What follows up to the next beginning comes
+    # of an error in between, and belongs to nothing.
+    in_run = Window.partitionBy("path", "began").orderBy("split", "seq")
+    closes = (F.col("part") == CLOSE).cast("int")
+    closed_before = F.coalesce(F.sum(closes).over(in_run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = places.where("began is not null").withColumn("closed", closed_before).where("closed = 0")
+    # An object that never ends is the file's error where it begins; its texts are not gathered.
+    ends = F.max(closes).over(Window.partitionBy("path", "began")) == 1
+    places = places.withColumn("ends", ends).drop("part", "closed")
+    endless = places.where(~F.col("ends")).select("path", F.col("began").alias("seq")).distinct()
+    endless = endless.select("path", "seq", F.lit(ERROR).alias("part"), F.lit(None).cast("string").alias("json"))
+    places = places.where("ends").drop("ends")
     ordered = F.array_sort(F.collect_list(F.struct("seq", "json")))
     whole = F.array_join(F.transform(ordered, lambda fragment: fragment["json"]), "")
-    return (
+    joined = (
         fragments.join(places, ["path", "split", "seq"])
-        .where(F.col("began").isNotNull())
         .groupBy("path", "began")
         .agg(whole.alias("json"))
         .select("path", F.col("began").alias("seq"), "json")
         .mapInArrow(_read_joined, "path string, seq bigint, part string, json string")
     )
+    return joined.unionByName(endless)
 
 
 def _read_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,15 +16,19 @@ FILE_PATH = "_metadata.file_path"
 
 BROADCAST_FILES = 200_000
 
-# Commas inside braces belong to a glob.
-_PATH = re.compile(r"(?:\{[^}]*\}|[^,{])+")
-
 
 def split_paths(paths: str | list[str]) -> list[str]:
-    """A comma-separated list of globs; commas inside ``{}`` do not separate."""
+    """A comma-separated list of globs; commas inside ``{}``, nested or never closed, do not separate."""
     if not isinstance(paths, str):
         return list(paths)
-    return [path.strip() for path in _PATH.findall(paths) if path.strip()]
+    found, depth = [""], 0
+    for char in paths:
+        depth += (char == "{") - (char == "}" and depth > 0)
+        if char == "," and not depth:
+            found.append("")
+        else:
+            found[-1] += char
+    return [path.strip() for path in found if path.strip()]
 
 
 _GLOB_CHARACTER = re.compile(r"([\\{}\[\]*?])")

@@ -45,7 +45,10 @@ def test_trial_limits(spark, tmp_path):
     assert load_inputs(spark, [*inputs, Input("ids", **service)], 5).count() == 13
     assert load_inputs(spark, [*inputs, Input("ids", **service, limit=2)], 5).count() == 10
     ordered = Input("ids", **service, order_by=("id",), limit=3)
-    assert sorted(r.id for r in load_inputs(spark, [ordered]).collect()) == [0, 1, 2]
+    assert sorted(r.id for r in load_inputs(spark, [ordered], 100).collect()) == [0, 1, 2]
+    assert load_inputs(spark, [ordered]).count() == 10
+    files = Input("ten", paths=str(tmp_path / "ten"), schema="a int", limit=1, order_by=("a",))
+    assert load_inputs(spark, [files]).count() == 10
 
 
 def test_trial_run_looks_at_few_files(spark, tmp_path):

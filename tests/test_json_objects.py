@@ -131,6 +131,38 @@ def test_split_files_give_what_whole_files_give(spark, small_splits, folder, mon
     assert read(scan_json_objects(spark, where, whole_file_bytes=0)) == whole
 
 
+def nested_text(rng):
+    def value(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return rng.choice([rng.randrange(10**6), "x" * rng.randrange(60), 'a "quoted" } { [ text', None, True])
+        if rng.random() < 0.5:
+            return [value(depth - 1) for _ in range(rng.randrange(4))]
+        return {f"k{i}": value(depth - 1) for i in range(rng.randrange(5))}
+
+    return "\n".join(json.dumps({"n": i, "v": value(4)}) for i in range(60))
+
+
+@pytest.mark.parametrize("damage", ["stray }", "missing quote", "missing brace", "stray ]", "token"])
+def test_damaged_split_files_keep_what_comes_before(spark, small_splits, folder, damage):
+    rng = random.Random(damage)
+    texts = {}
+    for i in range(12):
+        text = nested_text(rng)
+        for _ in range(rng.randrange(1, 4)):
+            at = rng.randrange(len(text))
+            if damage == "missing quote":
+                at = text.find('"', at)
+                text = text[:at] + text[at + 1 :] if at >= 0 else text
+            elif damage == "missing brace":
+                at = text.find("}", at)
+                text = text[:at] + text[at + 1 :] if at >= 0 else text
+            else:
+                text = text[:at] + {"stray }": "}", "stray ]": "]", "token": " nope "}[damage] + text[at:]
+        texts[f"f{i}"] = text
+    where = folder(texts)
+    assert read(scan_json_objects(spark, where, whole_file_bytes=0)) == read(scan_json_objects(spark, where))
+
+
 def test_only_large_files_are_split(spark, small_splits, folder):
     where = folder({"small": '{"a":1}', "large": '{"a":2}\n' * 500})
     found = read(scan_json_objects(spark, where, whole_file_bytes=1000))

@@ -66,6 +66,7 @@ def test_field_merge(spark):
 def test_names_and_periods(spark):
     frame = spark.createDataFrame([("a_1",), ("a-1",), ("",), ("é",)], "name string")
     assert one(frame.select(valid_name(F.col("name")))) == [True, False, False, False]
+    assert one(frame.select(valid_name(F.concat(F.lit("abc"), F.lit("\n"))))) == [False] * 4
     run = F.lit(datetime.datetime(2024, 5, 6, 7, 8))
     assert spark.range(1).select(period_folder(run, "yyyy-MM-dd_HH"), period_folder(run, None)).first()[:] == (
         "2024-05-06_07",
