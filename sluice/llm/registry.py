@@ -80,4 +80,59 @@ QUERIES: dict[str, Run] = {
     "op10_token_counts": attributed_tokens,
 }
 
-SQL: dict[str, str] = {}
+_LOWERED = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(" + _LOWERED + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_CONTAMINATION = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("text")} AS ws FROM documents),
+words AS (SELECT r, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM docs),
+items AS (SELECT row_number() OVER () AS r, item_id, {_WORDS.format("text")} AS ws FROM benchmark),
+item_words AS (
+  SELECT r, item_id, least(len(ws), 13) AS size, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos
+  FROM items
+),
+wanted AS (
+  SELECT DISTINCT item_id, size, run FROM (
+    SELECT item_id, size, n, pos, string_agg(word, ' ') OVER (
+      PARTITION BY r ORDER BY pos ROWS BETWEEN CURRENT ROW AND size - 1 FOLLOWING) AS run
+    FROM item_words) WHERE pos + size - 1 <= n
+),
+runs AS (
+  SELECT r, n, pos, size, string_agg(word, ' ') OVER (
+    PARTITION BY r, size ORDER BY pos ROWS BETWEEN CURRENT ROW AND size - 1 FOLLOWING) AS run
+  FROM words, (SELECT DISTINCT size FROM wanted)
+),
+found AS (
+  SELECT r, pos, size, item_id FROM runs JOIN wanted USING (size, run) WHERE pos + size - 1 <= n
+),
+hit AS (SELECT r, count(DISTINCT place) AS n_hit FROM (
+  SELECT r, unnest(range(pos, pos + size)) AS place FROM found) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+_LETTERS32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BASE32 = " || ".join(
+    f"substr('{_LETTERS32}', ((('0x' || substr(digest, {5 * i + 1}, 5))::BIGINT >> {shift}) & 31)::INT + 1, 1)"
+    for i in range(8)
+    for shift in (15, 10, 5, 0)
+)
+_WARC = f"""
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS digest,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM payloads
+"""
+
+SQL: dict[str, str] = {"op2_decontamination": _CONTAMINATION, "op7_warc": _WARC}
