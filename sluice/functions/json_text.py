@@ -7,12 +7,19 @@ from __future__ import annotations
 
 import codecs
 import json
+import math
 import re
+from decimal import Decimal, InvalidOperation
+from json.decoder import scanstring
 from typing import Any
 
 _BLANK = re.compile(r"[ \t\r\n]*")
 _NESTING = re.compile(r'\\.|["{}\[\]]', re.DOTALL)
 _NUMBER_START = frozenset("-0123456789")
+_STRING_OR_BLANKS = re.compile(r'("(?:[^"\\]|\\.)*")|[ \t\r\n]+', re.DOTALL)
+_LONE_SURROGATE = re.compile("[\ud800-\udfff]")
+# Python's limit for turning digits into a number is a little above.
+_MOST_DIGITS = 4000
 
 
 def _refuse(name: str) -> Any:
@@ -21,10 +28,77 @@ def _refuse(name: str) -> Any:
 
 # Numbers stay text while scanning: only the extent of a value is wanted.
 _scan = json.JSONDecoder(parse_constant=_refuse, parse_int=str, parse_float=str).scan_once
-_load = json.JSONDecoder(parse_constant=_refuse).decode
 _compact = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
 
 
+class _Literal(str):
+    """A number that is kept as it is spelled."""
+
+
+def _integer(text: str) -> int | _Literal:
+    return int(text) if len(text) <= _MOST_DIGITS else _Literal(text)
+
+
+def _decimal(text: str) -> float | _Literal:
+    """A double where one holds the value, else the number's text."""
+    value = float(text)
+    try:
+        if math.isfinite(value) and Decimal(repr(value)) == Decimal(text):
+            return value
+    except InvalidOperation:
+        pass
+    return _Literal(text)
+
+
+_load = json.JSONDecoder(parse_constant=_refuse, parse_int=_integer, parse_float=_decimal).decode
+
+
+def _written(value: Any) -> str:
+    """Compact JSON that any UTF-8 writer takes: surrogates without a partner are escaped."""
+    if isinstance(value, _Literal):
+        return str(value)
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{_written(name)}:{_written(item)}" for name, item in value.items()) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_written, value)) + "]"
+    return _LONE_SURROGATE.sub(lambda char: f"\\u{ord(char.group()):04x}", _compact(value))
+
+
+def _members(text: str) -> dict[str, tuple[str, str]]:
+    """The fields of an object's text: by name, how the name and the value are spelled.
+
+    Of fields with one name the last counts, in the place of the first.
+    """
+
+    def skip(pos: int) -> int:
+        return _BLANK.match(text, pos).end()
+
+    def expect(pos: int, chars: str) -> int:
+        if text[pos : pos + 1] not in tuple(chars):
+            raise ValueError(f"not a JSON object: expected one of {chars} at {pos}")
+        return pos + 1
+
+    found: dict[str, tuple[str, str]] = {}
+    pos = skip(expect(skip(0), "{"))
+    more = text[pos : pos + 1] != "}"
+    while more:
+        begin, after = pos, expect(pos, '"')
+        name, end = scanstring(text, after, True)
+        pos = skip(expect(skip(end), ":"))
+        try:
+            _, value_end = _scan(text, pos)
+        except (StopIteration, RecursionError) as error:
+            raise ValueError(f"no JSON value that can be read at {pos}") from error
+        found[name] = text[begin:end], text[pos:value_end]
+        pos = expect(skip(value_end), ",}") - 1
+        more = text[pos] == ","
+        if more:
+            pos = skip(pos + 1)
+    if skip(pos + 1) != len(text):
+        raise ValueError(f"not a JSON object: more text at {pos + 1}")
+    return found
+
+
 def file_text(content: bytes, begins: bool = True) -> tuple[str, bool]:
     """Decoded file content up to the first undecodable byte, and whether there was one.
 
@@ -104,21 +178,34 @@ def close_of(text: str, pos: int, braces: int, in_string: bool) -> tuple[int, in
 
 
 def key_text(record: str | None, paths: list[str]) -> str:
-    """Compact JSON object of the fields of ``record`` that exist, in the order of ``paths``."""
-    key, root = {}, _load(record) if isinstance(record, str) else None
-    for path in paths:
-        value = root
-        for name in path.split("."):
-            value = value.get(name) if isinstance(value, dict) else None
-        if value is not None:
-            key[path] = value
-    return _compact(key)
+    """Compact JSON object of the fields of ``record`` that exist, in the order of ``paths``.
+
+    Numbers are written as doubles and integers are; those that no double holds keep their spelling.
+    """
+    try:
+        key, root = {}, _load(record) if isinstance(record, str) else None
+        for path in paths:
+            value = root
+            for name in path.split("."):
+                value = value.get(name) if isinstance(value, dict) else None
+            if value is not None:
+                key[path] = value
+        return _written(key)
+    except RecursionError as error:
+        raise ValueError("the record is nested too deeply") from error
 
 
 def merged_text(record: str | None, changes: str | None) -> str | None:
-    """``record`` with the top-level fields of ``changes`` set, in place or at the end."""
+    """``record`` with the top-level fields of ``changes`` set, in place or at the end.
+
+    Names and values keep their spelling; blanks between them go.
+    """
     if not isinstance(record, str):
         return None
     if not isinstance(changes, str):
         return record
-    return _compact({**_load(record), **_load(changes)})
+    fields = _members(record)
+    for name, (spelled, value) in _members(changes).items():
+        fields[name] = fields[name][0] if name in fields else spelled, value
+    text = "{" + ",".join(f"{name}:{value}" for name, value in fields.values()) + "}"
+    return _STRING_OR_BLANKS.sub(lambda part: part.group(1) or "", text)

@@ -13,6 +13,12 @@ from sluice.functions import json_text
 NAME_PATTERN = r"^[0-9a-zA-Z_]+\z"
 NO_PERIOD = "all_time"
 
+_KEY_OPTIONS = {
+    "ignoreNullFields": "true",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def file_extension(path: Column) -> Column:
     """Upper-cased text after the last dot of the whole path; null if there is no dot."""
@@ -38,12 +44,13 @@ def group_key(*paths: str) -> Column:
 
 
 def key_of(*fields: Column) -> Column:
-    """The group key of named columns."""
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "true"})
+    """The group key of named columns; times are written to the microsecond, so that different ones differ."""
+    return F.to_json(F.struct(*fields), _KEY_OPTIONS)
 
 
 def json_group_key(record: Column, *paths: str) -> Column:
-    """Group key of records kept as JSON text; values keep their own JSON spelling."""
+    """Group key of records kept as JSON text. Texts and numbers are written in one way
+    (``1.00`` as ``1.0``), but a number that no double holds keeps its spelling."""
     wanted = list(paths)
 
     @pandas_udf("string")
@@ -54,7 +61,8 @@ def json_group_key(record: Column, *paths: str) -> Column:
 
 
 def merge_json(record: Column, changes: Column) -> Column:
-    """Shallow merge of two JSON object texts; ``changes`` wins, null is a value."""
+    """Shallow merge of two JSON object texts; ``changes`` wins, null is a value.
+    Values keep their spelling."""
 
     @pandas_udf("string")
     def merged(records: pd.Series, changed: pd.Series) -> pd.Series:

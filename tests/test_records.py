@@ -1,7 +1,10 @@
 import datetime
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
+from sluice.functions.json_text import merged_text
 from sluice.functions.records import (
     field,
     group_key,
@@ -14,8 +17,6 @@ from sluice.functions.records import (
 from sluice.operators.modules import BatchModule, map_batches, merge_fields, passthrough, with_record_id
 from sluice.plans.inputs import typed
 
-import pandas as pd
-
 
 def one(frame):
     return [row[0] for row in frame.collect()]
@@ -48,6 +49,26 @@ def test_json_merge(spark):
     assert all(row[0] == row[1] for row in merged)
 
 
+def test_keys_of_long_numbers_and_lone_surrogates(spark):
+    texts = ['{"f":0.1234567890123456789012}', '{"f":1e400}', '{"f":"\\ud800"}', '{"f":1.00}', '{"f":%s}' % ("9" * 5000)]
+    frame = spark.createDataFrame([(t,) for t in texts], "json string")
+    expected = [*texts[:3], '{"f":1.0}', texts[4]]
+    assert one(frame.select(json_group_key(F.col("json"), "f"))) == expected
+
+
+def test_merge_keeps_how_values_are_spelled(spark):
+    record = '{"a" : 0.1234567890123456789012, "n":1e400, "t":"a  b\\" c", "s":"\\ud800", "l":[1.00, {}], "a":2}'
+    frame = spark.createDataFrame([(record, ' {"z":1,"n":1.50} ')], "record string, changes string")
+    merged = '{"a":2,"n":1.50,"t":"a  b\\" c","s":"\\ud800","l":[1.00,{}],"z":1}'
+    assert one(frame.select(merge_json(F.col("record"), F.col("changes")))) == [merged]
+
+
+@pytest.mark.parametrize("bad", ["{", '{"a"}', '{"a":1,}', "{} x", "[1]", '{"a":1 "b":2}', '{"a":' + "[" * 100_000])
+def test_merge_refuses_what_is_no_object(bad):
+    with pytest.raises(ValueError):
+        merged_text(bad, "{}")
+
+
 def test_map_merge(spark):
     frame = spark.sql(
         "SELECT map('a', 1, 'b', 2) AS m, map('b', 3, 'c', null) AS c UNION ALL SELECT map('a', 1), null"
