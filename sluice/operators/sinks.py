@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StringType, StructField, StructType
+
 from sluice.functions.records import period_folder
 
 
@@ -26,6 +28,13 @@ def write_routed(
     df.write.mode("append").format(format).partitionBy(target).save(root)
 
 
+def read_routed(spark: SparkSession, root: str, *, target: str = "target", format: str = "parquet") -> DataFrame:
+    """All that :func:`write_routed` has written below ``root``, with the targets as the texts they were."""
+    found = spark.read.format(format).load(root).schema
+    texts = [StructField(field.name, StringType()) if field.name == target else field for field in found]
+    return spark.read.format(format).schema(StructType(texts)).load(root)
+
+
 def archive_raw(
     df: DataFrame, root: str, run_time: Column, pattern: str | None = None, *, format: str = "parquet"
 ) -> None:

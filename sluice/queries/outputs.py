@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.grouping import KEY
-from sluice.operators.sinks import archive_raw, write_dataset, write_routed
+from sluice.operators.sinks import archive_raw, read_routed, write_dataset, write_routed
 from sluice.plans.inputs import typed
 from sluice.plans.stages import Stage
 from sluice.queries.common import Query, row_count, table, total_cents, whole_number
@@ -30,7 +30,7 @@ def routed_emit(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("target", F.col("event_type"))
     where = scratch_path(spark, "routed")
     write_routed(events, where)
-    return spark.read.parquet(where).groupBy("target", "event_type").agg(row_count(), total_cents("value"))
+    return read_routed(spark, where).groupBy("target", "event_type").agg(row_count(), total_cents("value"))
 
 
 def routed_emit_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,15 +38,14 @@ def routed_emit_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("target", F.col("event_type"))
     where = scratch_path(spark, "routed")
     write_routed(events, where, compact=True)
-    return spark.read.parquet(where).groupBy("target", "event_type").agg(row_count(), total_cents("value"))
+    return read_routed(spark, where).groupBy("target", "event_type").agg(row_count(), total_cents("value"))
 
 
 def archived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     where = scratch_path(spark, "archive")
     archive_raw(events, where, F.col("ts"), "yyyy-MM-dd")
-    period = F.col("period").cast("string").alias("period")
-    return spark.read.parquet(where).groupBy(period).agg(row_count(), total_cents("value"))
+    return read_routed(spark, where, target="period").groupBy("period").agg(row_count(), total_cents("value"))
 
 
 DROPS = ["event_type in ('click', 'view', 'error')", "event_type not in ('click', 'view', 'error')"]
@@ -65,7 +64,7 @@ def drop_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_folder_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups of each batch of free-form files; the batches' totals are combined on reading."""
+    """Two drops of several files, a few files at a time: the groups are those of a whole drop."""
     events = table(spark, sf_dir, "events").select(EVENT_FIELDS)
     folder, out, progress = ingest_folders(spark, "drop")
     stages = [
@@ -73,9 +72,9 @@ def drop_folder_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         Stage("totals", aggregates=lambda: [row_count(), total_cents("value")], grouping_fields=("user_id",)),
     ]
     for drop in DROPS:
-        write_dataset(events.where(drop), folder, format="json")
-        ingest_files(spark, folder, out, progress, stages, clean=cleaning(folder, Storage()))
-    return read_batches(spark, out).groupBy(KEY).agg(F.sum("n").alias("n"), F.sum("cents").alias("cents"))
+        write_dataset(events.where(drop).repartition(6, "event_id"), folder, format="json")
+        ingest_files(spark, folder, out, progress, stages, max_files=2, clean=cleaning(folder, Storage()))
+    return read_batches(spark, out).select(KEY, "n", "cents")
 
 
 _CENTS_SQL = "sum(round(value * 100)::BIGINT)::BIGINT AS cents"
@@ -95,7 +94,7 @@ QUERIES = {
         drop_folder_groups,
         f"""
         SELECT '{{"user_id":' || user_id || '}}' AS group_key, count(*)::BIGINT AS n, {_CENTS_SQL}
-        FROM events GROUP BY user_id
+        FROM events GROUP BY user_id, {DROPS[0]}
         """,
     ),
 }

@@ -50,6 +50,13 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder that this package wrote, wherever Spark can write; nothing if it is not there."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the cluster's shared ``spark.checkpoint.dir``.
 

@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.records import NO_PERIOD, period_folder
+from sluice.plans.inputs import is_on
 from sluice.plans.stages import Stage, run_stages
-from sluice.session import scratch_path
+from sluice.session import remove_folder, scratch_path
 from sluice.sources.files import scan_files
-from sluice.sources.paths import literal
+from sluice.sources.paths import literal, or_empty
 
 IMPORT_AREA = "/import/"
+_HELD = "held_batch"
 
 
 @dataclass(frozen=True)
@@ -78,7 +80,7 @@ def ingest_lines(
     batch exactly once.
     """
     if any(stage.grouped for stage in stages or []):
-        raise ValueError("grouped stages need ingest_files, which runs them on each batch")
+        raise ValueError("grouped stages need ingest_files, which runs them over the whole drop")
     source = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).options(**(clean or {})).json(folder)
     )
@@ -107,10 +109,21 @@ def ingest_files(
     """Ingests new files with any scan and any stages.
 
     The stream carries only the names of new files, at most ``max_files`` at a time; each
-    batch of them is read by ``scan`` as one job. Groups are those of a batch: results of
-    associative modules can be combined when ``out`` is read. A batch that is run again
-    replaces its own output.
+    batch of them is read by ``scan`` as one job. A batch that is run again replaces its own
+    output.
+
+    Groups are those of the whole run, however many batches it has: the stages before the
+    first grouped one run on each batch into a table beside ``checkpoint``, the others once over
+    all of it after the last batch. The result is numbered by the run's first batch. A run that
+    fails on the way is completed by the next one, in one set of groups with its files.
     """
+    enabled = [stage for stage in stages or [] if is_on(stage.enabled)]
+    plain = next((place for place, stage in enumerate(enabled) if stage.grouped), len(enabled))
+    before, after = enabled[:plain], enabled[plain:]
+    progress = checkpoint.rstrip("/")
+    held = f"{progress}.held"
+    batches_at = f"{held}/{_HELD}" if after else f"{out}/batch"
+    done = _last_batch(spark, f"{progress}.runs") if after else -1
     arrived = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
@@ -123,8 +136,8 @@ def ingest_files(
     def take(batch: DataFrame, number: int) -> None:
         paths = [literal(row.path) for row in batch.collect()]
         if paths:
-            result = run_stages(scan(spark, paths), stages or [])
-            result.write.mode("overwrite").parquet(f"{out}/batch={number}")
+            result = run_stages(scan(spark, paths), before)
+            result.write.mode("overwrite").parquet(f"{batches_at}={number}")
 
     (
         arrived.writeStream.foreachBatch(take)
@@ -133,6 +146,25 @@ def ingest_files(
         .start()
         .awaitTermination()
     )
+    if after:
+        _finish_run(spark, held, done, after, out, f"{progress}.runs")
+
+
+def _last_batch(spark: SparkSession, runs: str) -> int:
+    """The last batch of the runs that are finished; -1 if there is none."""
+    finished = or_empty(spark, lambda: spark.read.schema("last bigint").parquet(runs), "last bigint", True)
+    last = finished.agg(F.max("last")).first()[0]
+    return -1 if last is None else last
+
+
+def _finish_run(spark: SparkSession, held: str, done: int, stages: list[Stage], out: str, runs: str) -> None:
+    batches = or_empty(spark, lambda: spark.read.parquet(held), f"{_HELD} bigint", True).where(F.col(_HELD) > done)
+    last = batches.agg(F.max(_HELD)).first()[0]
+    if last is not None:
+        result = run_stages(batches.drop(_HELD), stages)
+        result.write.mode("overwrite").parquet(f"{out}/batch={done + 1}")
+        spark.range(1).select(F.lit(last).cast("bigint").alias("last")).write.mode("append").parquet(runs)
+    remove_folder(spark, held)
 
 
 def ingest_folders(spark: SparkSession, label: str) -> tuple[str, str, str]:

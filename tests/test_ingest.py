@@ -88,3 +88,45 @@ def test_files_of_any_kind_in_groups(spark, tmp_path, drop):
         ('{"k":2}', 1, 0),
     ]
     assert batches.schema["batch"].dataType.simpleString() == "bigint"
+    assert not os.path.exists(tmp_path / "progress.held")
+
+
+def test_groups_are_those_of_the_whole_run(spark, tmp_path, drop):
+    folder, put = drop
+    stages = [
+        Stage("typed", lambda df: typed(df.select("json"), "k int, batch int")),
+        Stage("n", aggregates=lambda: [F.count("batch").alias("n")], grouping_fields=("k",)),
+        Stage("several", lambda df: df.where("n > 1")),
+    ]
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    put(a=[{"k": 1, "batch": 7}], b=[{"k": 1, "batch": 7}, {"k": 2, "batch": 7}], c=[{"k": 1, "batch": 7}])
+    ingest_files(spark, str(folder), out, progress, stages, max_files=1)
+    assert [(r[KEY], r.n, r.batch) for r in read_batches(spark, out).collect()] == [('{"k":1}', 3, 0)]
+    put(d=[{"k": 2, "batch": 7}], e=[{"k": 2, "batch": 7}])
+    ingest_files(spark, str(folder), out, progress, stages, max_files=1)
+    assert sorted((r[KEY], r.n, r.batch) for r in read_batches(spark, out).collect()) == [
+        ('{"k":1}', 3, 0),
+        ('{"k":2}', 2, 3),
+    ]
+
+
+def test_a_run_that_failed_is_completed_by_the_next(spark, tmp_path, drop):
+    folder, put = drop
+
+    def broken(df):
+        raise RuntimeError("on purpose")
+
+    def stages(last):
+        return [
+            Stage("typed", lambda df: typed(df.select("json"), "k int")),
+            Stage("n", aggregates=lambda: [F.count(F.lit(1)).alias("n")], grouping_fields=("k",)),
+            Stage("last", last),
+        ]
+
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    put(a=[{"k": 1}], b=[{"k": 1}])
+    with pytest.raises(RuntimeError, match="on purpose"):
+        ingest_files(spark, str(folder), out, progress, stages(broken), max_files=1)
+    put(c=[{"k": 1}])
+    ingest_files(spark, str(folder), out, progress, stages(None), max_files=1)
+    assert [(r[KEY], r.n, r.batch) for r in read_batches(spark, out).collect()] == [('{"k":1}', 3, 0)]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from sluice.operators.sinks import archive_raw, preview, write_dataset, write_routed
+from sluice.operators.sinks import archive_raw, preview, read_routed, write_dataset, write_routed
 from sluice.plans.inputs import Input, load_inputs
 from sluice.plans.job import Job
 from sluice.plans.script import register_frames, run_script
@@ -189,3 +189,10 @@ def test_scripts(spark):
     assert run_script(spark, "SELECT 1 AS a; \nSELECT 2 AS a;").collect() == [(2,)]
     with pytest.raises(ValueError):
         run_script(spark, " -- nothing\n")
+
+
+def test_routed_names_stay_texts(spark, tmp_path):
+    frame = spark.createDataFrame([("007", 1), ("7", 2)], "target string, a int")
+    write_routed(frame, str(tmp_path / "routed"))
+    found = read_routed(spark, str(tmp_path / "routed")).select("target", "a")
+    assert sorted(map(tuple, found.collect())) == [("007", 1), ("7", 2)]
