@@ -15,8 +15,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-from sluice.functions.records import group_key, json_group_key, key_of
+from sluice.functions.records import json_group_key, key_of
 
 KEY = "group_key"
 
@@ -36,17 +37,27 @@ def with_group_key(
         raise ValueError("a grouped stage needs grouping fields or a given key")
     key = F.lit("{}")
     if fields:
-        key = json_group_key(F.col(json), *fields) if json else group_key(*fields)
+        key = json_group_key(F.col(json), *fields) if json else key_of(*[_zeros_alike(df, name) for name in fields])
     return df.withColumn(KEY, F.coalesce(F.col(given), key) if given else key)
 
 
+def _zeros_alike(df: DataFrame, name: str) -> Column:
+    """A field, named by its path; negative zeros become zeros, as in grouping by columns."""
+    column = F.col(name)
+    if isinstance(df.select(column).schema[0].dataType, (DoubleType, FloatType)):
+        column = F.when(column == 0, F.abs(column)).otherwise(column)
+    return column.alias(name)
+
+
 def group_agg(df: DataFrame, *aggregates: Column, partitions: int | None = None) -> DataFrame:
     """Native aggregates per group of a frame that has the group key."""
     result = df.groupBy(KEY).agg(*aggregates)
     return result.repartition(partitions, KEY) if partitions else result
 
 
-def group_fields(df: DataFrame, fields: list[str], *aggregates: Column) -> DataFrame:
+def group_fields(
+    df: DataFrame, fields: list[str], *aggregates: Column, partitions: int | None = None
+) -> DataFrame:
     """As :func:`group_agg` after :func:`with_group_key`, for typed columns.
 
     Rows are grouped by the columns themselves and the key is written once per group, not
@@ -56,7 +67,8 @@ def group_fields(df: DataFrame, fields: list[str], *aggregates: Column) -> DataF
     groups = df.groupBy(*[F.col(name).alias(place) for name, place in zip(fields, places, strict=True)])
     result = groups.agg(*aggregates)
     named = [F.col(place).alias(name) for name, place in zip(fields, places, strict=True)]
-    return result.select(key_of(*named).alias(KEY), *[name for name in result.columns if name not in places])
+    keyed = result.select(key_of(*named).alias(KEY), *[name for name in result.columns if name not in places])
+    return keyed.repartition(partitions, KEY) if partitions else keyed
 
 
 def group_apply(

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sluice.operators.grouping import group_agg, group_fields, with_group_key
+from sluice.operators.grouping import GroupModule, Partial, group_agg, group_apply, group_fields, with_group_key
 from sluice.operators.modules import passthrough
 from sluice.plans.inputs import is_on
 
@@ -22,9 +22,13 @@ class Stage:
 
     A stage with ``grouping_fields``, or with ``given_key`` (a column in which the stage
     before may set the key), groups: ``aggregates()`` gives the native aggregates of each
-    group, or ``fn`` gets its input with the column ``group_key`` and uses ``group_apply``,
-    ``group_frames`` or ``group_agg``. ``key_json`` names the column of JSON text that the
-    fields are taken from, where records are not typed.
+    group, ``module`` with its ``schema`` is called once per group, or ``fn`` gets its input
+    with the column ``group_key`` and uses ``group_apply``, ``group_frames`` or ``group_agg``.
+    ``key_json`` names the column of JSON text that the fields are taken from, where records
+    are not typed.
+
+    ``partitions`` is the number of tasks that work on groups. ``partial``, ``combiner`` and
+    ``max_group_rows`` are those of ``group_apply``, for a module.
     """
 
     name: str
@@ -35,6 +39,12 @@ class Stage:
     key_json: str | None = None
     aggregates: Callable[[], list[Column]] | None = None
     dependencies: tuple[str, ...] = ()
+    module: GroupModule | None = None
+    schema: str | None = None
+    partial: Partial | None = None
+    combiner: bool = True
+    max_group_rows: int | None = None
+    partitions: int | None = None
 
     @property
     def grouped(self) -> bool:
@@ -43,11 +53,21 @@ class Stage:
     def apply(self, df: DataFrame) -> DataFrame:
         fields = list(self.grouping_fields)
         if self.aggregates and not self.given_key and not self.key_json:
-            return group_fields(df, fields, *self.aggregates())
+            return group_fields(df, fields, *self.aggregates(), partitions=self.partitions)
         if self.grouped:
             df = with_group_key(df, fields, given=self.given_key, json=self.key_json)
         if self.aggregates:
-            return group_agg(df, *self.aggregates())
+            return group_agg(df, *self.aggregates(), partitions=self.partitions)
+        if self.module:
+            return group_apply(
+                df,
+                self.module,
+                self.schema,
+                partial=self.partial,
+                use_combiner=self.combiner,
+                max_group_rows=self.max_group_rows,
+                partitions=self.partitions,
+            )
         return (self.fn or passthrough)(df)
 
 
@@ -63,6 +83,10 @@ def stage_errors(stages: list[Stage]) -> list[str]:
             errors.append(f"stage name {stage.name!r} has other characters than letters, digits and _")
         if stage.aggregates and not stage.grouped:
             errors.append(f"stage {stage.name} has aggregates, but nothing to group by")
+        if stage.module and not (stage.grouped and stage.schema):
+            errors.append(f"stage {stage.name} has a module, but no schema or nothing to group by")
+        if [stage.fn, stage.aggregates, stage.module].count(None) < 2:
+            errors.append(f"stage {stage.name} has more than one of fn, aggregates and module")
         for dependency in stage.dependencies:
             if dependency not in ("", PREVIOUS) and dependency not in names[:place]:
                 errors.append(f"stage {stage.name} depends on {dependency}, which is not a stage before it")

@@ -115,7 +115,7 @@ def grouped_combiner(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lines.select(
         KEY, F.lit(1).cast("bigint").alias("n"), F.col("l_quantity").cast("bigint").alias("quantity")
     )
-    return group_apply(rows, _sum_quantity, f"{KEY} string, n bigint, quantity bigint", partitions=4)
+    return group_apply(rows, _sum_quantity, f"{KEY} string, n bigint, quantity bigint")
 
 
 def _length_counts(rows: pd.DataFrame) -> pd.DataFrame:
@@ -133,19 +133,54 @@ def grouped_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A median over few, large groups: groups become counts per value, on salted keys."""
     word = F.explode(F.split("text", " ")).alias("word")
     lengths = with_group_key(table(spark, sf_dir, "documents"), ["lang"]).select(KEY, word)
-    counts = lengths.groupBy(KEY, F.length("word").cast("bigint").alias("length")).agg(row_count())
+    counts = lengths.select(KEY, F.length("word").cast("bigint").alias("length"), F.lit(1).cast("bigint").alias("n"))
     schema = f"{KEY} string, words bigint, median_length bigint"
     return group_apply(counts, _median_length, schema, partial=_length_counts, salts=8)
 
 
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _longest_gap(_: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    days = pd.concat(batches)["day"].sort_values()
+    yield pd.DataFrame({"orders": [len(days)], "longest_gap": [int(days.diff().fillna(0).max())]})
+
+
+def grouped_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A module that has to see every row of a group, of which a customer's orders are few."""
+    day = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint").alias("day")
+    gaps = Stage(
+        "gaps",
+        grouping_fields=("o_custkey",),
+        module=_longest_gap,
+        schema=f"{KEY} string, orders bigint, longest_gap bigint",
+        combiner=False,
+        max_group_rows=10_000,
+    )
+    return run_stages(table(spark, sf_dir, "orders").select("o_custkey", day), [gaps])
+
+
+def exact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times to the microsecond, and numbers that no double holds, make different keys."""
+    events = table(spark, sf_dir, "events")
+    digits = F.concat(F.lit('{"x":0.12345678901234567890'), F.col("user_id").cast("string"), F.lit("7}"))
+    exact = with_group_key(events.withColumn("json", digits), ["x"], json="json")
+    seconds = "make_dt_interval(0, 0, 0, CAST(user_id / 1000000 AS DECIMAL(18, 6)))"
+    instant = F.expr(f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + {seconds} AS at")
+    return group_agg(exact, row_count()).unionByName(group_fields(events.select(instant), ["at"], row_count()))
+
+
 def post_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stages after a grouped one, and a second grouping after those."""
 
-    def per_customer(df: DataFrame) -> DataFrame:
-        return group_agg(df, row_count(), total_cents("o_totalprice"), partitions=4)
-
     stages = [
-        Stage("per_customer", per_customer, grouping_fields=("o_custkey",)),
+        Stage(
+            "per_customer",
+            aggregates=lambda: [row_count(), total_cents("o_totalprice")],
+            grouping_fields=("o_custkey",),
+            partitions=_tasks(spark),
+        ),
         Stage("several", lambda df: df.where("n >= 2").withColumn("mean", F.expr("cents div n")).drop(KEY)),
         Stage("per_n", aggregates=lambda: [row_count(), F.max("mean").alias("mean")], grouping_fields=("n",)),
     ]
@@ -171,7 +206,7 @@ def _out_of_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def groups_sorted_in_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups arrive in key order in every partition."""
     groups = group_fields(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_returnflag"], row_count())
-    ordered = groups_in_key_order(groups, partitions=8)
+    ordered = groups_in_key_order(groups, partitions=_tasks(spark))
     seen = ordered.select(KEY).mapInPandas(_out_of_order, "records bigint, out_of_order bigint")
     return seen.agg(F.sum("records").alias("records"), F.sum("out_of_order").alias("out_of_order"))
 
@@ -250,6 +285,25 @@ QUERIES = {
         FROM (SELECT lang, unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY lang
         """,
     ),
+    "grouped_whole": Query(
+        grouped_whole,
+        """
+        SELECT '{"o_custkey":' || o_custkey || '}' AS group_key, count(*) AS orders,
+               max(coalesce(gap, 0))::BIGINT AS longest_gap
+        FROM (SELECT o_custkey, o_orderdate::DATE - lag(o_orderdate::DATE) OVER (
+                  PARTITION BY o_custkey ORDER BY o_orderdate) AS gap FROM orders)
+        GROUP BY o_custkey
+        """,
+    ),
+    "exact_keys": Query(
+        exact_keys,
+        """
+        SELECT '{"x":0.12345678901234567890' || user_id || '7}' AS group_key, count(*) AS n FROM events GROUP BY user_id
+        UNION ALL
+        SELECT '{"at":"' || strftime(make_timestamp(user_id::BIGINT), '%Y-%m-%dT%H:%M:%S.%f') || '"}', count(*)
+        FROM events GROUP BY user_id
+        """,
+    ),
     "post_group": Query(
         post_group,
         """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import gzip
 import io
 from collections.abc import Iterator
 
@@ -111,12 +112,14 @@ def route_by_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
     clicks = typed(found.where("extension = 'JSON'").select("json"), "event_type string")
     lines = F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("event_type")
     rest = found.where("extension = 'TXT'").select(lines).where("event_type != ''")
-    # Whole files have no records of their own, and nothing inflates them.
-    zipped = found.where("extension = 'GZ' and (json is not null or hex(substr(content, 1, 2)) != '1F8B')")
+    # Nothing inflates whole files, so their bytes still hold all records.
+    inflated = F.udf(lambda content: gzip.decompress(content).decode(), "string")
+    line = F.explode(F.split(inflated("content"), "\n")).alias("json")
+    zipped = typed(found.where("extension = 'GZ' and json is null").select(line).where("json != ''"), "event_type string")
     return (
         clicks.withColumn("parser", F.lit("json"))
         .unionByName(rest.withColumn("parser", F.lit("binary")))
-        .unionByName(zipped.select(F.lit("view").alias("event_type"), F.lit("json").alias("parser")))
+        .unionByName(zipped.withColumn("parser", F.lit("zipped")))
         .groupBy("parser", "event_type")
         .agg(row_count())
     )
@@ -298,8 +301,9 @@ QUERIES = {
     "route_by_extension": Query(
         route_by_extension,
         """
-        SELECT CASE event_type WHEN 'click' THEN 'json' ELSE 'binary' END AS parser, event_type, count(*) AS n
-        FROM events WHERE event_type <> 'view' GROUP BY ALL
+        SELECT CASE event_type WHEN 'click' THEN 'json' WHEN 'view' THEN 'zipped' ELSE 'binary' END AS parser,
+               event_type, count(*) AS n
+        FROM events GROUP BY ALL
         """,
     ),
     "custom_parser": Query(custom_parser, "SELECT event_id, event_type, value FROM events"),

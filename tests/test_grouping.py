@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sluice.operators import grouping
 from sluice.operators.grouping import KEY, group_agg, group_apply, group_fields, group_frames, with_group_key
 from sluice.operators.ordering import groups_in_key_order, with_ordinals
-from sluice.plans.stages import Stage, run_stages
+from sluice.plans.stages import Stage, run_stages, stage_errors
 
 
 @pytest.fixture(scope="module")
@@ -140,6 +140,44 @@ def test_grouping_by_fields_gives_the_same_keys(spark):
     assert pairs(group_fields(frame, fields, F.count(F.lit(1)).alias("v"))) == pairs(by_text)
 
 
+@pytest.mark.parametrize(
+    "values",
+    [
+        "TIMESTAMP'2024-01-01 00:00:00.000001', TIMESTAMP'2024-01-01 00:00:00.000002'",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00.000001', TIMESTAMP_NTZ'2024-01-01 00:00:00.000002'",
+        "0.0D, -0.0D, double('NaN'), 1.5D",
+        "float(0), float('-0.0'), float(2.5)",
+        "1.10BD, 1.20BD",
+        "DATE'2024-01-01', DATE'2024-01-02'",
+        "true, false, null",
+        "'a', 'é', ''",
+        "X'00', X'FF'",
+        "array(1, null), array(2)",
+    ],
+)
+def test_both_ways_of_grouping_agree_on_every_type(spark, values):
+    frame = spark.sql(f"SELECT explode(array({values})) AS k UNION ALL SELECT explode(array({values}))")
+    count = F.count(F.lit(1)).alias("n")
+    by_key = group_agg(with_group_key(frame, ["k"]), count)
+    by_fields = group_fields(frame, ["k"], count, partitions=2)
+    assert by_fields.rdd.getNumPartitions() == 2
+    assert sorted(map(tuple, by_key.collect())) == sorted(map(tuple, by_fields.collect()))
+    assert by_key.count() == frame.distinct().count()
+
+
+def test_module_of_a_stage(spark):
+    def spread(_, batches):
+        a = pd.concat(batches)["a"]
+        yield pd.DataFrame({"spread": [int(a.max() - a.min())]})
+
+    frame = spark.createDataFrame([(1, 5), (1, 9), (2, 4)], "k int, a int")
+    settings = {"schema": f"{KEY} string, spread int", "combiner": False, "max_group_rows": 2, "partitions": 3}
+    stage = Stage("spread", grouping_fields=("k",), module=spread, **settings)
+    assert sorted(map(tuple, run_stages(frame, [stage]).collect())) == [('{"k":1}', 4), ('{"k":2}', 0)]
+    assert stage_errors([stage]) == []
+    assert len(stage_errors([Stage("x", lambda df: df, module=spread)])) == 2
+
+
 def test_given_key_wins(spark):
     frame = spark.createDataFrame([(1, None), (1, '{"x":1}'), (2, None)], "a int, given string")
     keyed = with_group_key(frame, ["a"], given="given")
