@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from sluice.operators.sinks import write_dataset
 from sluice.plans.inputs import Input, is_on, load_inputs
 from sluice.plans.stages import Stage, run_stages, stage_errors
+from sluice.session import scratch_removed
 
 
 @dataclass(frozen=True)
@@ -40,7 +41,9 @@ class Job:
 
         ``count_stages`` gives the number of records after each stage. Filters and column
         choices of later stages do not reach the input through a stage that is counted.
+        Intermediate tables are removed after the result is written.
         """
         counts: dict[str, Observation] | None = {} if count_stages else None
-        write_dataset(self.plan(spark, counts), dataset, **sink)
+        with scratch_removed(spark):
+            write_dataset(self.plan(spark, counts), dataset, **sink)
         return {name: observed.get["records"] for name, observed in (counts or {}).items()}

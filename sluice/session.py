@@ -6,12 +6,16 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 _PACKAGE = Path(__file__).parent
 _shipped: set[str] = set()
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def build_session(app: str = "sluice", master: str | None = None, **conf: str) -> SparkSession:
@@ -57,6 +61,22 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """At its end, the folders that :func:`scratch_path` gave in it are removed.
+
+    What is computed from them has to be written before.
+    """
+    made: list[str] = []
+    token = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in made:
+            remove_folder(spark, path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the cluster's shared ``spark.checkpoint.dir``.
 
@@ -68,4 +88,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "sluice-scratch")
-    return f"{base.rstrip('/')}/sluice/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/sluice/{label}-{uuid.uuid4().hex}"
+    made = _scratch.get()
+    if made is not None:
+        made.append(path)
+    return path

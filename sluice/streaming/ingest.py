@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from sluice.functions.records import NO_PERIOD, period_folder
 from sluice.plans.inputs import is_on
 from sluice.plans.stages import Stage, run_stages
-from sluice.session import remove_folder, scratch_path
+from sluice.session import remove_folder, scratch_path, scratch_removed
 from sluice.sources.files import scan_files
 from sluice.sources.paths import literal, or_empty
 
@@ -136,8 +136,9 @@ def ingest_files(
     def take(batch: DataFrame, number: int) -> None:
         paths = [literal(row.path) for row in batch.collect()]
         if paths:
-            result = run_stages(scan(spark, paths), before)
-            result.write.mode("overwrite").parquet(f"{batches_at}={number}")
+            with scratch_removed(spark):
+                result = run_stages(scan(spark, paths), before)
+                result.write.mode("overwrite").parquet(f"{batches_at}={number}")
 
     (
         arrived.writeStream.foreachBatch(take)
@@ -161,8 +162,9 @@ def _finish_run(spark: SparkSession, held: str, done: int, stages: list[Stage],
     batches = or_empty(spark, lambda: spark.read.parquet(held), f"{_HELD} bigint", True).where(F.col(_HELD) > done)
     last = batches.agg(F.max(_HELD)).first()[0]
     if last is not None:
-        result = run_stages(batches.drop(_HELD), stages)
-        result.write.mode("overwrite").parquet(f"{out}/batch={done + 1}")
+        with scratch_removed(spark):
+            result = run_stages(batches.drop(_HELD), stages)
+            result.write.mode("overwrite").parquet(f"{out}/batch={done + 1}")
         spark.range(1).select(F.lit(last).cast("bigint").alias("last")).write.mode("append").parquet(runs)
     remove_folder(spark, held)
 
