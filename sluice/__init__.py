@@ -9,6 +9,7 @@ from sluice.plans.stages import Stage, run_stages
 from sluice.session import build_session, ship_package
 from sluice.sources.files import Parser, scan_binary, scan_files, scan_parsed
 from sluice.sources.json_objects import scan_json_objects
+from sluice.sources.raw_files import Storage
 from sluice.sources.tables import scan_lines, scan_service, scan_text
 
 __all__ = [
@@ -17,6 +18,7 @@ __all__ = [
     "Job",
     "Parser",
     "Stage",
+    "Storage",
     "build_session",
     "group_agg",
     "group_apply",

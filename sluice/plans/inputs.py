@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.sources.files import scan_files
-from sluice.sources.paths import first_files, or_empty, split_paths
+from sluice.sources.paths import first_files, literal, matching, named_files, or_empty, split_paths
 from sluice.sources.tables import scan_service
 
 _log = logging.getLogger(__name__)
@@ -72,6 +72,8 @@ class Input:
         filters = {"path_filters": self.path_filters} if self.path_filters else {}
         if limit is not None:
             paths = first_files(spark, paths, FILES_PER_RECORD * limit, **filters, **self.options)
+        if not paths and self.paths is not None:
+            return spark.createDataFrame([], self._empty_schema())
         if self.scan:
             schema = {"schema": self.schema} if self.schema else {}
             return self.scan(spark, paths, **schema, **filters, **self.options)
@@ -80,6 +82,17 @@ class Input:
             records = records.drop(*SOURCE_COLUMNS)
         return typed(records, self.schema) if self.schema else records
 
+    def taken(self, spark: SparkSession) -> tuple[Input, list[str]]:
+        """The input of just the files that are there now, and their names, so that what is cleaned up is what was read."""
+
+        def listed() -> DataFrame:
+            files = spark.read.format("binaryFile").options(**self.options).load(split_paths(self.paths or []))
+            return named_files(files).where(matching(self.path_filters, "path"))
+
+        found = or_empty(spark, listed, "path string, fileName string", self.missing_ok)
+        names = sorted(row.fileName for row in found.collect())
+        return replace(self, paths=[literal(name) for name in names]), names
+
     def _empty_schema(self) -> str:
         source = "path string, seq bigint, extension string, " if self.source_columns else ""
         return f"{source}{self.schema or 'json string'}, fileName string, content binary"

@@ -1,24 +1,34 @@
-"""A whole enrichment job: inputs, stages, dataset."""
+"""A whole enrichment job: inputs, stages, datasets, and what becomes of the files."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from sluice.operators.sinks import write_dataset
+from sluice.operators.sinks import write_dataset, write_routed
 from sluice.plans.inputs import Input, is_on, load_inputs
 from sluice.plans.stages import Stage, run_stages, stage_errors
 from sluice.session import scratch_removed
+from sluice.sources.raw_files import Storage, clean_files, run_folder
 
 
 @dataclass(frozen=True)
 class Job:
-    """Reads the inputs, runs the stages on their union and gives or writes the result."""
+    """Reads the inputs, runs the stages on their union and gives or writes the result.
+
+    With ``storage``, the files of its inputs that are in the import area are cleaned up after
+    all output is written: moved to the folder of the run's ``period`` (a pattern) below
+    ``archive`` where raw storage is enabled, else deleted. Trial runs clean up nothing.
+    """
 
     inputs: list[Input]
     stages: list[Stage]
     trial_limit: int | None = None
+    storage: Storage | None = None
+    archive: str | None = None
+    period: str | None = None
 
     def errors(self) -> list[str]:
         found = [
@@ -31,19 +41,54 @@ class Job:
         return found + stage_errors(self.stages)
 
     def plan(self, spark: SparkSession, counts: dict[str, Observation] | None = None) -> DataFrame:
+        """The result; what stages emit to other datasets is left to :meth:`run`."""
+        return self._plan(spark, self.inputs, counts, [])
+
+    def _plan(
+        self,
+        spark: SparkSession,
+        inputs: list[Input],
+        counts: dict[str, Observation] | None,
+        emitted: list[DataFrame],
+    ) -> DataFrame:
         errors = self.errors()
         if errors:
             raise ValueError("; ".join(errors))
-        return run_stages(load_inputs(spark, self.inputs, self.trial_limit), self.stages, counts)
+        return run_stages(load_inputs(spark, inputs, self.trial_limit), self.stages, counts, emitted)
 
-    def run(self, spark: SparkSession, dataset: str, *, count_stages: bool = False, **sink: object) -> dict[str, int]:
-        """Adds the result to ``dataset``.
+    def run(
+        self,
+        spark: SparkSession,
+        dataset: str,
+        *,
+        count_stages: bool = False,
+        others: str | None = None,
+        run_time: datetime | None = None,
+        **sink: object,
+    ) -> dict[str, int]:
+        """Adds the result to ``dataset``, and what stages emit to the datasets below ``others``.
 
         ``count_stages`` gives the number of records after each stage. Filters and column
         choices of later stages do not reach the input through a stage that is counted.
-        Intermediate tables are removed after the result is written.
+        Intermediate tables are removed after the result is written. ``run_time`` is now unless
+        it is given. Clean-up comes last, so a run that fails before leaves all files in place.
         """
+        run_time = run_time or datetime.now(UTC)
         counts: dict[str, Observation] | None = {} if count_stages else None
+        emitted: list[DataFrame] = []
+        inputs, names = self.inputs, []
+        cleans = self.storage is not None and self.trial_limit is None
+        if cleans:
+            taken = [item.taken(spark) if is_on(item.enabled) and not item.service else (item, []) for item in inputs]
+            inputs, names = [item for item, _ in taken], [name for _, found in taken for name in found]
         with scratch_removed(spark):
-            write_dataset(self.plan(spark, counts), dataset, **sink)
+            result = self._plan(spark, inputs, counts, emitted)
+            if emitted and not others:
+                raise ValueError("stages emit to other datasets: the job needs a folder for them")
+            write_dataset(result, dataset, **sink)
+            for records in emitted:
+                write_routed(records, others)
+        if cleans:
+            period = run_folder(spark, run_time, self.period)
+            clean_files(spark, names, self.storage, self.archive, period=period)
         return {name: observed.get["records"] for name, observed in (counts or {}).items()}

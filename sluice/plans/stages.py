@@ -29,6 +29,9 @@ class Stage:
 
     ``partitions`` is the number of tasks that work on groups. ``partial``, ``combiner`` and
     ``max_group_rows`` are those of ``group_apply``, for a module.
+
+    ``emits`` picks records of the stage's input for other datasets, which their column
+    ``target`` names. They are written by a job, in a pass of their own.
     """
 
     name: str
@@ -45,6 +48,7 @@ class Stage:
     combiner: bool = True
     max_group_rows: int | None = None
     partitions: int | None = None
+    emits: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def grouped(self) -> bool:
@@ -93,17 +97,27 @@ def stage_errors(stages: list[Stage]) -> list[str]:
     return errors
 
 
-def run_stages(df: DataFrame, stages: list[Stage], counts: dict[str, Observation] | None = None) -> DataFrame:
+def run_stages(
+    df: DataFrame,
+    stages: list[Stage],
+    counts: dict[str, Observation] | None = None,
+    emitted: list[DataFrame] | None = None,
+) -> DataFrame:
     """Runs the enabled stages in list order, each on the result of the one before.
 
     Raw file bytes reach the first stage only. With ``counts``, each stage's number of
     records is observed while the result is computed and can be read from it afterwards;
-    filters of later stages then stay above the stages that are counted.
+    filters of later stages then stay above the stages that are counted. What stages emit to
+    other datasets is added to ``emitted``.
     """
     enabled = [stage for stage in stages if is_on(stage.enabled)]
     if not enabled:
         return passthrough(df)
     for stage in enabled:
+        if stage.emits:
+            if emitted is None:
+                raise ValueError(f"stage {stage.name} emits to other datasets, which only a job writes")
+            emitted.append(stage.emits(df))
         df = passthrough(stage.apply(df))
         if counts is not None:
             counts[stage.name] = Observation(stage.name)

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.grouping import KEY
 from sluice.operators.sinks import archive_raw, read_routed, write_dataset, write_routed
-from sluice.plans.inputs import typed
+from sluice.plans.inputs import Input, typed
+from sluice.plans.job import Job
 from sluice.plans.stages import Stage
 from sluice.queries.common import Query, row_count, table, total_cents, whole_number
 from sluice.session import scratch_path
-from sluice.streaming.ingest import Storage, cleaning, ingest_files, ingest_folders, ingest_lines, read_batches
+from sluice.sources.raw_files import Storage, cleaning
+from sluice.streaming.ingest import ingest_files, ingest_folders, ingest_lines, read_batches
 
 EVENT_FIELDS = ["event_id", "user_id", "event_type", "value"]
 EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double"
@@ -77,6 +82,31 @@ def drop_folder_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_batches(spark, out).select(KEY, "n", "cents")
 
 
+def job_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job with a side output, which archives the files that it read; all that is then where."""
+    events = table(spark, sf_dir, "events").select(EVENT_FIELDS)
+    folder, out, _ = ingest_folders(spark, "job")
+    archive, others = scratch_path(spark, "job-archive"), scratch_path(spark, "job-others")
+    write_dataset(events, folder, format="json")
+    errors = Stage(
+        "errors_out",
+        lambda df: df.where("event_type != 'error'"),
+        emits=lambda df: df.where("event_type = 'error'").withColumn("target", F.lit("errors")),
+    )
+    inputs = [Input("events", paths=folder, schema=EVENT_SCHEMA)]
+    job = Job(inputs, [errors], storage=Storage({}, {}), archive=archive, period="yyyy")
+    job.run(spark, out, others=others, run_time=datetime(2024, 5, 6, tzinfo=UTC))
+    lines = spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true")
+    where = {
+        "result": spark.read.parquet(out),
+        "errors": read_routed(spark, others).where("target = 'errors'"),
+        "archived": lines.json(f"{archive}/2024"),
+        "left": lines.json(folder),
+    }
+    found = [df.select(F.lit(name).alias("dataset"), "event_type", "value") for name, df in where.items()]
+    return reduce(DataFrame.unionAll, found).groupBy("dataset", "event_type").agg(row_count(), total_cents("value"))
+
+
 _CENTS_SQL = "sum(round(value * 100)::BIGINT)::BIGINT AS cents"
 _ROUTED_SQL = f"SELECT event_type AS target, event_type, count(*) AS n, {_CENTS_SQL} FROM events GROUP BY ALL"
 
@@ -87,6 +117,16 @@ QUERIES = {
     "archived_raw": Query(
         archived_raw, f"SELECT strftime(ts, '%Y-%m-%d') AS period, count(*) AS n, {_CENTS_SQL} FROM events GROUP BY 1"
     ),
+    "job_archive": Query(
+        job_archive,
+        f"""
+        WITH placed AS (
+            SELECT CASE event_type WHEN 'error' THEN 'errors' ELSE 'result' END AS dataset, * FROM events
+            UNION ALL SELECT 'archived', * FROM events
+        )
+        SELECT dataset, event_type, count(*) AS n, {_CENTS_SQL} FROM placed GROUP BY ALL
+        """,
+    ),
     "drop_folder": Query(
         drop_folder, "SELECT event_id, event_type, round(value * 100)::BIGINT AS cents FROM events"
     ),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.records import file_extension
 from sluice.sources.json_objects import WHOLE_FILE_BYTES, objects_of
-from sluice.sources.paths import FILE_PATH, matching, split_paths
+from sluice.sources.paths import FILE_PATH, matching, named_files, split_paths
 
 _ROWS_PER_BATCH = 10_000
 
@@ -26,8 +26,8 @@ def scan_binary(
 ) -> DataFrame:
     """One record per file: its name and all its bytes.
 
-    Spark's scans leave out files of no bytes. ``keep_empty`` adds records for those, for
-    which the names of all files pass through the driver.
+    Spark's scans leave out files of no bytes. ``keep_empty`` adds records for those, by a join of
+    all listed names with the names that the scan reads; a file that vanished then counts as empty.
     """
     files = _listed(spark, paths, {"ignoreMissingFiles": "true", **options})
     found = _whole(files, matching(path_filters))
@@ -35,13 +35,8 @@ def scan_binary(
 
 
 def _empty(files: DataFrame) -> DataFrame:
-    names = [(name.replace("file:///", "file:/", 1),) for name in files.inputFiles()]
-    every = files.sparkSession.createDataFrame(names, "path string")
-    # A plus sign stands for itself in a path.
-    plain = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
-    return every.join(files.select(F.col(FILE_PATH).alias("path")), "path", "left_anti").select(
-        "path", plain.alias("fileName"), F.lit(b"").alias("content")
-    )
+    full = files.select(F.col(FILE_PATH).alias("path"))
+    return named_files(files).join(full, "path", "left_anti").withColumn("content", F.lit(b""))
 
 
 def _listed(spark: SparkSession, paths: str | list[str], options: dict[str, str]) -> DataFrame:

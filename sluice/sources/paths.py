@@ -62,6 +62,15 @@ def list_files(
     )
 
 
+def named_files(files: DataFrame) -> DataFrame:
+    """``(path, fileName)``, as of :func:`list_files`, of all files of a scan, also of those of no
+    bytes, which Spark's scans leave out. The names pass through the driver, which has listed them."""
+    names = [(name.replace("file:///", "file:/", 1),) for name in files.inputFiles()]
+    listed = files.sparkSession.createDataFrame(names, "path string")
+    # A plus sign stands for itself in a path.
+    return listed.withColumn("fileName", F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))))
+
+
 def first_files(
     spark: SparkSession, paths: str | list[str], count: int, *, path_filters: list[str] | None = None, **options: str
 ) -> list[str]:

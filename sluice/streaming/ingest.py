@@ -8,61 +8,20 @@ is never lost to cleaning and the newest files may stay in the folder until the
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.records import NO_PERIOD, period_folder
 from sluice.plans.inputs import is_on
 from sluice.plans.stages import Stage, run_stages
 from sluice.session import remove_folder, scratch_path, scratch_removed
 from sluice.sources.files import scan_files
 from sluice.sources.paths import literal, or_empty
+from sluice.sources.raw_files import IMPORT_AREA
 
-IMPORT_AREA = "/import/"
 _HELD = "held_batch"
 
 
-@dataclass(frozen=True)
-class Storage:
-    """A dataset's settings for raw files. ``None`` for a block that is not there; a block
-    that is there counts as enabled unless it says no."""
-
-    storage: dict[str, bool | None] | None = None
-    raw: dict[str, bool | None] | None = None
-
-
-def run_folder(spark: SparkSession, run_time: datetime, pattern: str | None = None) -> str:
-    """The folder of the period in which a run began; one for all if there is no period."""
-    return spark.range(1).select(period_folder(F.lit(run_time), pattern)).first()[0]
-
-
-def cleaning(
-    folder: str,
-    storage: Storage,
-    archive: str | None = None,
-    *,
-    period: str = NO_PERIOD,
-    area: str = IMPORT_AREA,
-) -> dict[str, str]:
-    """Options of the file source that clean up ``folder``: nothing outside the import area,
-    else archiving where storage and raw storage are both enabled, else deletion. Archived
-    files go to the run's folder ``period`` below ``archive``."""
-
-    def enabled(block: dict[str, bool | None] | None) -> bool:
-        return block is not None and block.get("enabled") is not False
-
-    if area not in f"{folder.rstrip('/')}/":
-        return {}
-    if enabled(storage.storage) and enabled(storage.raw):
-        if not archive:
-            raise ValueError("an archive folder is needed")
-        return {"cleanSource": "archive", "sourceArchiveDir": f"{archive}/{period}"}
-    return {"cleanSource": "delete"}
-
-
 def ingest_lines(
     spark: SparkSession,
     folder: str,

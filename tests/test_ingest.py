@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from sluice.operators.grouping import KEY, group_agg
 from sluice.plans.inputs import typed
 from sluice.plans.stages import Stage
-from sluice.streaming.ingest import Storage, cleaning, ingest_files, ingest_lines, read_batches, run_folder
+from sluice.sources.raw_files import Storage, cleaning, run_folder
+from sluice.streaming.ingest import ingest_files, ingest_lines, read_batches
 
 FOLDER = "/data/set/import/ready"
 

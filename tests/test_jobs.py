@@ -1,5 +1,6 @@
 import json
 import os
+from datetime import UTC, datetime
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from sluice.plans.inputs import Input, load_inputs
 from sluice.plans.job import Job
 from sluice.plans.script import register_frames, run_script
 from sluice.plans.stages import Stage, run_stages, stage_errors
+from sluice.sources.raw_files import Storage
 from sluice.sources.tables import scan_lines, scan_text
 
 
@@ -196,3 +198,86 @@ def test_routed_names_stay_texts(spark, tmp_path):
     write_routed(frame, str(tmp_path / "routed"))
     found = read_routed(spark, str(tmp_path / "routed")).select("target", "a")
     assert sorted(map(tuple, found.collect())) == [("007", 1), ("7", 2)]
+
+
+RUN = datetime(2024, 5, 6, tzinfo=UTC)
+
+
+def left(folder):
+    return sorted(
+        os.path.relpath(os.path.join(at, name), folder)
+        for at, _, names in os.walk(folder)
+        for name in names
+        if not name.endswith(".crc")
+    )
+
+
+def test_job_archives_what_it_read(spark, tmp_path):
+    folder = tmp_path / "import" / "ready"
+    put(folder / "a b+c%20{d}.json", [{"a": 1}, {"a": 2}])
+    put(folder / "e.json", [])
+    put(folder / "not.txt", [{"a": 9}])
+    put(tmp_path / "elsewhere" / "x.json", [{"a": 3}])
+    inputs = [
+        Input("ready", paths=str(folder), path_filters=["json$"], schema="a int"),
+        Input("other", paths=str(tmp_path / "elsewhere"), schema="a int"),
+        Input("off", paths=str(tmp_path / "absent"), enabled=False),
+    ]
+    late = str(folder / "late.json")
+
+    def arrives(df):
+        put(folder / "late.json", [{"a": 100}])
+        return df
+
+    job = Job(inputs, [Stage("arrives", arrives)], storage=Storage({}, {}), archive=str(tmp_path / "keep"), period="yyyy/MM")
+    job.run(spark, str(tmp_path / "out"), run_time=RUN)
+    assert sorted(row.a for row in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
+    assert left(folder) == ["late.json", "not.txt"] and os.path.exists(late)
+    assert left(tmp_path / "elsewhere") == ["x.json"]
+    kept = tmp_path / "keep" / "2024" / "05"
+    assert [os.path.basename(name) for name in left(kept)] == ["a b+c%20{d}.json", "e.json"]
+    # A file of a name that is archived already replaces nothing.
+    put(folder / "e.json", [{"a": 4}])
+    job.run(spark, str(tmp_path / "out"), run_time=RUN)
+    assert sorted(os.path.basename(name) for name in left(kept)) == ["a b+c%20{d}.json", "e.json", "e.json", "late.json"]
+    assert sum(row.a for row in spark.read.parquet(str(tmp_path / "out")).collect()) == 6 + 100 + 4 + 3
+
+
+def test_job_deletes_only_after_its_output(spark, tmp_path):
+    folder = tmp_path / "import" / "ready"
+    put(folder / "a.json", [{"a": 1}])
+    inputs = [Input("ready", paths=str(folder), schema="a int")]
+
+    def job(fn=None, **more):
+        return Job(inputs, [Stage("s", fn)], **more)
+
+    failing = job(lambda df: df.withColumn("a", F.raise_error(F.lit("no"))), storage=Storage({}))
+    with pytest.raises(Exception, match="no"):
+        failing.run(spark, str(tmp_path / "failed"))
+    job().run(spark, str(tmp_path / "kept"))
+    job(storage=Storage({}), trial_limit=5).run(spark, str(tmp_path / "trial"))
+    with pytest.raises(ValueError, match="archive"):
+        job(storage=Storage({}, {})).run(spark, str(tmp_path / "nowhere"))
+    assert left(folder) == ["a.json"]
+    for _ in range(2):  # the second time there is nothing to read
+        job(storage=Storage({})).run(spark, str(tmp_path / "out"))
+        assert left(folder) == []
+    assert [row.a for row in spark.read.parquet(str(tmp_path / "out")).collect()] == [1]
+
+
+def test_job_with_other_datasets(spark, tmp_path):
+    where = put(tmp_path / "in" / "a.json", [{"a": i} for i in range(6)])
+    odd = Stage(
+        "odd",
+        lambda df: df.where("a % 2 = 1"),
+        emits=lambda df: df.where("a % 2 = 0").withColumn("target", F.when(F.col("a") > 2, "007").otherwise("7")),
+    )
+    job = Job([Input("in", paths=where, schema="a int")], [odd])
+    out, others = str(tmp_path / "out"), str(tmp_path / "others")
+    job.run(spark, out, others=others)
+    assert sorted(row.a for row in spark.read.parquet(out).collect()) == [1, 3, 5]
+    assert sorted(map(tuple, read_routed(spark, others).select("a", "target").collect())) == [(0, "7"), (2, "7"), (4, "007")]
+    with pytest.raises(ValueError, match="folder"):
+        job.run(spark, str(tmp_path / "more"))
+    with pytest.raises(ValueError, match="only a job"):
+        run_stages(job.plan(spark), [odd])
