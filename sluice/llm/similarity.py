@@ -365,7 +365,19 @@ def _linked_classes(
     )
     placed = members.join(chunks, "component").withColumn("chunk", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
     wanted = placed.select(F.col("first").alias("id"), F.col("class").alias("wanted"), "component", "chunks", "chunk")
-    texts = source.join(limited_broadcast(wanted), "id")
+    texts = source.join(limited_broadcast(wanted.where("id is not null")), "id")
+    nameless = wanted.where("id is null")
+
+    def classes(given):
+        for (body,) in given:
+            found = shingles(body, words)
+            if len(found):
+                yield class_of(found), body
+
+    # Classes without any id are looked up by their hash, a text of each, among the rows without id.
+    known = map_rows(source.where("id is null").select("text"), classes, "wanted bigint, text string")
+    others = known.join(limited_broadcast(nameless), "wanted").dropDuplicates(["wanted"])
+    place = ["text", "wanted", "component", "chunks", "chunk"]
 
     def sets(given):
         for body, wanted, component, chunks, chunk in given:
@@ -379,7 +391,7 @@ def _linked_classes(
                 yield component, low, high, wanted, data
 
     cells = map_rows(
-        texts.select("text", "wanted", "component", "chunks", "chunk"),
+        texts.select(place).unionByName(others.select(place)),
         sets,
         "component bigint, low int, high int, class bigint, members binary",
     )

@@ -423,6 +423,32 @@ def test_jaccard_join(spark, monkeypatch, chunk, short):
     assert sorted(map(tuple, got), key=repr) == sorted(brute_components(rows), key=repr)
 
 
+def without_ids():
+    """A near copy without an id, a bridge without one between two that do not link, and a group of none but such."""
+    rng = random.Random(11)
+
+    def words(size):
+        return [f"v{rng.randrange(10_000)}" for _ in range(size)]
+
+    near, bridge, group = words(200), words(200), words(200)
+    left, right = ["l", *bridge[:178]], [*bridge[22:], "r"]
+    rows = [(20, near), (None, [*near[:-1], "x"]), (21, left), (None, bridge), (22, right), (23, words(40))]
+    rows += [(None, [*group[:-1], f"g{i}"]) for i in range(3)] + [(None, group)] * 2
+    return [(key, " ".join(body)) for key, body in rows]
+
+
+@pytest.mark.parametrize("chunk", [400_000, 200])
+def test_jaccard_join_of_rows_without_ids(spark, chunk):
+    rows = without_ids()
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = brute_components(rows)
+    assert [key for _, _, key in expected] == [20, 20, 21, 21, 21, 23, *[None] * 5]
+    got = similarity.join(frame, chunk_shingles=chunk).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+    kept = [row.doc_id for row in similarity.representatives(frame, chunk_shingles=chunk).collect()]
+    assert sorted(kept, key=repr) == sorted([20, 21, 23, None], key=repr)
+
+
 def test_divide_skip_finds_all():
     rng = random.Random(4)
     for _ in range(60):
