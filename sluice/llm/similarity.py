@@ -15,8 +15,9 @@ so they share at least T shingles, T from their sizes, and T of the query's list
    what cannot reach T, and survivors are looked up in the long ones by bisection. Counts are
    exact, so a survivor is a link. A group too large for a task is cut into chunks, and each
    pair of chunks is a task.
-5. Sets already connected are not searched against each other, and a component is left at its
-   first link. So a group of k near copies costs about k searches, not k^2 pairs.
+5. For components, sets already connected are not searched against each other, and a component
+   is left at its first link. So a group of k near copies costs about k searches, not k^2 pairs.
+   ``links`` searches on and gives every link.
 """
 
 from __future__ import annotations
@@ -236,6 +237,21 @@ def linked_components(sets: list[np.ndarray], threshold: int = THRESHOLD) -> lis
     return component
 
 
+def linked_pairs(sets: list[np.ndarray], threshold: int = THRESHOLD) -> Iterator[tuple[int, int]]:
+    """The positions of every two sets that link, each pair once."""
+    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+    times = Counter(member for found in sets for member in found.tolist())
+    size = [len(sets[i]) for i in order]
+    lists = _Lists()
+    for number, place in enumerate(order):
+        members = [member for member in sets[place].tolist() if times[member] > 1]
+        own = size[number]
+        least = max(1, -(-threshold * own // 100))
+        for other in lists.search(members, least, lambda other: required(own, size[other], threshold)):
+            yield place, order[other]
+        lists.add(number, members)
+
+
 def _cells(found: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
@@ -351,13 +367,16 @@ def _candidate_groups(
     return components(edges, label="candidates")
 
 
-def _linked_classes(
+def _dealt_sets(
     source: DataFrame, words: int, threshold: int, chunk_shingles: int
-) -> tuple[DataFrame, DataFrame]:
-    """``id, class, n, histogram`` of every row of ``id, text``; ``class, root, component_id`` of every class."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``id, class, n, histogram`` of every row of ``id, text``; ``class, first, n, copies`` of every class; and the
+    whole sets of the candidate groups, dealt by ``component, low, high``: a pair of chunks."""
     rows, table = _shingle_counts(source, words)
     groups = staged(_candidate_groups(source, rows, table, words, threshold), "groups")
-    sizes = rows.where("class is not null").groupBy("class").agg(F.min("id").alias("first"), F.max("n").alias("n"))
+    sizes = rows.where("class is not null").groupBy("class").agg(
+        F.min("id").alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")
+    )
     # Each group in chunks of a bounded number of shingles; its members are spread by their hash.
     members = staged(groups.join(sizes, groups["id"] == sizes["class"]).select("class", "first", "n", "component"), "members")
     chunks = members.groupBy("component").agg(
@@ -388,34 +407,51 @@ def _linked_classes(
             data = found.tobytes()
             for other in range(chunks):
                 low, high = min(chunk, other), max(chunk, other)
-                yield component, low, high, wanted, data
+                yield component, low, high, wanted, chunk, data
 
     cells = map_rows(
         texts.select(place).unionByName(others.select(place)),
         sets,
-        "component bigint, low int, high int, class bigint, members binary",
+        "component bigint, low int, high int, class bigint, chunk int, members binary",
     )
     dealt = cells.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high", "class")
+    return rows, sizes, dealt
+
+
+def _per_cell(dealt: DataFrame, find) -> DataFrame:
+    """``a, b`` of the classes that ``find`` pairs, from the cell's classes, their chunks and sets, and its chunks."""
 
     def search(given):
-        held: list[tuple[int, np.ndarray]] = []
+        held: list[tuple[int, int, np.ndarray]] = []
         current = None
 
-        def links():
-            names = [name for name, _ in held]
-            for place, home in enumerate(linked_components([found for _, found in held], threshold)):
-                if place != home:
-                    yield names[place], names[home]
+        def pairs():
+            if held:
+                names, chunks, sets = zip(*held, strict=True)
+                for a, b in find(list(sets), chunks, current[1:]):
+                    yield names[a], names[b]
 
-        for component, low, high, name, data in given:
+        for component, low, high, name, chunk, data in given:
             if (component, low, high) != current:
-                yield from links()
+                yield from pairs()
                 held, current = [], (component, low, high)
             if not held or held[-1][0] != name:
-                held.append((name, np.frombuffer(data, np.uint64)))
-        yield from links()
+                held.append((name, chunk, np.frombuffer(data, np.uint64)))
+        yield from pairs()
+
+    return map_rows(dealt, search, "a bigint, b bigint")
 
-    joined = components(map_rows(dealt, search, "a bigint, b bigint"), label="links")
+
+def _linked_classes(
+    source: DataFrame, words: int, threshold: int, chunk_shingles: int
+) -> tuple[DataFrame, DataFrame]:
+    """``id, class, n, histogram`` of every row of ``id, text``; ``class, root, component_id`` of every class."""
+    rows, sizes, dealt = _dealt_sets(source, words, threshold, chunk_shingles)
+
+    def connect(sets, chunks, cell):
+        return ((a, b) for a, b in enumerate(linked_components(sets, threshold)) if a != b)
+
+    joined = components(_per_cell(dealt, connect), label="links")
     homes = joined.join(sizes, joined["id"] == sizes["class"]).select("class", "component", "first")
     least = homes.groupBy("component").agg(F.min("first").alias("least"))
     named = homes.join(least, "component").select("class", F.col("component").alias("home"), "least")
@@ -434,8 +470,9 @@ def join(
     threshold: int = THRESHOLD,
     chunk_shingles: int = CHUNK_SHINGLES,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``documents``.
+    """``doc_id, n_shingles, component_id`` of every row of ``documents``: components only.
 
+    Most links inside a component are not looked for, and none is returned or counted; ``links`` does both.
     Exact up to 64-bit hashes. Null and wordless texts have no shingles, link with nothing and
     are their own component; repeated rows and equal sets link; a row with a null id takes part
     and names no component, so its component is null where nobody else does. No rows give no
@@ -450,6 +487,48 @@ def join(
     )
 
 
+def links(
+    documents: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = WORDS,
+    threshold: int = THRESHOLD,
+    chunk_shingles: int = CHUNK_SHINGLES,
+) -> DataFrame:
+    """``class, other, doc_id, other_id, n_links``: every two classes that link, once, and each class of several rows
+    with itself.
+
+    A class is the rows of one set, named by its hash; the ids are the smallest of each, null if it has none.
+    ``n_links`` is how many pairs of rows the link stands for, so its sum is the number of links of the
+    join. As many rows as linked pairs of sets: k near copies give up to k^2 / 2.
+    """
+    source = documents.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
+    _, sizes, dealt = _dealt_sets(source, words, threshold, chunk_shingles)
+    sizes = staged(sizes, "sizes")
+
+    def pair(sets, chunks, cell):
+        for a, b in linked_pairs(sets, threshold):
+            # A pair of one chunk is in every cell of the chunk; it counts in the chunk's own.
+            if (min(chunks[a], chunks[b]), max(chunks[a], chunks[b])) == cell:
+                yield a, b
+
+    found = _per_cell(dealt, pair).select(F.least("a", "b").alias("class"), F.greatest("a", "b").alias("other"))
+    one = sizes.select("class", F.col("first").alias("doc_id"), "copies")
+    two = sizes.select(F.col("class").alias("other"), F.col("first").alias("other_id"), F.col("copies").alias("others"))
+    between = found.join(one, "class").join(two, "other").select(
+        "class", "other", "doc_id", "other_id", (F.col("copies") * F.col("others")).alias("n_links")
+    )
+    copies = sizes.where("copies > 1").select(
+        "class",
+        F.col("class").alias("other"),
+        F.col("first").alias("doc_id"),
+        F.col("first").alias("other_id"),
+        F.expr("copies * (copies - 1) div 2").alias("n_links"),
+    )
+    return between.unionByName(copies)
+
+
 def representatives(
     documents: DataFrame,
     *,

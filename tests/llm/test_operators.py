@@ -449,6 +449,28 @@ def test_jaccard_join_of_rows_without_ids(spark, chunk):
     assert sorted(kept, key=repr) == sorted([20, 21, 23, None], key=repr)
 
 
+@pytest.mark.parametrize("chunk", [400_000, 200])
+def test_jaccard_links(spark, chunk):
+    """Every link of the join, counted once whatever the chunks; components alone need far fewer."""
+    rows = near_copies() + ODD + without_ids()
+    sets = [shingle_set(text) for _, text in rows]
+    expected, links = defaultdict(int), 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            shared = len(a & sets[j])
+            if a and 100 * shared >= 80 * (len(a) + len(sets[j]) - shared):
+                least = [min((key for (key, _), s in zip(rows, sets, strict=True) if s == t and key is not None), default=None)
+                         for t in (a, sets[j])]
+                expected[tuple(sorted(least, key=repr))] += 1
+                links += 1
+    got = similarity.links(spark.createDataFrame(rows, "doc_id bigint, text string"), chunk_shingles=chunk).collect()
+    found = defaultdict(int)
+    for row in got:
+        found[tuple(sorted((row.doc_id, row.other_id), key=repr))] += row.n_links
+    assert found == expected and sum(row.n_links for row in got) == links > len(rows)
+    assert len({(row["class"], row.other) for row in got}) == len(got)
+
+
 def test_divide_skip_finds_all():
     rng = random.Random(4)
     for _ in range(60):
