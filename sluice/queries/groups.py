@@ -142,23 +142,28 @@ def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _day_counts(rows: pd.DataFrame) -> pd.DataFrame:
+    return rows.groupby([KEY, "day"], as_index=False, sort=False, dropna=False)["n"].sum()
+
+
 def _longest_gap(_: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    days = pd.concat(batches)["day"].sort_values()
-    yield pd.DataFrame({"orders": [len(days)], "longest_gap": [int(days.diff().fillna(0).max())]})
+    days = _day_counts(pd.concat(batches))
+    gaps = days["day"].sort_values().diff().fillna(0)
+    yield pd.DataFrame({"orders": [int(days["n"].sum())], "longest_gap": [int(gaps.max())]})
 
 
 def grouped_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A module that has to see every row of a group, of which a customer's orders are few."""
+    """A module that has to see all days of a customer: orders become counts per day, so there are no more
+    rows of a group in a task than days in the calendar."""
     day = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint").alias("day")
-    gaps = Stage(
-        "gaps",
-        grouping_fields=("o_custkey",),
-        module=_longest_gap,
-        schema=f"{KEY} string, orders bigint, longest_gap bigint",
-        combiner=False,
-        max_group_rows=10_000,
-    )
-    return run_stages(table(spark, sf_dir, "orders").select("o_custkey", day), [gaps])
+    one = F.lit(1).cast("bigint").alias("n")
+    schema = f"{KEY} string, orders bigint, longest_gap bigint"
+
+    def gaps(orders: DataFrame) -> DataFrame:
+        return group_apply(orders.select(KEY, "day", "n"), _longest_gap, schema, partial=_day_counts)
+
+    stage = Stage("gaps", gaps, grouping_fields=("o_custkey",))
+    return run_stages(table(spark, sf_dir, "orders").select("o_custkey", day, one), [stage])
 
 
 def exact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from sluice.operators import grouping
 from sluice.operators.grouping import KEY, group_agg, group_apply, group_fields, group_frames, with_group_key
 from sluice.operators.ordering import groups_in_key_order, with_ordinals
 from sluice.plans.stages import Stage, run_stages, stage_errors
+from sluice.queries.groups import grouped_whole
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,16 @@ def skewed(spark):
     return with_group_key(frame, ["k"]).select(KEY, "v"), expected
 
 
+def test_whole_groups_of_any_size(spark, tmp_path):
+    """Most orders are of one customer, on few days, some of them unknown."""
+    orders = spark.range(30_000).selectExpr(
+        "IF(id % 10 < 9, 1, id) AS o_custkey", "IF(id % 7 = 0, NULL, DATE'2000-01-01' + INT(id % 5) * INT(id % 5)) AS o_orderdate"
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    got = {row.group_key: (row.orders, row.longest_gap) for row in grouped_whole(spark, str(tmp_path)).collect()}
+    assert got['{"o_custkey":1}'] == (27_000, 7) and got['{"o_custkey":9}'] == (1, 0) and len(got) == 3001
+
+
 def total(key, batches):
     yield pd.DataFrame({"v": [sum(int(rows["v"].sum()) for rows in batches)]})
 
