@@ -12,6 +12,8 @@ repeats an id is judged on its own, but of equal rows in a group of copies one s
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +26,20 @@ from sluice.session import ship_package
 ORACLE_SQL = None
 
 
+def _kept(docs: DataFrame, new: set[str], decide: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that ``decide`` leaves, whose operator adds columns ``new``; columns of such names are others meanwhile."""
+    mark = "_"
+    while any(name.startswith(mark) for name in docs.columns):
+        mark += "_"
+    away = [mark + name if name.lower() in new else name for name in docs.columns]
+    left = decide(docs.toDF(*away))
+    return left.select([F.col(f"`{name}`").alias(own) for name, own in zip(away, docs.columns, strict=True)])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model)
-    return scored.where(F.col("predicted") == 0).select(docs.columns)
+    return _kept(docs, {"score", "predicted"}, lambda df: toxicity.score(df, model).where(F.col("predicted") == 0))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +49,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    found = decontaminate.hits(docs, read_table(spark, sf_dir, "benchmark"))
-    return found.where(~decontaminate.contaminated()).select(docs.columns)
+    benchmark = read_table(spark, sf_dir, "benchmark")
+    return _kept(
+        docs,
+        {"n_words", "spans", "items"},
+        lambda df: decontaminate.hits(df, benchmark).where(~decontaminate.contaminated()),
+    )
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

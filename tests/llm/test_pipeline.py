@@ -34,6 +34,18 @@ def test_stages_of_odd_rows(spark):
         assert corpus_pipeline.STAGES[-1][1](spark, frame, SF_DIR).count() == frame.count()
 
 
+def test_stages_keep_columns_of_the_operators_names(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    docs = docs.selectExpr("doc_id", "text", "lang", "source", "n_chars", "concat('s', doc_id) AS score",
+                           "doc_id + 7 AS n_words", "'p' AS Predicted", "'x' AS _y", "2 AS spans", "3 AS items")
+    before = set(map(tuple, docs.collect()))
+    for name in ("toxicity", "decontamination"):
+        after = dict(corpus_pipeline.STAGES)[name](spark, docs, SF_DIR)
+        assert after.schema.simpleString() == docs.schema.simpleString()
+        rows = set(map(tuple, after.collect()))
+        assert rows and rows <= before
+
+
 def test_registered(spark):
     found = __spark_entry__.queries()
     assert "pipeline" in found and all(name in found for name in registry.QUERIES)
