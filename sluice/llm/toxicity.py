@@ -129,7 +129,8 @@ def training_rows(
 ) -> DataFrame:
     """``text, label`` of at most about ``rows`` labelled rows that are not held out, chosen by a hash of their id.
 
-    Only ids and labels are counted; the texts of the chosen rows are looked up.
+    Only ids and labels are counted; the texts of the chosen rows are looked up. An id that is there
+    several times gives one row, the text with the smallest hash, so the bound holds for any input.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(target).cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & F.col("_id").isNotNull())
@@ -140,7 +141,9 @@ def training_rows(
     chosen = known.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < share)
     body = documents.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     # The bound on the rows is the parameter, so the few ids and labels can be broadcast.
-    return body.join(F.broadcast(chosen), "_id").select("_id", "text", "label")
+    found = body.join(F.broadcast(chosen), "_id").select("_id", "label", F.struct(F.xxhash64("text"), "text").alias("one"))
+    # Reduced in the tasks before the shuffle: of a repeated id each sends one row.
+    return found.groupBy("_id", "label").agg(F.min("one").alias("one")).select("_id", "one.text", "label")
 
 
 def train(

@@ -331,6 +331,19 @@ def test_classifiers_of_odd_rows(spark):
     assert all(np.isfinite(quality.statistics(text)).all() for _, text in ODD)
 
 
+def test_training_rows_of_repeated_ids(spark):
+    keys = [key for key in range(60) if not toxicity.held_out(key)]
+    texts = [(key, f"text {key}") for key in keys] + [(keys[0], f"other {i}") for i in range(300)]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(key, key % 2) for key in keys], "doc_id bigint, toxic int")
+    got = [
+        toxicity.training_rows(df, labels, "toxic", doc_id="doc_id", text="text", rows=100).collect()
+        for df in (frame, frame.repartition(7, "text"))
+    ]
+    assert sorted(map(tuple, got[0])) == sorted(map(tuple, got[1]))
+    assert sorted(row["_id"] for row in got[0]) == keys
+
+
 # 7 WARC
 
 
