@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, caps, dac, decontaminate, quality, secret_scan, similarity, token_counts, toxicity, warc
+from sluice.llm import (
+    bpe,
+    caps,
+    dac,
+    decontaminate,
+    merkle,
+    quality,
+    secret_scan,
+    similarity,
+    token_counts,
+    toxicity,
+    warc,
+)
 from sluice.llm.rows import read_table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +79,10 @@ def attributed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_secret_scan": secrets,
     "op2_decontamination": contamination,
@@ -78,6 +94,7 @@ QUERIES: dict[str, Run] = {
     "op8_jaccard_join": jaccard_join,
     "op9_embedding_dedup": embedding_links,
     "op10_token_counts": attributed_tokens,
+    "op12_merkle": merkle_proofs,
 }
 
 _LOWERED = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -135,4 +152,74 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, {_BASE32} AS payload_dig
 FROM payloads
 """
 
-SQL: dict[str, str] = {"op2_decontamination": _CONTAMINATION, "op7_warc": _WARC}
+_VALUE = "coalesce(octet_length(encode({0}::VARCHAR)) || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(map(_VALUE.format, ("doc_id", "source", "lang", "n_chars"))) + " || {0})"
+_TAMPERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# The checksum of gzip and zip, a bit at a time, over a list of at most 20 characters.
+_CRC = """xor(list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]),
+    lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"""
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Nodes of 16-ary trees: ``tree, level, idx, digest, n``, from rows of level 0; ``n`` nodes are on a level."""
+    return f"""
+{name} AS (
+  SELECT tree, 0 AS level, idx, digest, n FROM ({leaves})
+  UNION ALL
+  SELECT tree, level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 15) // 16
+  FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 16
+),
+{name}_runs AS (
+  SELECT tree, level, idx,
+    coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {name} WHERE n > 1 WINDOW run AS (PARTITION BY tree, level, idx // 16 ORDER BY idx)
+)"""
+
+
+_SUBROOTS = """SELECT 0 AS tree, (row_number() OVER (ORDER BY tree) - 1)::BIGINT AS idx, digest,
+  count(*) OVER () AS n, tree AS below FROM rows_up WHERE n = 1"""
+_MERKLE = f"""
+WITH RECURSIVE digested AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS tree, {_LEAF.format(_VALUE.format("text"))} AS digest,
+    CASE WHEN {_CRC.format("doc_id")} % 5 = 0 THEN {_LEAF.format(_VALUE.format(_TAMPERED))} END AS presented
+  FROM documents
+),
+leaves AS (
+  SELECT *, (row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1)::BIGINT AS idx,
+    count(*) OVER (PARTITION BY tree) AS n
+  FROM digested
+),
+{_tree("rows_up", "SELECT tree, idx, digest, n FROM leaves")},
+subroots AS ({_SUBROOTS}),
+{_tree("tops_up", "SELECT tree, idx, digest, n FROM subroots")},
+steps AS (
+  SELECT l.tree AS leaf_tree, l.idx AS leaf_idx, r.level AS step, before, after
+  FROM leaves l JOIN rows_up_runs r ON r.tree = l.tree AND r.idx = l.idx // (16 ** r.level)::BIGINT
+  UNION ALL
+  SELECT l.tree, l.idx, 100 + r.level, before, after
+  FROM leaves l JOIN subroots s ON s.below = l.tree JOIN tops_up_runs r ON r.idx = s.idx // (16 ** r.level)::BIGINT
+),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY leaf_tree, leaf_idx ORDER BY step) AS nth FROM steps
+),
+folds AS (
+  SELECT tree, idx, 0::BIGINT AS nth, coalesce(presented, digest) AS digest FROM leaves
+  UNION ALL
+  SELECT tree, idx, f.nth + 1, sha256(before || digest || after)
+  FROM folds f JOIN numbered s ON s.leaf_tree = tree AND s.leaf_idx = idx AND s.nth = f.nth + 1
+),
+ends AS (SELECT tree, idx, arg_max(digest, nth) AS folded_root FROM folds GROUP BY tree, idx),
+proofs AS (
+  SELECT leaf_tree AS tree, leaf_idx AS idx, string_agg(before || after, '' ORDER BY nth) AS proof
+  FROM numbered GROUP BY leaf_tree, leaf_idx
+)
+SELECT doc_id, l.digest AS leaf, s.digest AS subroot, t.digest AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+  (octet_length(encode(coalesce(proof, ''))) // 64)::BIGINT AS n_siblings, folded_root, folded_root = t.digest AS verified
+FROM leaves l JOIN subroots s ON s.below = l.tree JOIN ends e ON e.tree = l.tree AND e.idx = l.idx
+  LEFT JOIN proofs p ON p.tree = l.tree AND p.idx = l.idx CROSS JOIN (SELECT digest FROM tops_up WHERE n = 1) t
+"""
+
+SQL: dict[str, str] = {"op2_decontamination": _CONTAMINATION, "op7_warc": _WARC, "op12_merkle": _MERKLE}
