@@ -19,6 +19,7 @@ from sluice.llm import (
     similarity,
     token_counts,
     toxicity,
+    trie,
     warc,
 )
 from sluice.llm.rows import read_table
@@ -83,6 +84,10 @@ def merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(read_table(spark, sf_dir, "documents"))
 
 
+def conversation_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_secret_scan": secrets,
     "op2_decontamination": contamination,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Run] = {
     "op9_embedding_dedup": embedding_links,
     "op10_token_counts": attributed_tokens,
     "op12_merkle": merkle_proofs,
+    "op13_prefix_trie": conversation_nodes,
 }
 
 _LOWERED = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -222,4 +228,48 @@ FROM leaves l JOIN subroots s ON s.below = l.tree JOIN ends e ON e.tree = l.tree
   LEFT JOIN proofs p ON p.tree = l.tree AND p.idx = l.idx CROSS JOIN (SELECT digest FROM tops_up WHERE n = 1) t
 """
 
-SQL: dict[str, str] = {"op2_decontamination": _CONTAMINATION, "op7_warc": _WARC, "op12_merkle": _MERKLE}
+_TRIE = f"""
+WITH own AS (
+  SELECT conv_id, list({{'h': h, 'chars': length(t)}} ORDER BY turn NULLS FIRST, h) AS ts FROM (
+    SELECT conv_id, turn, coalesce(text, '') AS t,
+      md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS h
+    FROM conversations WHERE conv_id IS NOT NULL) GROUP BY conv_id
+),
+sized AS (SELECT *, {_CRC.format("conv_id")} % 6 AS n FROM own),
+rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(list_slice(b.ts, 1, o.n), []), list_slice(o.ts, o.n + 1, len(o.ts))) AS ts
+  FROM sized o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+),
+paths AS (
+  SELECT conv_id, ts, array_to_string(list_transform(ts, lambda x: x.h), '') AS path, len(ts) AS n,
+    unnest(range(0, len(ts) + 1)) AS depth FROM rebuilt
+),
+members AS (
+  SELECT conv_id, depth, left(path, 32 * depth) AS key, CASE WHEN depth > 0 THEN ts[depth].chars ELSE 0 END AS chars,
+    n = depth AS ends FROM paths
+),
+nodes AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY depth, key
+),
+kids AS (SELECT left(key, 32 * (depth - 1)) AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (key)),
+spread AS (SELECT *, unnest(range(0, depth + 1)) AS up FROM counted),
+subtrees AS (
+  SELECT up AS depth, left(key, 32 * up) AS key, count(*) FILTER (n_children = 0) AS n_leaves,
+    sum((n_convs - 1) * chars) AS saved_tokens
+  FROM spread GROUP BY 1, 2
+)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees s ON s.depth = c.depth AND s.key = c.key
+  LEFT JOIN nodes p ON p.depth = c.depth - 1 AND p.key = left(c.key, 32 * (c.depth - 1))
+"""
+
+SQL: dict[str, str] = {
+    "op2_decontamination": _CONTAMINATION,
+    "op7_warc": _WARC,
+    "op12_merkle": _MERKLE,
+    "op13_prefix_trie": _TRIE,
+}
