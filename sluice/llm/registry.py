@@ -14,6 +14,7 @@ from sluice.llm import (
     dac,
     decontaminate,
     merkle,
+    pii,
     quality,
     secret_scan,
     similarity,
@@ -80,6 +81,11 @@ def attributed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.scan(documents, pii.train(documents))
+
+
 def merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(read_table(spark, sf_dir, "documents"))
 
@@ -99,6 +105,7 @@ QUERIES: dict[str, Run] = {
     "op8_jaccard_join": jaccard_join,
     "op9_embedding_dedup": embedding_links,
     "op10_token_counts": attributed_tokens,
+    "op11_personal_data": personal_data,
     "op12_merkle": merkle_proofs,
     "op13_prefix_trie": conversation_nodes,
 }
