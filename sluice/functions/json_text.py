@@ -9,6 +9,8 @@ import codecs
 import json
 import math
 import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 from decimal import Decimal, InvalidOperation
 from json.decoder import scanstring
 from typing import Any
@@ -17,6 +19,7 @@ _BLANK = re.compile(r"[ \t\r\n]*")
 _NESTING = re.compile(r'\\.|["{}\[\]]', re.DOTALL)
 _NUMBER_START = frozenset("-0123456789")
 _STRING_OR_BLANKS = re.compile(r'("(?:[^"\\]|\\.)*")|[ \t\r\n]+', re.DOTALL)
+_UNFINISHED = re.compile("[-+.0-9a-zA-Z]+")
 _LONE_SURROGATE = re.compile("[\ud800-\udfff]")
 # Python's limit for turning digits into a number is a little above.
 _MOST_DIGITS = 4000
@@ -113,6 +116,16 @@ def file_text(content: bytes, begins: bool = True) -> tuple[str, bool]:
         return content[: bad.start].decode(encoding, "ignore"), True
 
 
+@dataclass
+class Outer:
+    """Where a reader stands outside of objects: open arrays, the fewest there were, and what has to come next."""
+
+    arrays: int = 0
+    separator_due: bool = False
+    item_due: bool = False
+    fewest: int | None = None
+
+
 def outer_objects(
     text: str, pos: int = 0, arrays: int = 0, after_value: bool = False
 ) -> tuple[list[tuple[int, int]], int]:
@@ -122,48 +135,62 @@ def outer_objects(
     the text, or at the first token that does not fit. ``arrays`` open arrays surround
     ``pos``; ``after_value`` says that the last thing before it was a complete value.
     """
+    return _outer_objects(text, pos, Outer(arrays, after_value and arrays > 0), False)
+
+
+def _outer_objects(text: str, pos: int, at: Outer, more: bool) -> tuple[list[tuple[int, int]], int]:
+    """As :func:`outer_objects`; ``at`` is moved along, up to where reading stops. If ``more`` text follows, a
+    number or a word that the text ends with is not read."""
     spans = []
-    separator_due, item_due = after_value and arrays > 0, False
     while True:
+        at.fewest = at.arrays if at.fewest is None else min(at.fewest, at.arrays)
         pos = _BLANK.match(text, pos).end()
         if pos == len(text):
             return spans, pos
         char = text[pos]
-        if separator_due and char == ",":
-            separator_due, item_due, pos = False, True, pos + 1
+        if at.separator_due and char == ",":
+            at.separator_due, at.item_due, pos = False, True, pos + 1
             continue
         if char == "]":
-            if not arrays or item_due:
+            if not at.arrays or at.item_due:
                 return spans, pos
-            arrays, pos = arrays - 1, pos + 1
-            separator_due = arrays > 0
+            at.arrays, pos = at.arrays - 1, pos + 1
+            at.separator_due = at.arrays > 0
             continue
-        if separator_due:
+        if at.separator_due:
             return spans, pos
         if char == "[":
-            arrays, item_due, pos = arrays + 1, False, pos + 1
+            at.arrays, at.item_due, pos = at.arrays + 1, False, pos + 1
             continue
+        if more and _UNFINISHED.fullmatch(text, pos):
+            return spans, pos
         try:
             _, end = _scan(text, pos)
         except (ValueError, StopIteration, RecursionError):
             return spans, pos
         if char == "{":
             spans.append((pos, end))
-        elif not arrays and char in _NUMBER_START and text[end : end + 1].strip(" \t\r\n"):
+        elif not at.arrays and char in _NUMBER_START and text[end : end + 1].strip(" \t\r\n"):
             return spans, pos
-        pos, separator_due, item_due = end, arrays > 0, False
+        pos, at.separator_due, at.item_due = end, at.arrays > 0, False
 
 
 def close_of(text: str, pos: int, braces: int, in_string: bool) -> tuple[int, int] | None:
     """Where the object or string that is open at ``pos`` ends, and by how much the array
     depth changed on the way; ``None`` if it is still open at the end of the text."""
+    end, arrays, _, _ = _nesting(text, pos, braces, in_string)
+    return None if end is None else (end, arrays)
+
+
+def _nesting(text: str, pos: int, braces: int, in_string: bool) -> tuple[int | None, int, int, bool]:
+    """As :func:`close_of`, with the depth and whether a string is open where it stops."""
     arrays = 0
     for token in _NESTING.finditer(text, pos):
         char = token.group()
         if char == '"':
             in_string = not in_string
             if not in_string and braces == 0:
-                return token.end(), arrays
+                return token.end(), arrays, 0, False
         elif in_string or len(char) > 1:
             continue
         elif char == "{":
@@ -171,10 +198,60 @@ def close_of(text: str, pos: int, braces: int, in_string: bool) -> tuple[int, in
         elif char == "}":
             braces -= 1
             if braces <= 0:
-                return token.end(), arrays
+                return token.end(), arrays, 0, False
         else:
             arrays += 1 if char == "[" else -1
-    return None
+    return None, arrays, braces, in_string
+
+
+# What a stretch of text is: an object, or the beginning, a middle part or the end of one that crosses a border.
+WHOLE, OPEN, INNER, CLOSE, ERROR = "whole", "open", "inner", "close", "error"
+
+
+class ObjectReader:
+    """The outermost objects of a text that comes in pieces, from any place on whose nesting is known.
+
+    Pieces do not end within an escape sequence. What is not finished in a piece is given as a fragment, so no
+    more than a piece is held. A string outside of objects that crosses a border is given like an object.
+    """
+
+    def __init__(self, in_string: bool = False, braces: int = 0, arrays: int = 0, after_value: bool = False):
+        self.in_string, self.braces = in_string, braces
+        self.inside = in_string or braces > 0
+        self.at = Outer(arrays, after_value and arrays > 0)
+        self.pending = ""
+        self.failed = False
+
+    def feed(self, piece: str, more: bool = False) -> Iterator[tuple[str, str | None]]:
+        if self.failed:
+            return
+        text, pos, self.pending = self.pending + piece, 0, ""
+        if self.inside:
+            end, change, self.braces, self.in_string = _nesting(text, 0, self.braces, self.in_string)
+            self.at.arrays += change
+            if end is None:
+                yield INNER, text
+                return
+            self.inside, pos = False, end
+            self.at.separator_due, self.at.item_due = self.at.arrays > 0, False
+            yield CLOSE, text[:pos]
+        spans, stop = _outer_objects(text, pos, self.at, more)
+        for begin, end in spans:
+            yield WHOLE, text[begin:end]
+        if stop == len(text):
+            return
+        if text[stop] in '{"' and not self.at.separator_due:
+            end, change, braces, in_string = _nesting(text, stop, 0, False)
+            if end is None:
+                self.inside, self.braces, self.in_string = True, braces, in_string
+                self.at.arrays += change
+                yield OPEN, text[stop:]
+                return
+        if more and not self.at.separator_due and _UNFINISHED.fullmatch(text, stop):
+            self.pending = text[stop:]
+            return
+        self.failed = True
+        yield ERROR, None
 
 
 def key_text(record: str | None, paths: list[str]) -> str:

@@ -26,6 +26,8 @@ ORDER_SCHEMA = (
 )
 ORDERS_SQL = f"SELECT {', '.join(ORDER_FIELDS)} FROM orders"
 
+EVENT_TYPES = ["click", "view", "purchase", "error", "signup", "none"]
+
 # Order keys are unique, so this many of them are at most this many orders.
 ORDERS_PER_TEXT = 2000
 
@@ -64,7 +66,7 @@ def json_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed(found, ORDER_SCHEMA).select(ORDER_FIELDS)
 
 
-def json_stop_at_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _damaged_orders(spark: SparkSession, sf_dir: str) -> str:
     """Files in key order; every order above a price is followed by a stray brace."""
     orders = table(spark, sf_dir, "orders")
     damage = F.when(F.col("o_totalprice") > 499000, "}").otherwise("")
@@ -76,10 +78,34 @@ def json_stop_at_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     where = scratch_path(spark, "damaged")
     write_texts(texts, where, rows_per_file=1)
-    found = scan_json_objects(spark, where)
+    return where
+
+
+def json_stop_at_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_json_objects(spark, _damaged_orders(spark, sf_dir))
     return typed(found, "o_orderkey bigint, o_totalprice double").select("o_orderkey", "o_totalprice")
 
 
+def json_split_stop_at_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the scan for large files: an error ends its file, also what other tasks have read of it."""
+    found = scan_json_objects(spark, _damaged_orders(spark, sf_dir), whole_file_bytes=0)
+    return typed(found, "o_orderkey bigint, o_totalprice double").select("o_orderkey", "o_totalprice")
+
+
+def json_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in UTF-16 and UTF-8, the larger ones read by ranges and the smaller ones whole."""
+    orders = table(spark, sf_dir, "orders").select(ORDER_FIELDS)
+    where = scratch_path(spark, "encodings")
+    codecs = {"F": "UTF-16LE", "O": "UTF-16BE", "P": "UTF-16LE"}
+    for status, codec in codecs.items():
+        some = orders.where(F.col("o_orderstatus") == status).coalesce(2)
+        some.write.json(f"{where}/{status}", encoding=codec, lineSep="\n")
+    orders.where("o_orderpriority = '1-URGENT'").write.json(f"{where}/again")
+    largest = list_files(spark, f"{where}/*").agg(F.max("length")).first()[0]
+    found = scan_json_objects(spark, f"{where}/*", whole_file_bytes=largest // 4)
+    return typed(found, ORDER_SCHEMA).select(ORDER_FIELDS)
+
+
 def line_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     where = scratch_path(spark, "lines")
@@ -100,6 +126,17 @@ def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def empty_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in one file per type; of a type that no event has, the file is empty and a record like the others."""
+    events = table(spark, sf_dir, "events")
+    where = scratch_path(spark, "empty")
+    for kind in EVENT_TYPES:
+        write_texts(events.where(F.col("event_type") == kind).select("props").coalesce(1), f"{where}/{kind}")
+    found = scan_binary(spark, f"{where}/*")
+    kind = F.element_at(F.split("path", "/"), -2).alias("event_type")
+    return found.groupBy(kind).agg(row_count(), F.sum(F.octet_length("content")).alias("n_bytes"))
+
+
 def route_by_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON files give records; compressed JSON and text are whole files."""
     events = table(spark, sf_dir, "events")
@@ -179,7 +216,7 @@ def path_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
-def file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _file_index(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     texts = orders.groupBy(F.floor(F.col("o_orderkey") / ORDERS_PER_TEXT)).agg(
         F.array_join(F.collect_list(json_of("o_orderkey")), "").alias("value")
@@ -187,7 +224,7 @@ def file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     where = scratch_path(spark, "numbered")
     write_texts(texts.select("value"), where, rows_per_file=1)
     files = list_files(spark, where)
-    found = with_file_index(scan_json_objects(spark, where), files)
+    found = with_file_index(scan_json_objects(spark, where, **limits), files)
     per_file = found.groupBy("file_index").agg(
         F.min("seq").alias("first_seq"),
         (F.max("seq") + 1 - F.count(F.lit(1))).alias("gaps"),
@@ -202,6 +239,15 @@ def file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _file_index(spark, sf_dir)
+
+
+def file_index_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the scan for large files, whose numbers have no gaps either."""
+    return _file_index(spark, sf_dir, whole_file_bytes=0)
+
+
 def service_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
     where = scratch_path(spark, "service")
@@ -266,6 +312,22 @@ def input_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_inputs(spark, inputs, trial_limit=100).select(columns)
 
 
+def trial_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trial run for one record, of many files: it looks at the first five of them, of which each has one record."""
+    where = scratch_path(spark, "trial-files")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nations.repartitionByRange(25, "n_nationkey").sortWithinPartitions("n_nationkey").write.option(
+        "maxRecordsPerFile", 1
+    ).json(where)
+    schema = "n_nationkey int, n_name string"
+    # The last nation would be the record, if all files were looked at.
+    last = lambda spark, paths, schema, **options: scan_lines(spark, paths, schema, **options).withColumn(
+        "place", -F.col("n_nationkey")
+    )
+    item = Input("nation", paths=where, schema=schema, scan=last, order_by=("place",))
+    return load_inputs(spark, [item], trial_limit=1).select("n_nationkey", "n_name")
+
+
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest orders, as a person would look at them."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
@@ -279,19 +341,28 @@ def name_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.groupBy("name", valid_name(F.col("name")).alias("valid")).agg(row_count())
 
 
+_STOP_SQL = f"""
+    WITH damaged AS (
+        SELECT o_orderkey // {ORDERS_PER_TEXT} AS keys, min(o_orderkey) AS last_key
+        FROM orders WHERE o_totalprice > 499000 GROUP BY 1)
+    SELECT o_orderkey, o_totalprice
+    FROM orders LEFT JOIN damaged ON o_orderkey // {ORDERS_PER_TEXT} = keys
+    WHERE last_key IS NULL OR o_orderkey <= last_key
+    """
+_INDEX_SQL = f"""
+    SELECT 0::BIGINT AS first_index, count(DISTINCT o_orderkey // {ORDERS_PER_TEXT}) - 1 AS last_index,
+           count(*) AS records, 0::BIGINT AS out_of_place,
+           count(DISTINCT o_orderkey // {ORDERS_PER_TEXT}) AS files
+    FROM orders
+    """
+
 QUERIES = {
     "json_object_scan": Query(json_object_scan, ORDERS_SQL),
     "json_split_scan": Query(json_split_scan, ORDERS_SQL),
-    "json_stop_at_error": Query(
-        json_stop_at_error,
-        f"""
-        WITH damaged AS (
-            SELECT o_orderkey // {ORDERS_PER_TEXT} AS keys, min(o_orderkey) AS last_key
-            FROM orders WHERE o_totalprice > 499000 GROUP BY 1)
-        SELECT o_orderkey, o_totalprice
-        FROM orders LEFT JOIN damaged ON o_orderkey // {ORDERS_PER_TEXT} = keys
-        WHERE last_key IS NULL OR o_orderkey <= last_key
-        """,
+    "json_stop_at_error": Query(json_stop_at_error, _STOP_SQL),
+    "json_split_stop_at_error": Query(json_split_stop_at_error, _STOP_SQL),
+    "json_encodings": Query(
+        json_encodings, f"{ORDERS_SQL} UNION ALL {ORDERS_SQL} WHERE o_orderpriority = '1-URGENT'"
     ),
     "line_json": Query(line_json, "SELECT * FROM customer"),
     "binary_scan": Query(
@@ -317,13 +388,21 @@ QUERIES = {
         UNION ALL SELECT o_orderkey, 'filtered' FROM orders WHERE o_orderstatus IN ('F', 'P')
         """,
     ),
-    "file_index": Query(
-        file_index,
-        f"""
-        SELECT 0::BIGINT AS first_index, count(DISTINCT o_orderkey // {ORDERS_PER_TEXT}) - 1 AS last_index,
-               count(*) AS records, 0::BIGINT AS out_of_place,
-               count(DISTINCT o_orderkey // {ORDERS_PER_TEXT}) AS files
-        FROM orders
+    "file_index": Query(file_index, _INDEX_SQL),
+    "file_index_split": Query(file_index_split, _INDEX_SQL),
+    "empty_files": Query(
+        empty_files,
+        """
+        SELECT event_type, 1::BIGINT AS n, sum(octet_length(encode(props)) + 1)::BIGINT AS n_bytes
+        FROM events GROUP BY event_type
+        UNION ALL SELECT 'none', 1, 0
+        """,
+    ),
+    "trial_files": Query(
+        trial_files,
+        """
+        SELECT n_nationkey, n_name FROM (SELECT * FROM nation ORDER BY n_nationkey LIMIT 5)
+        ORDER BY n_nationkey DESC LIMIT 1
         """,
     ),
     "service_scan": Query(service_scan, "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part"),

@@ -21,22 +21,27 @@ def scan_binary(
     paths: str | list[str],
     *,
     path_filters: list[str] | None = None,
-    keep_empty: bool = False,
+    keep_empty: bool = True,
     **options: str,
 ) -> DataFrame:
     """One record per file: its name and all its bytes.
 
-    Spark's scans leave out files of no bytes. ``keep_empty`` adds records for those, by a join of
-    all listed names with the names that the scan reads; a file that vanished then counts as empty.
+    Spark's scans leave out files of no bytes. ``keep_empty`` counts the files that are listed and scanned, and if
+    there are empty ones adds records for them, by a join of their names; a file that vanished then
+    counts as empty. Without it nothing is counted, and files of no bytes give no record.
     """
     files = _listed(spark, paths, {"ignoreMissingFiles": "true", **options})
     found = _whole(files, matching(path_filters))
-    return found.unionByName(_empty(files).where(matching(path_filters, "path"))) if keep_empty else found
+    empty = _empty(files) if keep_empty else None
+    return found if empty is None else found.unionByName(empty.where(matching(path_filters, "path")))
 
 
-def _empty(files: DataFrame) -> DataFrame:
-    full = files.select(F.col(FILE_PATH).alias("path"))
-    return named_files(files).join(full, "path", "left_anti").withColumn("content", F.lit(b""))
+def _empty(files: DataFrame) -> DataFrame | None:
+    """Records of the listed files of no bytes; ``None`` if as many files are scanned as are listed."""
+    full, named = files.select(F.col(FILE_PATH).alias("path")), named_files(files)
+    if full.count() == named.count():
+        return None
+    return named.join(full, "path", "left_anti").withColumn("content", F.lit(b""))
 
 
 def _listed(spark: SparkSession, paths: str | list[str], options: dict[str, str]) -> DataFrame:
@@ -92,7 +97,7 @@ def scan_files(
     *,
     parsers: dict[str, Parser] | None = None,
     path_filters: list[str] | None = None,
-    keep_empty: bool = False,
+    keep_empty: bool = True,
     **options: str,
 ) -> DataFrame:
     """Every file by the scan its extension asks for.
@@ -113,8 +118,9 @@ def scan_files(
         return F.coalesce(~file_extension(F.col(path)).isin(known), F.lit(True))
 
     records = _whole(files, allowed & other(FILE_PATH))
-    if keep_empty:
-        records = records.unionByName(_empty(files).where(matching(path_filters, "path") & other("path")))
+    empty = _empty(files) if keep_empty else None
+    if empty is not None:
+        records = records.unionByName(empty.where(matching(path_filters, "path") & other("path")))
     records = records.withColumn("extension", file_extension(F.col("path")))
     extension = file_extension(F.col(FILE_PATH))
     for name in known:
@@ -122,6 +128,6 @@ def scan_files(
         if name in parsers:
             found = _parsed(_whole(files, wanted), parsers[name])
         else:
-            found = objects_of(files, split_paths(paths), wanted, WHOLE_FILE_BYTES, options)
+            found = objects_of(files, wanted, WHOLE_FILE_BYTES)
         records = records.unionByName(found.withColumn("extension", F.lit(name)), allowMissingColumns=True)
     return records

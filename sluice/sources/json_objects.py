@@ -5,29 +5,30 @@ the first error ends the file and keeps what came before it. ``spark.read.json``
 one record per line, or one document per file, so the objects are found in Python:
 
 * files up to ``whole_file_bytes`` are decoded one by one, straight from ``binaryFile``;
-* larger files are cut by Spark's text source after ``}`` bytes, so that every split is read
-  by its own task. A first pass notes what each split does to the nesting, a running sum of
-  that tells how each split begins, and a second pass decodes the splits independently. Only
-  the objects that cross a split border are put together by a shuffle.
+* larger files are read by byte ranges, each by its own task, see :mod:`~sluice.sources.byte_ranges`.
+  Running sums over one small row per range tell how each range begins; those that were read under a wrong
+  assumption are read again. Only the objects that cross a border are put together by a shuffle.
+
+Both give the same rows for a file, whatever its size and encoding.
 """
 
 from __future__ import annotations
 
-import itertools
-import json
+import logging
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.json_text import close_of, file_text, outer_objects
+from sluice.functions.json_text import CLOSE, ERROR, INNER, OPEN, WHOLE, file_text, outer_objects
 from sluice.session import scratch_path
+from sluice.sources import byte_ranges
+from sluice.sources.byte_ranges import MOVES, RANGE_BYTES, LargeFile, Start
 from sluice.sources.paths import FILE_PATH, matching, split_paths
 
+_log = logging.getLogger(__name__)
+
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 BROADCAST_SPLITS = 200_000
 
@@ -35,20 +36,6 @@ RECORD_SCHEMA = "path string, seq bigint, json string"
 
 _ROWS_PER_BATCH = 10_000
 _CHARS_PER_BATCH = 16 * 1024 * 1024
-_QUOTE = ord('"')
-
-
-def _steps(up: str, down: str) -> np.ndarray:
-    """What each byte does to the depth."""
-    depth = np.zeros(256, np.int8)
-    depth[ord(up)], depth[ord(down)] = 1, -1
-    return depth
-
-
-_DEPTHS = _steps("{", "}"), _steps("[", "]")
-
-# What a decoded stretch of a split is.
-WHOLE, OPEN, INNER, CLOSE, ERROR = "whole", "open", "inner", "close", "error"
 
 
 def scan_json_objects(
@@ -61,30 +48,34 @@ def scan_json_objects(
 ) -> DataFrame:
     """The outermost JSON objects of ``paths`` as ``(path, seq, json)``.
 
-    ``json`` is the object's own text, ``path`` the URL-encoded path. ``seq`` orders the objects of one file; it counts
-    from 0 without gaps for files up to ``whole_file_bytes``. Larger files (UTF-8 only)
-    are decoded when this is called, into a table in the scratch folder.
+    ``json`` is the object's own text, ``path`` the URL-encoded path. ``seq`` counts the objects of one file
+    from 0 without gaps. Files are UTF-8, UTF-16 or UTF-32, told by their first bytes. Files above
+    ``whole_file_bytes`` are decoded when this is called, into a table in the scratch folder.
     """
     options = {"ignoreMissingFiles": "true", **options}
     paths = split_paths(paths)
     files = spark.read.format("binaryFile").options(**options).load(paths)
-    return objects_of(files, paths, matching(path_filters), whole_file_bytes, options)
+    return objects_of(files, matching(path_filters), whole_file_bytes)
 
 
-def objects_of(
-    files: DataFrame, paths: list[str], wanted: Column, whole_file_bytes: int, options: dict[str, str]
-) -> DataFrame:
+def objects_of(files: DataFrame, wanted: Column, whole_file_bytes: int) -> DataFrame:
     """As :func:`scan_json_objects`, for the ``wanted`` ones of the listed ``files``."""
-    small = (
-        files.where(wanted & (F.col("length") <= whole_file_bytes))
-        .select(F.col(FILE_PATH).alias("path"), "content")
-        .mapInArrow(_decode_files, RECORD_SCHEMA)
-    )
-    largest = files.where(wanted).agg(F.max("length")).first()[0]
-    if largest is None or largest <= whole_file_bytes:
-        return small
-    large = wanted & (F.col("_metadata.file_size") > whole_file_bytes)
-    return small.unionByName(_scan_large(files.sparkSession, paths, large, options))
+
+    def whole(some: Column) -> DataFrame:
+        found = files.where(some).select(F.col(FILE_PATH).alias("path"), "content")
+        return found.mapInArrow(_decode_files, RECORD_SCHEMA)
+
+    total = F.sum(F.when(F.col("length") > whole_file_bytes, F.col("length"))).alias("total")
+    sizes = files.where(wanted).agg(F.max(F.struct("length", "path")).alias("largest"), total).first()
+    largest = sizes.largest
+    if largest is None or largest.length <= whole_file_bytes:
+        return whole(wanted)
+    if not byte_ranges.reachable(largest.path):
+        _log.warning("files of %s cannot be read in parts: each is decoded whole", largest.path)
+        return whole(wanted)
+    large = files.where(wanted & (F.col("length") > whole_file_bytes))
+    listed = large.select(F.col(FILE_PATH).alias("path"), F.col("path").alias("name"), F.col("length").alias("size"))
+    return whole(wanted & (F.col("length") <= whole_file_bytes)).unionByName(_scan_large(listed, sizes.total))
 
 
 def _batches(rows: Iterable[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -117,86 +108,90 @@ def _decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     return _batches(rows(), ["path", "seq", "json"])
 
 
-# --- files of more than one split ---------------------------------------------------------
+# --- files of more than one range ---------------------------------------------------------
 
-_SPLIT = ["path", "size", "split", "split_length"]
+_FILE = "path string, name string, size bigint, codec string, mark int"
+_HEAD_BYTES = 4
 
 
-def _scan_large(spark: SparkSession, paths: list[str], wanted: Column, options: dict[str, str]) -> DataFrame:
-    meta = F.col("_metadata")
-    pieces = (
-        spark.read.options(**options)
-        .option("lineSep", "}")
-        .text(paths)
-        .where(wanted)
-        .select(
-            meta.file_path.alias("path"),
-            meta.file_size.alias("size"),
-            meta.file_block_start.alias("split"),
-            meta.file_block_length.alias("split_length"),
-            F.col("value").cast("binary").alias("piece"),
-        )
+def _with_encodings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The encoding of each listed file, from its first bytes; files that are gone are left out."""
+    for batch in batches:
+        rows = []
+        for path, name, size in zip(*(batch[n].to_pylist() for n in ("path", "name", "size")), strict=True):
+            try:
+                system, where = byte_ranges.filesystem(name)
+                with system.open_input_file(where) as source:
+                    head = source.read(_HEAD_BYTES)
+            except FileNotFoundError:
+                continue
+            rows.append((path, name, size, *byte_ranges.encoding_of(head)))
+        names = ["path", "name", "size", "codec", "mark"]
+        types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32()]
+        columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+
+def _scan_large(listed: DataFrame, total: int) -> DataFrame:
+    spark = listed.sparkSession
+    listing = scratch_path(spark, "json-files")
+    listed.mapInArrow(_with_encodings, _FILE).write.parquet(listing)
+    length = _range_bytes(spark, total)
+    spark.dataSource.register(byte_ranges.ByteRanges)
+    ranges = spark.read.format(byte_ranges.FORMAT).option("listing", listing).option("range_bytes", length)
+    decoded = _with_true_starts(_written(ranges.load(), "json-ranges"), listing, length)
+    pieces = decoded.where(F.col("part") != MOVES).withColumn("place", F.shiftleft("split", 32) + F.col("item"))
+    joined = _join_fragments(pieces.where(F.col("part").isin(OPEN, INNER, CLOSE)))
+    found = pieces.select("path", "split", "nth", "place", "part", "json").where(F.col("part").isin(WHOLE, ERROR))
+    return _numbered(found.unionByName(_written(joined, "json-joined")))
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    where = scratch_path(df.sparkSession, label)
+    df.write.parquet(where)
+    return df.sparkSession.read.schema(df.schema).parquet(where)
+
+
+def _range_bytes(spark: SparkSession, total: int) -> int:
+    """Ranges that give every core one, but no more than ``RANGE_BYTES`` and what the session asks for."""
+    asked = int(spark.sql("SET spark.sql.files.maxPartitionBytes").first().value.removesuffix("b"))
+    share = max(total // spark.sparkContext.defaultParallelism, byte_ranges.TASK_BYTES)
+    # In whole characters of any encoding.
+    return max(min(RANGE_BYTES, asked, share) // 4 * 4, 4)
+
+
+def _numbered(found: DataFrame) -> DataFrame:
+    """The objects before the first error of their file, their places as numbers without gaps: those of a range's
+    objects are its own count and the counts of the ranges before."""
+    error = F.col("part") == ERROR
+    # An error is the last that a range gives, so as many objects stand before it as its own number says.
+    counts = found.groupBy("path", "split").agg(
+        F.coalesce(F.min(F.when(error, F.col("nth"))), F.count(F.when(~error, 1))).alias("objects"),
+        F.max(error).alias("ends"),
     )
-    decoded_at = scratch_path(spark, "json-stretches")
-    with _steady_splits(spark):
-        starts_at = scratch_path(spark, "json-splits")
-        _split_starts(pieces).write.parquet(starts_at)
-        starts = spark.read.parquet(starts_at)
-
-        # One small row per split. Beyond the bound the pieces move to the rows instead, and
-        # are put back into file order, which the scan gives them in the other case.
-        if starts.count() <= BROADCAST_SPLITS:
-            placed = pieces.join(F.broadcast(starts), _SPLIT, "left")
-        else:
-            placed = (
-                pieces.withColumn("nth", F.monotonically_increasing_id())
-                .join(starts.hint("merge"), _SPLIT, "left")
-                .sortWithinPartitions(*_SPLIT, "nth")
-            )
-        placed.select(*_BEGUN_SPLIT, "piece").mapInArrow(
-            _decode_splits, "path string, split bigint, seq bigint, part string, json string"
-        ).write.parquet(decoded_at)
-    decoded = spark.read.parquet(decoded_at)
-
-    joined = _join_fragments(decoded.where(F.col("part").isin(OPEN, INNER, CLOSE)))
-    found = decoded.select("path", "seq", "part", "json").unionByName(joined)
-    errors_at = scratch_path(spark, "json-errors")
-    errors = found.where(F.col("part") == ERROR).groupBy("path").agg(F.min("seq").alias("error_at"))
-    # Written, so that the planner knows its size and moves the objects only if it is large.
-    errors.write.parquet(errors_at)
-    return (
-        found.where(F.col("part") == WHOLE)
-        .join(spark.read.parquet(errors_at), "path", "left")
-        .where(F.col("error_at").isNull() | (F.col("seq") < F.col("error_at")))
-        .select("path", "seq", "json")
+    before = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    bounds = counts.select(
+        "path",
+        "split",
+        "objects",
+        F.coalesce(F.sum("objects").over(before), F.lit(0)).alias("offset"),
+        F.coalesce(F.max("ends").over(before), F.lit(False)).alias("ended"),
     )
+    bounds = _written(bounds, "json-counts")
+    small = bounds.count() <= BROADCAST_SPLITS
+    placed = found.where(~error).join(F.broadcast(bounds) if small else bounds, ["path", "split"])
+    kept = placed.where(~F.col("ended") & (F.col("nth") < F.col("objects")))
+    return kept.select("path", (F.col("offset") + F.col("nth")).alias("seq"), "json")
 
 
-@contextmanager
-def _steady_splits(spark: SparkSession) -> Iterator[None]:
-    """Keeps the size of splits from following the number of executors."""
-    setting = "spark.sql.files.minPartitionNum"
-    if spark.conf.get(setting, None) is not None:
-        yield
-        return
-    spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
-    try:
-        yield
-    finally:
-        spark.conf.unset(setting)
-
+_SUMS = ["flips", "braces_out", "arrays_out", "braces_in", "arrays_in"]
+_TOLD = ["took_string", "took_braces", "took_arrays", "took_least", "ranges"]
 
-def _split_starts(pieces: DataFrame) -> DataFrame:
-    """How each split begins: inside a string or not, and how deep in objects and arrays.
 
-    A split's rows begin after a ``}`` byte, so it never begins inside an escape sequence.
-    Whether the ``}`` after a file's last row was there is told by the bytes of all rows.
-    """
-    moves = pieces.mapInArrow(
-        _split_moves,
-        "path string, size bigint, split bigint, split_length bigint, bytes bigint, flips bigint, "
-        "braces_out bigint, arrays_out bigint, braces_in bigint, arrays_in bigint",
-    )
+def _split_starts(moves: DataFrame) -> DataFrame:
+    """How each range's stretch begins: inside a string or not, how deep in objects and arrays; and whether that is
+    what it was read as. A file of which ranges are missing has vanished meanwhile."""
+    named = moves.select("path", "split", *[F.col("moves")[i].alias(n) for i, n in enumerate([*_SUMS, *_TOLD])])
     file = Window.partitionBy("path")
     before = file.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
 
@@ -206,136 +201,79 @@ def _split_starts(pieces: DataFrame) -> DataFrame:
     def when_begun(outside, inside):
         return F.when(F.col("in_string") == 0, F.col(outside)).otherwise(F.col(inside))
 
-    extra = F.sum("bytes").over(file) - F.col("size")
+    enough = F.when(F.col("took_least") >= 0, F.col("arrays") >= F.col("took_least"))
+    same = (
+        (F.col("in_string") == F.col("took_string"))
+        & (F.col("braces") == F.col("took_braces"))
+        & F.coalesce(enough, F.col("arrays") == F.col("took_arrays"))
+    )
     return (
-        moves.withColumn("in_string", so_far(F.col("flips")) % 2)
+        named.withColumn("in_string", so_far(F.col("flips")) % 2)
         .withColumn("braces", so_far(when_begun("braces_out", "braces_in")))
         .withColumn("arrays", so_far(when_begun("arrays_out", "arrays_in")))
-        # One byte too many: no } at the end. The reader drops a 3-byte mark at the start.
-        .withColumn("cut_short", extra.isin(1, -2) & (F.col("split") == F.max("split").over(file)))
-        .select(*_SPLIT, "in_string", "braces", "arrays", "cut_short")
+        .withColumn("gone", F.count(F.lit(1)).over(file) < F.col("ranges"))
+        # A range without a stretch has assumed nothing.
+        .withColumn("wrong", (F.col("took_least") != -2) & ~same)
+        .select("path", "split", "in_string", "braces", "arrays", "gone", "wrong")
     )
 
 
-def _split_moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    moves: dict[tuple, list[int]] = {}
-    for batch in batches:
-        for split, begin, end in _runs(batch):
-            data = _joined(batch, begin, end)
-            move = moves.setdefault(split, [0, 0, 0, 0, 0, 0])
-            marks = np.frombuffer(data.replace(b"\\\\", b"").replace(b'\\"', b""), np.uint8)
-            quoted = np.cumsum(marks == _QUOTE, dtype=np.uint8) & 1
-            # Columns 2-3 hold for a split begun outside a string, 4-5 for one begun inside.
-            out, within = (2, 4) if move[1] % 2 == 0 else (4, 2)
-            for at, depth in enumerate(_DEPTHS):
-                change = depth[marks]
-                in_quotes = int(np.sum(change * quoted.view(np.int8), dtype=np.int64))
-                move[within + at] += in_quotes
-                move[out + at] += int(np.sum(change, dtype=np.int64)) - in_quotes
-            move[0] += len(data)
-            move[1] += int(quoted[-1])
-    names = [*_SPLIT, "bytes", "flips", "braces_out", "arrays_out", "braces_in", "arrays_in"]
-    rows = [(*split, move[0], move[1] % 2, *move[2:]) for split, move in moves.items()]
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*rows, strict=True)], names)
-
-
-def _runs(batch: pa.RecordBatch, columns: list[str] = _SPLIT) -> Iterator[tuple[tuple, int, int]]:
-    """Stretches of neighbouring rows of a batch that belong to the same split."""
-    if not batch.num_rows:
-        return
-    path = batch["path"].dictionary_encode().indices.to_numpy()
-    split = batch["split"].to_numpy()
-    changes = np.flatnonzero((path[1:] != path[:-1]) | (split[1:] != split[:-1])) + 1
-    edges = [0, *changes.tolist(), batch.num_rows]
-    for begin, end in itertools.pairwise(edges):
-        yield tuple(batch[name][begin].as_py() for name in columns), begin, end
-
-
-def _joined(batch: pa.RecordBatch, begin: int, end: int) -> bytes:
-    """The bytes that the pieces were, with a ``}`` after each."""
-    pieces = batch["piece"].slice(begin, end - begin)
-    return pc.binary_join(pa.ListArray.from_arrays([0, len(pieces)], pieces), b"}")[0].as_py() + b"}"
-
-
-_BEGUN_SPLIT = ["path", "split", "in_string", "braces", "arrays", "cut_short"]
-
-
-def _decode_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def splits():
-        held, current = [], None
+def _with_true_starts(decoded: DataFrame, listing: str, length: int) -> DataFrame:
+    """Ranges that were read under a wrong assumption are replaced by what they give from their true beginning."""
+    off = _split_starts(decoded.where(F.col("part") == MOVES)).where("gone or wrong")
+    if off.isEmpty():
+        return decoded
+    off = _written(off, "json-starts")
+    count = off.count()
+    keys = off.select("path", "split")
+    # Nesting that an error has thrown off has no beginning; the file ends before it.
+    again = off.where("wrong and not gone").withColumn("braces", F.greatest("braces", F.lit(0)))
+    again = again.withColumn("arrays", F.greatest("arrays", F.lit(0))).join(decoded.sparkSession.read.parquet(listing), "path")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, begin, end in _runs(batch, _BEGUN_SPLIT):
-                if key != current and held:
-                    yield current, held
-                    held = []
-                current = key
-                held.append(_joined(batch, begin, end))
-        if held:
-            yield current, held
+            for row in batch.to_pylist():
+                file = LargeFile(*(row[name] for name in ("path", "name", "size", "codec", "mark")))
+                start = Start(row["in_string"] == 1, row["braces"], row["arrays"])
+                yield from byte_ranges.batches(byte_ranges.rows_of_range(file, row["split"], length, start))
 
-    def rows():
-        for (path, split, in_string, braces, arrays, cut_short), pieces in splits():
-            if in_string is None:
-                raise RuntimeError(f"{path}: the input splits changed between the two passes; scan again")
-            data = b"".join(pieces)[: -1 if cut_short else None]
-            for item, (part, text) in enumerate(_stretches(data, split, in_string == 1, braces, arrays)):
-                yield path, split, split + item, part, text
-
-    return _batches(rows(), ["path", "split", "seq", "part", "json"])
-
-
-def _stretches(
-    data: bytes, split: int, in_string: bool, braces: int, arrays: int
-) -> Iterator[tuple[str, str | None]]:
-    """The objects of one split in order, and the pieces of those that cross its borders."""
-    if split == 0 and not json.detect_encoding(data[:4]).startswith("utf-8"):
-        raise ValueError("a JSON file of this size must be UTF-8")
-    text, damaged = file_text(data, begins=split == 0)
-    pos = 0
-    if in_string or braces > 0:
-        close = close_of(text, 0, braces, in_string)
-        if close is None:
-            yield (ERROR, None) if damaged else (INNER, text)
-            return
-        pos, arrays = close[0], arrays + close[1]
-        yield CLOSE, text[:pos]
-    spans, stop = outer_objects(text, pos, arrays, after_value=split > 0 or pos > 0)
-    for begin, end in spans:
-        yield WHOLE, text[begin:end]
-    if stop < len(text):
-        unfinished = text[stop] in '{"' and close_of(text, stop, 0, False) is None
-        yield (OPEN, text[stop:]) if unfinished and not damaged else (ERROR, None)
-    elif damaged:
-        yield ERROR, None
+    tasks = min(count, byte_ranges.MOST_TASKS)
+    again = again.repartition(tasks, "path", "split").mapInArrow(read, byte_ranges.SCHEMA)
+    rest = decoded.join(F.broadcast(keys) if count <= BROADCAST_SPLITS else keys, ["path", "split"], "left_anti")
+    return rest.unionByName(_written(again, "json-again"))
 
 
 def _join_fragments(fragments: DataFrame) -> DataFrame:
     """Objects that cross split borders, put together and read; at the place they begin."""
-    in_file = Window.partitionBy("path").orderBy("split", "seq")
-    began = F.last(F.when(F.col("part") == OPEN, F.col("seq")), ignorenulls=True).over(in_file)
+    in_file = Window.partitionBy("path").orderBy("place")
+    opening = F.when(F.col("part") == OPEN, F.struct("place", "split", "nth"))
+    began = F.last(opening, ignorenulls=True).over(in_file)
     # The running place needs only the fragments' places, so their texts stay out of it.
-    places = fragments.select("path", "split", "seq", "part").withColumn("began", began)
+    places = fragments.select("path", "place", "split", "nth", "part").withColumn("at", began)
+    places = places.select("path", "place", "part", F.col("at.place").alias("began"), "at")
     # An object ends at its first closing fragment. What follows up to the next beginning comes
     # of an error in between, and belongs to nothing.
-    in_run = Window.partitionBy("path", "began").orderBy("split", "seq")
+    in_run = Window.partitionBy("path", "began").orderBy("place")
     closes = (F.col("part") == CLOSE).cast("int")
     closed_before = F.coalesce(F.sum(closes).over(in_run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     places = places.where("began is not null").withColumn("closed", closed_before).where("closed = 0")
     # An object that never ends is the file's error where it begins; its texts are not gathered.
     ends = F.max(closes).over(Window.partitionBy("path", "began")) == 1
     places = places.withColumn("ends", ends).drop("part", "closed")
-    endless = places.where(~F.col("ends")).select("path", F.col("began").alias("seq")).distinct()
-    endless = endless.select("path", "seq", F.lit(ERROR).alias("part"), F.lit(None).cast("string").alias("json"))
+    endless = places.where(~F.col("ends")).select("path", "at").distinct()
+    endless = endless.select(
+        "path", "at.split", "at.nth", "at.place", F.lit(ERROR).alias("part"), F.lit(None).cast("string").alias("json")
+    )
     places = places.where("ends").drop("ends")
-    ordered = F.array_sort(F.collect_list(F.struct("seq", "json")))
+    ordered = F.array_sort(F.collect_list(F.struct("place", "json")))
     whole = F.array_join(F.transform(ordered, lambda fragment: fragment["json"]), "")
     joined = (
-        fragments.join(places, ["path", "split", "seq"])
-        .groupBy("path", "began")
+        fragments.select("path", "place", "json")
+        .join(places, ["path", "place"])
+        .groupBy("path", "at")
         .agg(whole.alias("json"))
-        .select("path", F.col("began").alias("seq"), "json")
-        .mapInArrow(_read_joined, "path string, seq bigint, part string, json string")
+        .select("path", "at.split", "at.nth", "at.place", "json")
+        .mapInArrow(_read_joined, "path string, split bigint, nth bigint, place bigint, part string, json string")
     )
     return joined.unionByName(endless)
 
@@ -343,11 +281,11 @@ def _join_fragments(fragments: DataFrame) -> DataFrame:
 def _read_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows():
         for batch in batches:
-            for path, seq, text in zip(*(batch[n].to_pylist() for n in ("path", "seq", "json")), strict=True):
+            for *at, text in zip(*(batch[n].to_pylist() for n in ("path", "split", "nth", "place", "json")), strict=True):
                 spans, stop = outer_objects(text)
                 if stop < len(text):
-                    yield path, seq, ERROR, None
+                    yield *at, ERROR, None
                 elif spans:
-                    yield path, seq, WHOLE, text
+                    yield *at, WHOLE, text
 
-    return _batches(rows(), ["path", "seq", "part", "json"])
+    return _batches(rows(), ["path", "split", "nth", "place", "part", "json"])

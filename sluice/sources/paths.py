@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Callable
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from sluice.operators.ordering import with_ordinals
 
+_log = logging.getLogger(__name__)
+
 # The scans' own file path; URL-encoded. Filters on it are applied while files are listed.
 FILE_PATH = "_metadata.file_path"
 
@@ -81,11 +84,12 @@ def first_files(
 
 
 def or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: str, missing_ok: bool) -> DataFrame:
-    """The frame that ``load`` gives; with ``missing_ok`` an empty one if a path is absent."""
+    """The frame that ``load`` gives; with ``missing_ok`` an empty one if a path is absent, with a warning."""
     try:
         return load()
     except AnalysisException as error:
         if missing_ok and error.getCondition() == "PATH_NOT_FOUND":
+            _log.warning("an input is empty, as a path of it is missing: %s", error.getMessageParameters())
             return spark.createDataFrame([], schema)
         raise
 

@@ -1,9 +1,12 @@
 import json
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 
-from sluice.functions.json_text import file_text, outer_objects
+from sluice.functions.json_text import ObjectReader, file_text, outer_objects
 from sluice.sources import json_objects
 from sluice.sources.json_objects import scan_json_objects
 
@@ -178,11 +181,137 @@ def test_setting_for_steady_splits_is_put_back(spark, small_splits, settings, fo
     assert spark.conf.get("spark.sql.files.minPartitionNum") == "3"
 
 
-def test_unknown_splits_are_an_error(spark, small_splits, folder, monkeypatch):
+ENCODINGS = ["utf-8-sig", "utf-16", "utf-16-le", "utf-16-be", "utf-32", "utf-32-le", "utf-32-be"]
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_encodings_of_split_files(spark, small_splits, folder, seed):
+    rng = random.Random(seed)
+    texts = {f"{name}-{i}": random_text(rng, damaged=i == 1) for name in ENCODINGS for i in range(2)}
+    # Characters of every width, at all borders.
+    texts |= {f"{name}-wide": "".join(f'{{"{i}":"é漢😀{"😀" * (i % 7)}}}"}}' for i in range(200)) for name in ENCODINGS}
+    for name, text in texts.items():
+        codec = name.rsplit("-", 1)[0]
+        # Detection looks at the zeros of the first two characters.
+        text = text if ord(text[0]) < 128 and ord(text[1]) < 128 else "  " + text
+        texts[name] = text.encode(codec, "surrogatepass")
+    where = folder(texts)
+    whole = read(scan_json_objects(spark, where))
+    assert len(whole) >= len(texts) - 3 and all(len(whole[f"{name}-wide.json"]) == 200 for name in ENCODINGS)
+    assert read(scan_json_objects(spark, where, whole_file_bytes=0)) == whole
+
+
+def test_numbers_have_no_gaps_in_split_files(spark, small_splits, folder):
+    text = "".join(f'{{"a":{i}}}{" " * (i % 50)}' for i in range(900))
+    where = folder({"one": text, "two": text[:5000] + "!" + text[5000:], "three": '{"a":[' + text[:-1].replace("}{", "},{") + "]}" + text})
+    for limits in ({}, {"whole_file_bytes": 0}):
+        found = {}
+        for row in scan_json_objects(spark, where, **limits).collect():
+            found.setdefault(row.path[-8:], []).append(row.seq)
+        assert all(sorted(seqs) == list(range(len(seqs))) for seqs in found.values())
+        assert sorted(map(len, found.values()))[-1] == 900
+
+
+def test_texts_without_closing_braces(spark, small_splits, folder):
+    long = "x" * 5000
+    texts = {
+        "numbers": "[" + ",".join(map(str, range(3000))) + ',{"a":1}]{"b":2}',
+        "string": f'"{long}" {{"a":"{long}"}} {{"b":2}}',
+        "open": f'{{"a":1}}{{"b":"{long}',
+        "escapes": '{"a":1}{"b":"' + "\\\\" * 2000 + '"}{"c":"' + '\\"' * 2000 + '"}{"d":1}',
+        "words": "[" + "true," * 1000 + 'nul,{"a":1}]',
+        "array": '{"a":1}[' + "[" * 900 + "]" * 900 + ',{"b":1}]',
+    }
+    where = folder(texts)
+    whole = read(scan_json_objects(spark, where))
+    assert [len(whole.get(f"{name}.json", [])) for name in texts] == [2, 2, 1, 4, 0, 2]
+    assert read(scan_json_objects(spark, where, whole_file_bytes=0)) == whole
+
+
+def test_wrong_assumptions_are_read_again(spark, small_splits, folder, monkeypatch):
+    """Strings full of JSON, and objects within one large object, mislead the tasks that begin in them."""
+    inner = json.dumps("".join(f'{{"a":"{i}"}}' for i in range(300)))
+    nested = '{"all":[' + ",".join(f'{{"a":{{"n":{i}}}}}' for i in range(300)) + "]}"
+    where = folder({"string": f'{{"s":{inner}}}{{"t":1}}', "object": nested + '{"t":1}', "lines": '[{"a":1},{"b":[]}]\n' * 200})
+    again = []
+    monkeypatch.setattr(json_objects.byte_ranges, "MOST_TASKS", 3)
     starts = json_objects._split_starts
-    monkeypatch.setattr(json_objects, "_split_starts", lambda pieces: starts(pieces).where("split = 0"))
-    with pytest.raises(Exception, match="splits changed"):
-        scan_json_objects(spark, folder({"large": '{"a":2}\n' * 500}), whole_file_bytes=0)
+    monkeypatch.setattr(json_objects, "_split_starts", lambda moves: again.append(starts(moves)) or again[-1])
+    whole = read(scan_json_objects(spark, where))
+    assert read(scan_json_objects(spark, where, whole_file_bytes=0)) == whole
+    assert {row.path[-11:] for row in again[0].where("wrong").collect()} == {"string.json", "object.json"}
+
+
+def test_files_that_vanish_are_skipped(spark, small_splits, folder, tmp_path, monkeypatch):
+    where = folder({"kept": '{"a":1}' * 500, "gone": '{"b":1}' * 500, "part": '{"c":1}' * 500})
+    listed = json_objects._range_bytes
+
+    def remove(*args):
+        (tmp_path / "gone.json").unlink()
+        return listed(*args)
+
+    monkeypatch.setattr(json_objects, "_range_bytes", remove)
+    settled = json_objects._with_true_starts
+    # As if one range of a file could not be found any more.
+    lost = "not (path like '%part.json' and split = 2)"
+    monkeypatch.setattr(json_objects, "_with_true_starts", lambda df, *rest: settled(df.where(lost), *rest))
+    found = read(scan_json_objects(spark, where, whole_file_bytes=0))
+    assert found["kept.json"] == ['{"a":1}'] * 500 and "gone.json" not in found
+    assert "part.json" not in found
+
+
+def test_reader_takes_a_text_in_any_pieces():
+    rng = random.Random(4)
+    for i in range(300):
+        text = random_text(rng, damaged=i % 2 == 0)
+        spans, stop = outer_objects(text)
+        reader, parts, at = ObjectReader(), [], 0
+        while at < len(text):
+            end = at + rng.randrange(1, 60)
+            while text[:end].endswith("\\"):
+                end += 1
+            parts += reader.feed(text[at:end], end < len(text))
+            at = end
+        found, held = [], None
+        for part, piece in parts:
+            if part == "whole":
+                found.append(piece)
+            elif part == "open":
+                held = piece
+            elif part in ("inner", "close"):
+                held += piece
+                if part == "close" and outer_objects(held) == ([(0, len(held))], len(held)):
+                    found.append(held)
+                elif part == "close" and held[0] == "{":
+                    break
+            else:
+                break
+        assert found == [text[b:e] for b, e in spans]
+
+
+def test_worker_memory_does_not_follow_a_file(tmp_path):
+    """A file without a closing brace for 200 MB is read within 300 MB."""
+    file = tmp_path / "wide.json"
+    with file.open("w") as out:
+        out.write('{"a":1}{"b":"')
+        for _ in range(200):
+            out.write("0123456789abcdef" * (1 << 16))
+        out.write('"}{"c":1}')
+    script = (
+        "import resource, sys\n"
+        "from sluice.sources.byte_ranges import LargeFile, rows_of_range\n"
+        "file = LargeFile(*[sys.argv[1]] * 2, int(sys.argv[2]), 'utf-8', 0)\n"
+        "found = [(row[4], len(row[5] or '')) for i in range(file.ranges(16 << 20)) for row in rows_of_range(file, i, 16 << 20)]\n"
+        "print([part for part, _ in found if part not in ('inner', 'moves')], sum(n for _, n in found))\n"
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)\n"
+    )
+    run = subprocess.run(
+        [sys.executable, "-c", script, str(file), str(file.stat().st_size)],
+        capture_output=True, text=True, env={**os.environ, "PYTHONPATH": os.getcwd()}, check=True,
+    )
+    parts, memory = run.stdout.strip().split("\n")[-2:]
+    assert parts == f"['whole', 'open', 'close', 'whole'] {file.stat().st_size}"
+    assert int(memory) < 300 * 1024
 
 
 def test_text_helpers():

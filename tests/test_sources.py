@@ -71,13 +71,14 @@ def test_binary_record(spark, tmp_path):
 
     full = {f"file:{where}/a b.bin": b"\x00\xff"}
     empty = {f"file:{where}/no +bytes.bin": b"", f"file:{where}/empty.json": b""}
-    assert contents(scan_binary(spark, where)) == full
-    assert contents(scan_binary(spark, where, keep_empty=True)) == full | empty
-    assert contents(scan_binary(spark, where, keep_empty=True, path_filters=["json$"])) == {
+    assert contents(scan_binary(spark, where, keep_empty=False)) == full
+    assert contents(scan_binary(spark, where)) == full | empty
+    assert contents(scan_binary(spark, where, path_filters=["json$"])) == {
         f"file:{where}/empty.json": b""
     }
     del empty[f"file:{where}/empty.json"]
-    assert contents(scan_files(spark, where, keep_empty=True)) == full | empty
+    assert contents(scan_files(spark, where)) == full | empty
+    assert contents(scan_files(spark, where, keep_empty=False)) == full
 
 
 def test_line_scan_keeps_what_the_object_scan_stops_at(spark, tmp_path):
@@ -118,14 +119,16 @@ def test_hidden_files_recursion_and_globs(spark, tmp_path):
     assert names(scan_json_objects(spark, where, recursiveFileLookup="true", path_filters=["/sub/"])) == ["d.json"]
 
 
-def test_missing_paths(spark, tmp_path):
+def test_missing_paths(spark, tmp_path, caplog):
     absent = str(tmp_path / "absent")
     for scan in (scan_json_objects, scan_files, scan_binary, scan_lines, scan_text):
         with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
             scan(spark, absent)
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         scan_files(spark, f"{tmp_path}/*.nothing")
-    assert or_empty(spark, lambda: scan_files(spark, absent), "a int", True).collect() == []
+    with caplog.at_level("WARNING"):
+        assert or_empty(spark, lambda: scan_files(spark, absent), "a int", True).collect() == []
+    assert "an input is empty" in caplog.text
     with pytest.raises(AnalysisException):
         or_empty(spark, lambda: spark.table("no_such_table"), "a int", True)
 
