@@ -31,7 +31,7 @@ class Stage:
     ``max_group_rows`` are those of ``group_apply``, for a module.
 
     ``emits`` picks records of the stage's input for other datasets, which their column
-    ``target`` names. They are written by a job, in a pass of their own.
+    ``target`` names. They are written by a job, which computes the stage's input once for both.
     """
 
     name: str
@@ -102,13 +102,15 @@ def run_stages(
     stages: list[Stage],
     counts: dict[str, Observation] | None = None,
     emitted: list[DataFrame] | None = None,
+    stage_input: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Runs the enabled stages in list order, each on the result of the one before.
 
     Raw file bytes reach the first stage only. With ``counts``, each stage's number of
     records is observed while the result is computed and can be read from it afterwards;
     filters of later stages then stay above the stages that are counted. What stages emit to
-    other datasets is added to ``emitted``.
+    other datasets is added to ``emitted``; ``stage_input`` may write the input of such a stage, so that it is
+    computed once for both.
     """
     enabled = [stage for stage in stages if is_on(stage.enabled)]
     if not enabled:
@@ -117,6 +119,7 @@ def run_stages(
         if stage.emits:
             if emitted is None:
                 raise ValueError(f"stage {stage.name} emits to other datasets, which only a job writes")
+            df = stage_input(df) if stage_input else df
             emitted.append(stage.emits(df))
         df = passthrough(stage.apply(df))
         if counts is not None:

@@ -5,13 +5,15 @@ from __future__ import annotations
 from datetime import UTC, datetime
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.grouping import KEY
+from sluice.operators.runs import read_run
 from sluice.operators.sinks import archive_raw, read_routed, write_dataset, write_routed
 from sluice.plans.inputs import Input, typed
-from sluice.plans.job import Job
+from sluice.plans.job import RESULT, Job
 from sluice.plans.stages import Stage
 from sluice.queries.common import Query, row_count, table, total_cents, whole_number
 from sluice.session import scratch_path
@@ -107,6 +109,50 @@ def job_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, found).groupBy("dataset", "event_type").agg(row_count(), total_cents("value"))
 
 
+def job_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job whose input files are deleted after it, but for those outside the import area: what is left."""
+    events = table(spark, sf_dir, "events").select(EVENT_FIELDS)
+    folder, out, _ = ingest_folders(spark, "delete")
+    elsewhere = scratch_path(spark, "elsewhere")
+    write_dataset(events.where(DROPS[0]), folder, format="json")
+    write_dataset(events.where(DROPS[1]), elsewhere, format="json")
+    inputs = [Input("events", paths=[folder, elsewhere], schema=EVENT_SCHEMA)]
+    Job(inputs, [], storage=Storage({}, {"enabled": False})).run(spark, out)
+    lines = spark.read.schema(EVENT_SCHEMA)
+    where = {"result": spark.read.parquet(out), "import": lines.json(folder), "elsewhere": lines.json(elsewhere)}
+    found = [df.select(F.lit(name).alias("dataset"), "event_type", "value") for name, df in where.items()]
+    return reduce(DataFrame.unionAll, found).groupBy("dataset", "event_type").agg(row_count(), total_cents("value"))
+
+
+def job_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job that fails when half its output is written, its second run under the same id, and a third one."""
+    events = table(spark, sf_dir, "events").select(EVENT_FIELDS)
+    folder, out = scratch_path(spark, "retry-in"), scratch_path(spark, "retry-out")
+    write_dataset(events, folder, format="json")
+
+    def job(fails: bool) -> Job:
+        def others(df: DataFrame) -> DataFrame:
+            some = df.where("event_type in ('error', 'view')").withColumn("target", F.col("event_type"))
+            stops = F.when(F.lit(fails) & (F.col("event_id") % 100 == 7), F.raise_error(F.lit("stopped")).cast("string"))
+            return some.withColumn("target", F.coalesce(stops, "target"))
+
+        rest = Stage("rest", lambda df: df.where("event_type not in ('error', 'view')"), emits=others)
+        return Job([Input("events", paths=folder, schema=EVENT_SCHEMA)], [rest])
+
+    try:
+        job(fails=True).run(spark, out, run_id="2024-05-06")
+    except PySparkException as error:
+        if "stopped" not in str(error):
+            raise
+    for run_id in ("2024-05-06", "2024-05-06"):
+        job(fails=False).run(spark, out, run_id=run_id)
+    found = [
+        read_run(spark, out, name, EVENT_SCHEMA).withColumn("dataset", F.lit(name)) for name in (RESULT, "error", "view")
+    ]
+    every = reduce(DataFrame.unionByName, found)
+    return every.groupBy("dataset", "event_type").agg(row_count(), total_cents("value"))
+
+
 _CENTS_SQL = "sum(round(value * 100)::BIGINT)::BIGINT AS cents"
 _ROUTED_SQL = f"SELECT event_type AS target, event_type, count(*) AS n, {_CENTS_SQL} FROM events GROUP BY ALL"
 
@@ -127,6 +173,24 @@ QUERIES = {
         SELECT dataset, event_type, count(*) AS n, {_CENTS_SQL} FROM placed GROUP BY ALL
         """,
     ),
+    "job_delete": Query(
+        job_delete,
+        f"""
+        WITH placed AS (
+            SELECT 'result' AS dataset, * FROM events
+            UNION ALL SELECT 'elsewhere', * FROM events WHERE {DROPS[1]}
+        )
+        SELECT dataset, event_type, count(*) AS n, {_CENTS_SQL} FROM placed GROUP BY ALL
+        """,
+    ),
+    "job_retry": Query(
+        job_retry,
+        f"""
+        SELECT CASE WHEN event_type IN ('error', 'view') THEN event_type ELSE 'result' END AS dataset,
+               event_type, count(*) AS n, {_CENTS_SQL}
+        FROM events GROUP BY ALL
+        """,
+    ),
     "drop_folder": Query(
         drop_folder, "SELECT event_id, event_type, round(value * 100)::BIGINT AS cents FROM events"
     ),
