@@ -84,6 +84,8 @@ def clean_files(
     the driver does the same.
     """
     listed = spark.createDataFrame([(name,) for name in names], "name string") if isinstance(names, list) else names.toDF("name")
+    if archive is None and not listed.where(F.col("name").contains(area)).isEmpty():
+        cleaning(area, storage, archive, period=period, area=area)  # what is missing is said here and not in a task
     first = listed.first()
     if first is None or (reachable(first.name) and (archive is None or reachable(archive))):
         rules = partial(cleaning, storage=storage, archive=archive, period=period, area=area)
