@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.grouping import KEY, group_agg, group_apply, group_fields, group_frames, with_group_key
 from sluice.operators.ordering import groups_in_key_order, with_ordinals
+from sluice.operators.segments import GroupScan, group_scan
 from sluice.plans.stages import Stage, run_stages
 from sluice.queries.common import Query, row_count, table, total_cents, whole_number
 
@@ -142,28 +144,60 @@ def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _day_counts(rows: pd.DataFrame) -> pd.DataFrame:
-    return rows.groupby([KEY, "day"], as_index=False, sort=False, dropna=False)["n"].sum()
+class LongestGap(GroupScan):
+    """Of a customer's orders, the most days between one and the next. A state: orders, first day, last day, gap."""
 
+    state = "orders bigint, first bigint, last bigint, gap bigint"
 
-def _longest_gap(_: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    days = _day_counts(pd.concat(batches))
-    gaps = days["day"].sort_values().diff().fillna(0)
-    yield pd.DataFrame({"orders": [int(days["n"].sum())], "longest_gap": [int(gaps.max())]})
+    def summary(self, rows):
+        days = rows["day"]
+        return len(days), int(days.iloc[0]), int(days.iloc[-1]), int(days.diff().max()) if len(days) > 1 else 0
+
+    def merge(self, first, second):
+        return first[0] + second[0], first[1], second[2], max(first[3], second[3], second[1] - first[2])
+
+    def run(self, key, before, rows, last):
+        for some in rows:
+            own = self.summary(some)
+            before = own if before is None else self.merge(before, own)
+        if last:
+            yield pd.DataFrame({"orders": [before[0]], "longest_gap": [before[3]]})
+
+
+class Gaps(LongestGap):
+    """Of every order, its place among the group's and the days since the one before."""
+
+    def run(self, key, before, rows, last):
+        for some in rows:
+            nth = (before[0] if before else 0) + np.arange(1, len(some) + 1)
+            gap = some["day"].diff()
+            gap.iloc[0] = some["day"].iloc[0] - before[2] if before else 0
+            yield pd.DataFrame({"o_orderkey": some["o_orderkey"], "nth": nth, "gap": gap.astype("int64")})
+            own = self.summary(some)
+            before = own if before is None else self.merge(before, own)
+
+
+_DAY = "unix_date(cast(o_orderdate as date))"
 
 
 def grouped_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A module that has to see all days of a customer: orders become counts per day, so there are no more
-    rows of a group in a task than days in the calendar."""
-    day = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint").alias("day")
-    one = F.lit(1).cast("bigint").alias("n")
+    """A module that has to see all orders of a customer in their order, however many there are."""
     schema = f"{KEY} string, orders bigint, longest_gap bigint"
+    stage = Stage("gaps", lambda df: group_scan(df, LongestGap(), schema, ["day"]), grouping_fields=("o_custkey",))
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.expr(_DAY).cast("bigint").alias("day"))
+    return run_stages(orders, [stage])
 
-    def gaps(orders: DataFrame) -> DataFrame:
-        return group_apply(orders.select(KEY, "day", "n"), _longest_gap, schema, partial=_day_counts)
 
-    stage = Stage("gaps", gaps, grouping_fields=("o_custkey",))
-    return run_stages(table(spark, sf_dir, "orders").select("o_custkey", day, one), [stage])
+def grouped_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per order, of which one group holds a third: segments go on where the one before has ended."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 3 == 0, -1).otherwise(F.col("o_custkey")).alias("customer"),
+        F.expr(_DAY).cast("bigint").alias("day"),
+        "o_orderkey",
+    )
+    schema = f"{KEY} string, o_orderkey bigint, nth bigint, gap bigint"
+    found = group_scan(with_group_key(orders, ["customer"]), Gaps(), schema, ["day", "o_orderkey"], segment_rows=2000)
+    return found.select("o_orderkey", "nth", "gap")
 
 
 def exact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,6 +334,16 @@ QUERIES = {
         GROUP BY o_custkey
         """,
     ),
+    "grouped_scan": Query(
+        grouped_scan,
+        """
+        SELECT o_orderkey, row_number() OVER orders AS nth,
+               coalesce(day - lag(day) OVER orders, 0)::BIGINT AS gap
+        FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END AS customer, o_orderkey,
+                     o_orderdate::DATE AS day FROM orders)
+        WINDOW orders AS (PARTITION BY customer ORDER BY day, o_orderkey)
+        """,
+    ),
     "exact_keys": Query(
         exact_keys,
         """
