@@ -25,6 +25,20 @@ _LONE_SURROGATE = re.compile("[\ud800-\udfff]")
 _MOST_DIGITS = 4000
 
 
+# Objects of plain members: no blanks, no escapes, no objects or arrays within. Most records are such, and
+# a pattern finds all their members at once.
+_PLAIN_STRING = r'"[^"\\\x00-\x1f]*"'
+_PLAIN_NUMBER = r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?"
+_PLAIN_VALUE = rf"{_PLAIN_STRING}|{_PLAIN_NUMBER}|true|false|null"
+_PLAIN_OBJECT = re.compile(rf"\{{(?:{_PLAIN_STRING}:(?:{_PLAIN_VALUE})(?:,{_PLAIN_STRING}:(?:{_PLAIN_VALUE}))*+)?\}}")
+_PLAIN_MEMBER = re.compile(rf"({_PLAIN_STRING}):({_PLAIN_VALUE})")
+
+
+def _plain_members(text: str) -> dict[str, str] | None:
+    """Names and values as they are spelled, if the text is an object of plain members; of equal names the last counts."""
+    return dict(_PLAIN_MEMBER.findall(text)) if _PLAIN_OBJECT.fullmatch(text) else None
+
+
 def _refuse(name: str) -> Any:
     raise ValueError(f"{name} is not JSON")
 
@@ -73,6 +87,10 @@ def _members(text: str) -> dict[str, tuple[str, str]]:
     Of fields with one name the last counts, in the place of the first.
     """
 
+    plain = _plain_members(text)
+    if plain is not None:
+        return {name[1:-1]: (name, value) for name, value in plain.items()}
+
     def skip(pos: int) -> int:
         return _BLANK.match(text, pos).end()
 
@@ -254,11 +272,24 @@ class ObjectReader:
         yield ERROR, None
 
 
+def _normal(value: str) -> str:
+    """A plain value as keys write it."""
+    if value[0] not in _NUMBER_START:
+        return value
+    return _written(_integer(value) if value.lstrip("-").isdigit() else _decimal(value))
+
+
 def key_text(record: str | None, paths: list[str]) -> str:
     """Compact JSON object of the fields of ``record`` that exist, in the order of ``paths``.
 
     Numbers are written as doubles and integers are; those that no double holds keep their spelling.
     """
+    plain = _plain_members(record) if isinstance(record, str) else None
+    if plain is not None:
+        # No path leads into a plain value.
+        found = [(path, plain.get(f'"{path}"')) for path in paths if "." not in path]
+        there = {path: value for path, value in found if value not in (None, "null")}
+        return "{" + ",".join(f"{_written(path)}:{_normal(value)}" for path, value in there.items()) + "}"
     try:
         key, root = {}, _load(record) if isinstance(record, str) else None
         for path in paths:
@@ -284,5 +315,8 @@ def merged_text(record: str | None, changes: str | None) -> str | None:
     fields = _members(record)
     for name, (spelled, value) in _members(changes).items():
         fields[name] = fields[name][0] if name in fields else spelled, value
-    text = "{" + ",".join(f"{name}:{value}" for name, value in fields.values()) + "}"
-    return _STRING_OR_BLANKS.sub(lambda part: part.group(1) or "", text)
+    return "{" + ",".join(f"{name}:{_without_blanks(value)}" for name, value in fields.values()) + "}"
+
+
+def _without_blanks(value: str) -> str:
+    return _STRING_OR_BLANKS.sub(lambda part: part.group(1) or "", value) if value[0] in "{[" else value

@@ -1,9 +1,11 @@
 import datetime
+import random
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from sluice.functions import json_text
 from sluice.functions.json_text import merged_text
 from sluice.functions.records import (
     field,
@@ -127,3 +129,29 @@ def test_passthrough_and_ids(spark):
     frame = spark.createDataFrame([(1, b"x")] * 20, "a int, content binary").repartition(4)
     assert passthrough(frame).columns == ["a"]
     assert len(set(one(with_record_id(frame).select("record_id")))) == 20
+
+
+def test_plain_records_are_read_as_others_are(monkeypatch):
+    """The pattern for plain members against the reader of any JSON."""
+    rng = random.Random(6)
+    names = ["a", "b", "a b", "é", "n.x", "", "n"]
+    values = ['"x"', '"é 😀"', "0", "-0", "1.0", "-2.50", "1e5", "12345678901234567890", "0.1234567890123456789", "1E400", "true", "null", '""']
+    odd = ['{"a":1', '{"a":01}', '{"a":1,}', '{"a":.5}', '{"a" :1}', '{"a":"\\n"}', '{"a":{"b":1}}', '{"a":[1]}', "{}", "[]", '{"a":tru}']
+    records = odd + ["{" + ",".join(f'"{rng.choice(names)}":{rng.choice(values)}' for _ in range(rng.randrange(6))) + "}" for _ in range(400)]
+    paths = [["a"], ["n.x", "b"], ["é", "a b", ""], ["n", "a", "a"]]
+
+    def outcome(work, *args):
+        try:
+            return work(*args)
+        except ValueError:
+            return ValueError
+
+    def results():
+        return [
+            *[outcome(json_text.key_text, record, some) for record in records for some in paths],
+            *[outcome(json_text.merged_text, record, records[i - 1]) for i, record in enumerate(records)],
+        ]
+
+    fast = results()
+    monkeypatch.setattr(json_text, "_plain_members", lambda text: None)
+    assert fast == results()
