@@ -23,14 +23,17 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain, repeat
 from typing import BinaryIO
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.pieces import Codes, cut
+from sluice.llm.pieces import Codes, cut, cuts_at_spaces
 from sluice.llm.rows import filesystem, map_rows, staged, utf8
 from sluice.session import scratch_path
 
@@ -40,7 +43,8 @@ RANK_STEP = 512
 SEGMENT_IDS = 1 << 20
 FILE_IDS = 1 << 25
 END_ID = 2
-BATCH_CHARS = 1 << 17
+BATCH_CHARS = 1 << 22
+READ_IDS = 1 << 16
 JOINED = 200
 
 
@@ -130,6 +134,45 @@ class Codes8:
         return Codes8(levels, bits, ranks)
 
 
+class Segment:
+    """A segment in a file, of which only what is asked for is read: a range of places goes on in the next level as
+    the range that the rank directory gives for its ends."""
+
+    def __init__(self, source, at: int):
+        self.source = source
+        self.ids, number = struct.unpack("<II", self._read(at, 8))
+        self.places: list[tuple[int, int, int]] = []
+        at += 8
+        for level in range(number):
+            (count,) = struct.unpack("<I", self._read(at, 4))
+            steps = max(1, -(-count // RANK_STEP)) if level < number - 1 else 0
+            bits = at + 4 + count
+            self.places.append((at + 4, bits, bits + steps * RANK_STEP // 8))
+            at = bits + steps * RANK_STEP // 8 + 4 * steps
+
+    def _read(self, at: int, count: int) -> bytes:
+        self.source.seek(at)
+        return self.source.read(count)
+
+    def range(self, first: int, last: int, level: int = 0) -> np.ndarray:
+        """The ids at the places from ``first`` to before ``last``, without the chunks of levels below ``level``."""
+        chunks, bits, ranks = self.places[level]
+        out = np.frombuffer(self._read(chunks + first, last - first), np.uint8).astype(np.uint32)
+        if level + 1 < len(self.places) and first < last:
+            # From the last rank before the range: its bits lead to the place where the range goes on.
+            step = first // RANK_STEP
+            word = step * (RANK_STEP // 64)
+            words = np.frombuffer(self._read(bits + 8 * word, 8 * (-(-last // 64) - word)), np.uint8)
+            on = np.unpackbits(words, bitorder="little")[: last - 64 * word]
+            skipped = first - 64 * word
+            live = np.flatnonzero(on[skipped:])
+            if len(live):
+                (rank,) = struct.unpack("<I", self._read(ranks + 4 * step, 4))
+                begin = rank + int(np.count_nonzero(on[:skipped]))
+                out[live] |= self.range(begin, begin + len(live), level + 1) << np.uint32(BITS)
+        return out
+
+
 class Writer:
     """Writes documents one after another; holds one segment and the directory."""
 
@@ -196,32 +239,34 @@ class Reader:
         self.ends = np.frombuffer(data, "<u8", documents, at + 9 * documents).astype(np.int64)
         self.cached: tuple[int, Codes8] | None = None
 
-    def _segment(self, number: int) -> Codes8:
+    def _segment(self, number: int) -> Segment:
         if self.cached is None or self.cached[0] != number:
-            start = int(self.offsets[number])
-            end = int(self.offsets[number + 1]) if number + 1 < len(self.offsets) else self.end
-            self.source.seek(start)
-            self.cached = number, Codes8.load(self.source.read(end - start))
+            self.cached = number, Segment(self.source, int(self.offsets[number]))
         return self.cached[1]
 
-    def at(self, places: np.ndarray) -> np.ndarray:
-        """The ids at ascending places of the file."""
-        places = np.asarray(places, np.int64)
-        numbers = np.searchsorted(self.firsts, places, side="right") - 1
-        parts = [
-            self._segment(int(number)).at(places[numbers == number] - self.firsts[number])
-            for number in np.unique(numbers)
-        ]
+    def range(self, first: int, last: int) -> np.ndarray:
+        """The ids at the places from ``first`` to before ``last``."""
+        parts = []
+        while first < last:
+            number = int(np.searchsorted(self.firsts, first, side="right")) - 1
+            end = int(self.firsts[number + 1]) if number + 1 < len(self.firsts) else last
+            begin = int(self.firsts[number])
+            parts.append(self._segment(number).range(first - begin, min(end, last) - begin))
+            first = min(end, last)
         return np.concatenate(parts) if parts else np.empty(0, np.uint32)
 
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The ids at places of the file, in any order."""
+        found = [self.range(place, place + 1) for place in np.asarray(places, np.int64).tolist()]
+        return np.concatenate(found) if found else np.empty(0, np.uint32)
+
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """Key, first place and ids of each document in turn; every segment is decoded once."""
-        number, held, first, start = -1, np.empty(0, np.uint32), 0, 0
+        """Key, first place and ids of each document in turn, from ranges of ``READ_IDS`` places or of a longer document."""
+        first, held, start = 0, np.empty(0, np.uint32), 0
+        total = int(self.ends[-1]) if len(self.ends) else 0
         for key, end in zip(self.keys, self.ends.tolist(), strict=True):
-            while first + len(held) < end:
-                number += 1
-                rest = held[start - first :]
-                first, held = start, np.concatenate([rest, self._segment(number).all()])
+            if end > first + len(held):
+                held, first = self.range(start, max(end, min(start + READ_IDS, total))), start
             yield key, start, held[start - first : end - first]
             start = end
 
@@ -274,6 +319,118 @@ def library_codes(path: str) -> Codes:
     return Codes(LibraryEncoder(path).encode, 400_000)
 
 
+class WordIds:
+    """The ids of pieces in one array, and where those of each piece known so far stand in it.
+
+    Two generations are kept, each of ``size`` pieces or eight times as many ids and a batch.
+    """
+
+    def __init__(self, library: LibraryEncoder, size: int = 500_000):
+        self.library, self.size = library, size
+        self._begin()
+        self.before = self.index, self.ids, self.ends
+
+    def _begin(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def turn(self) -> None:
+        """Forgets the older generation if the newer one is full. Numbers given before hold no more."""
+        if len(self.index) > self.size or len(self.ids) > 8 * self.size:
+            self.before = self.index, self.ids, self.ends
+            self._begin()
+
+    def _add(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        first = len(self.ends) - 1
+        self.index.update(zip(pieces, range(first, first + len(pieces)), strict=True))
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some pieces one after another, and how many each has. Pieces that are a space and a word are
+        encoded many in one text, which the pre-tokenizer parts again; the tokens' lengths tell where."""
+        plain = np.fromiter((piece[:1] == " " and piece.split() == [piece[1:]] for piece in pieces), bool, len(pieces))
+        words = [piece for piece, one in zip(pieces, plain.tolist(), strict=True) if one]
+        found = self.library._ids(["".join(words[at : at + JOINED]) for at in range(0, len(words), JOINED)])
+        ids = np.fromiter(chain.from_iterable(found), np.uint32)
+        last = np.cumsum(pc.binary_length(pa.array(words, pa.string())).to_numpy(zero_copy_only=False))
+        upto = np.searchsorted(np.cumsum(self.library.sizes[ids]), last) + 1 if words else np.empty(0, np.int64)
+        rest = self.library._ids([piece for piece, one in zip(pieces, plain.tolist(), strict=True) if not one])
+        counts = np.zeros(len(pieces), np.int64)
+        counts[plain] = np.diff(upto, prepend=0)
+        counts[~plain] = [len(one) for one in rest]
+        out = np.empty(counts.sum(), np.uint32)
+        from_words = np.repeat(plain, counts)
+        out[from_words] = ids
+        out[~from_words] = np.fromiter(chain.from_iterable(rest), np.uint32)
+        return out, counts
+
+    def of(self, pieces: list[str]) -> np.ndarray:
+        """The numbers of some pieces, all different; those not known yet are encoded in one call."""
+        numbers = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            first = len(self.ends) - 1
+            new = [pieces[at] for at in missing.tolist()]
+            index, ids, ends = self.before
+            older = np.fromiter(map(index.get, new, repeat(-1)), np.int64, len(new))
+            unknown = older < 0
+            some = older[~unknown]
+            self._add([new[at] for at in np.flatnonzero(~unknown).tolist()], *gathered(ids, ends, some))
+            never = [new[at] for at in np.flatnonzero(unknown).tolist()]
+            self._add(never, *self._encoded(never))
+            order = np.concatenate([missing[~unknown], missing[unknown]])
+            numbers[order] = np.arange(first, first + len(new))
+        return numbers
+
+
+def gathered(ids: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of numbered pieces one after another, and how many each has."""
+    begin = ends[numbers]
+    counts = ends[numbers + 1] - begin
+    upto = np.cumsum(counts)
+    places = np.arange(upto[-1] if len(upto) else 0) + np.repeat(begin - (upto - counts), counts)
+    return ids[places], counts
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    """One for all tasks of a worker, so words are looked up that an earlier task met."""
+    return WordIds(LibraryEncoder(path))
+
+
+def encoded(texts: list[str], known: WordIds) -> tuple[np.ndarray, list[int]]:
+    """The ids of texts one after another, and where those of each text end.
+
+    Arrow parts the texts that :func:`cut` cuts at every space, and its dictionary encoding makes numbers of
+    the pieces, so a piece is looked up once for all its places and the ids of all places are gathered at once.
+    """
+    known.turn()
+    plain = np.fromiter((cuts_at_spaces(text) for text in texts), bool, len(texts))
+    lists = pc.split_pattern(pa.array([text for text, one in zip(texts, plain.tolist(), strict=True) if one], pa.large_string()), " ")
+    offsets = lists.offsets.to_numpy()
+    first = np.zeros(len(lists.values), bool)
+    first[offsets[:-1]] = True
+    rest = lists.values.filter(pa.array(~first)).dictionary_encode()
+    words = known.of([" " + word for word in rest.dictionary.to_pylist()])
+    others = [cut(text) for text, one in zip(texts, plain.tolist(), strict=True) if not one]
+    odd = [*lists.values.filter(pa.array(first)).to_pylist(), *chain.from_iterable(others)]
+    distinct = {piece: number for number, piece in enumerate(dict.fromkeys(odd))}
+    odd_numbers = known.of(list(distinct))[np.fromiter(map(distinct.__getitem__, odd), np.int64, len(odd))]
+
+    spaced = np.empty(len(first), np.int64)
+    spaced[~first] = words[rest.indices.to_numpy()]
+    spaced[first], left = odd_numbers[: first.sum()], odd_numbers[first.sum() :]
+    pieces = np.empty(len(texts), np.int64)
+    pieces[plain], pieces[~plain] = np.diff(offsets), [len(one) for one in others]
+    numbers = np.empty(len(spaced) + len(left), np.int64)
+    of_plain = np.repeat(plain, pieces)
+    numbers[of_plain], numbers[~of_plain] = spaced, left
+    ids, counts = gathered(known.ids, known.ends, numbers)
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    return ids, ends[np.cumsum(pieces)].tolist()
+
+
 def write_files(
     documents: DataFrame,
     where: str,
@@ -289,32 +446,33 @@ def write_files(
 
     Rows are dealt by ranges of ``doc_id`` and sorted within them, so files follow one another by
     ``part`` and ``number``. Names are new in every attempt of a task, and only those of the
-    successful one are in the manifest. A null text is empty, a null id comes first, repeated
-    ids stay rows of their own, an empty table writes no file.
+    successful one are in the manifest. A null text is empty, a null id comes first, rows of one
+    id are in the order of a hash of their texts, an empty table writes no file.
     """
 
     def work(rows):
         files, base = filesystem(where)
         files.create_dir(base, recursive=True)
         part = TaskContext.get().partitionId()
-        codes = library_codes(tokenizer_path)
-        end = np.array([end_id], "<u4").tobytes()
+        known = word_ids(tokenizer_path)
+        end = np.array([end_id], "<u4")
         writer, number = None, 0
 
         def batches():
             held, size = [], 0
-            for key, body in rows:
-                held.append((key, cut(body or "")))
-                size += len(body or "")
+            for row in rows:
+                held.append(row)
+                size += len(row[1] or "")
                 if size >= BATCH_CHARS:
                     yield held
                     held, size = [], 0
             yield held
 
         for held in batches():
-            found = iter(codes.of([piece for _, parts in held for piece in parts]))
-            for key, parts in held:
-                ids = np.frombuffer(b"".join([next(found) for _ in parts]) + end, "<u4")
+            every, ends = encoded([body or "" for _, body in held], known)
+            start = 0
+            for (key, _), stop in zip(held, ends, strict=True):
+                ids, start = np.concatenate([every[start:stop], end]), stop
                 if writer is None:
                     name = f"{uuid.uuid4().hex}.dac"
                     writer = Writer(files.open_output_stream(f"{base}/{name}"), segment_ids)
@@ -329,8 +487,10 @@ def write_files(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-        .repartitionByRange(parts, "doc_id")
-        .sortWithinPartitions("doc_id")
+        .withColumn("hash", F.xxhash64("text"))
+        .repartitionByRange(parts, "doc_id", "hash")
+        .sortWithinPartitions("doc_id", "hash", "text")
+        .drop("hash")
     )
     return staged(map_rows(ordered, work, "path string, part int, number int, n_ids bigint"), "dac")
 

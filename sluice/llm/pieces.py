@@ -19,9 +19,14 @@ LONGEST = 64
 CACHE = 120_000
 
 
+def cuts_at_spaces(text: str) -> bool:
+    """Whether every space of a text begins a piece."""
+    return not (text.startswith(" ") or any(pair in text for pair in _AFTER_WHITE))
+
+
 def cut(text: str) -> list[str]:
     """The pieces of a text, in order; joined they are the text."""
-    if text.startswith(" ") or any(pair in text for pair in _AFTER_WHITE):
+    if not cuts_at_spaces(text):
         return _RUNS.findall(text)
     first, *rest = text.split(" ")
     return [first, *[" " + word for word in rest]] if first else []
