@@ -27,7 +27,7 @@ ORACLE_SQL = None
 
 
 def _kept(docs: DataFrame, new: set[str], decide: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The rows that ``decide`` leaves, whose operator adds columns ``new``; columns of such names are others meanwhile."""
+    """The rows that ``decide`` leaves, whose operator uses columns ``new``; columns of such names are others meanwhile."""
     mark = "_"
     while any(name.startswith(mark) for name in docs.columns):
         mark += "_"
@@ -44,7 +44,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return similarity.representatives(docs)
+    return _kept(docs, {"_class", "_root", "_least", "_place"}, similarity.representatives)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return secret_scan.masked(docs)
+    return _kept(docs, {"_hashes", "_row", "_live"}, secret_scan.masked)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -273,25 +273,25 @@ def may_link(size: int, other: int, histogram: bytes, others: bytes, threshold:
 
 
 def _shingle_counts(documents: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
-    """``id, class, n, histogram`` of every row, written; and the cells' counts, 2^20 numbers whatever the input."""
+    """``id, class, n, histogram, mark`` of every row, written, the mark a hash of its text; and the cells' counts, 2^20 numbers whatever the input."""
     width = (1 << CELL_BITS) // BLOCKS
 
     def work(rows):
         counts = np.zeros(1 << CELL_BITS, np.int64)
-        for key, text in rows:
+        for key, text, mark in rows:
             found = shingles(text, words)
             counts[_cells(found)] += 1
             name = class_of(found) if len(found) else None
-            yield key, name, len(found), _histogram(found).tobytes(), None, None, None
+            yield key, name, len(found), _histogram(found).tobytes(), mark, None, None, None
         # A task's counts, a byte of each at a time; only the lowest is ever full.
         for block in range(BLOCKS):
             part = counts[block * width : (block + 1) * width]
             for shift in range(0, int(part.max()).bit_length(), 8):
                 digits = ((part >> shift) & 255).astype(np.uint8)
-                yield None, None, None, None, block, shift, zlib.compress(digits.tobytes(), 1)
+                yield None, None, None, None, None, block, shift, zlib.compress(digits.tobytes(), 1)
 
-    schema = "id bigint, class bigint, n bigint, histogram binary, block int, shift int, digits binary"
-    every = staged(map_rows(documents, work, schema), "sets")
+    schema = "id bigint, class bigint, n bigint, histogram binary, mark bigint, block int, shift int, digits binary"
+    every = staged(map_rows(documents.select("id", "text", F.xxhash64("text")), work, schema), "sets")
 
     def add(rows):
         held: dict[int, np.ndarray] = {}
@@ -306,7 +306,7 @@ def _shingle_counts(documents: DataFrame, words: int) -> tuple[DataFrame, np.nda
     table = np.zeros(1 << CELL_BITS, np.int64)
     for block, total in summed.toLocalIterator():
         table[block * width : (block + 1) * width] += np.frombuffer(total, "<i8")
-    return every.where("block is null").select("id", "class", "n", "histogram"), table
+    return every.where("block is null").select("id", "class", "n", "histogram", "mark"), table
 
 
 def _candidate_groups(
@@ -370,21 +370,25 @@ def _candidate_groups(
 def _dealt_sets(
     source: DataFrame, words: int, threshold: int, chunk_shingles: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``id, class, n, histogram`` of every row of ``id, text``; ``class, first, n, copies`` of every class; and the
+    """``id, class, n, histogram`` of every row of ``id, text``; ``class, first, mark, n, copies`` of every class; and the
     whole sets of the candidate groups, dealt by ``component, low, high``: a pair of chunks."""
     rows, table = _shingle_counts(source, words)
     groups = staged(_candidate_groups(source, rows, table, words, threshold), "groups")
+    one = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "mark"))).alias("one")
     sizes = rows.where("class is not null").groupBy("class").agg(
-        F.min("id").alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")
+        one, F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")
     )
+    sizes = sizes.select("class", F.col("one.id").alias("first"), F.col("one.mark").alias("mark"), "n", "copies")
     # Each group in chunks of a bounded number of shingles; its members are spread by their hash.
-    members = staged(groups.join(sizes, groups["id"] == sizes["class"]).select("class", "first", "n", "component"), "members")
+    members = staged(groups.join(sizes, groups["id"] == sizes["class"]).select("class", "first", "mark", "n", "component"), "members")
     chunks = members.groupBy("component").agg(
         F.ceil(F.sum("n") / chunk_shingles).cast("int").alias("chunks"), F.sum("n").alias("weight")
     )
     placed = members.join(chunks, "component").withColumn("chunk", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
-    wanted = placed.select(F.col("first").alias("id"), F.col("class").alias("wanted"), "component", "chunks", "chunk")
-    texts = source.join(limited_broadcast(wanted.where("id is not null")), "id")
+    wanted = placed.select(F.col("first").alias("id"), "mark", F.col("class").alias("wanted"), "component", "chunks", "chunk")
+    # By id and text: an id that many rows share finds each class's own rows only.
+    marked = source.withColumn("mark", F.xxhash64("text"))
+    texts = marked.join(limited_broadcast(wanted.where("id is not null")), ["id", "mark"])
     nameless = wanted.where("id is null")
 
     def classes(given):
@@ -401,7 +405,7 @@ def _dealt_sets(
     def sets(given):
         for body, wanted, component, chunks, chunk in given:
             found = shingles(body, words)
-            # An id may stand for several texts; only the one that is meant is taken.
+            # A mark may stand for several texts; only the one that is meant is taken.
             if class_of(found) != wanted:
                 continue
             data = found.tobytes()

@@ -224,6 +224,45 @@ def test_codes_are_directly_addressable():
             assert (codes.at(places) == ids[places]).all()
 
 
+class Counted(io.BytesIO):
+    """Counts the bytes that are read."""
+
+    taken = 0
+
+    def read(self, size=-1):
+        data = super().read(size)
+        self.taken += len(data)
+        return data
+
+
+def test_one_token_does_not_load_its_segment():
+    rng = np.random.default_rng(2)
+    ids = np.where(rng.random(300_000) < 0.1, rng.integers(0, 1 << 24, 300_000), rng.integers(0, 50_000, 300_000)).astype(np.uint32)
+    out = io.BytesIO()
+    out.close = lambda: None
+    writer = dac.Writer(out, segment_ids=200_000)
+    writer.add(1, ids)
+    writer.close()
+    source = Counted(out.getvalue())
+    reader = dac.Reader(source, len(out.getvalue()))
+    for place in (0, 63, 64, 511, 512, 12_345, 199_999, 200_000, 299_999):
+        source.taken = 0
+        assert reader.at([place]).tolist() == [ids[place]]
+        assert source.taken < 500
+    for first, last in ((0, 0), (10, 700), (199_000, 201_000), (0, 300_000), (511, 513)):
+        assert (reader.range(first, last) == ids[first:last]).all()
+
+
+def test_encoded_texts_are_those_of_the_library(library):
+    texts = [text or "" for _, text in ODD] + ["a  b", " a", "a b\n c", "a b c a b", "", "é é é"]
+    known = dac.WordIds(dac.LibraryEncoder(VOCABULARY), size=5)
+    for some in (texts, texts[::-1], texts[:3]):
+        ids, ends = dac.encoded(some, known)
+        for text, start, end in zip(some, [0, *ends[:-1]], ends, strict=True):
+            assert ids[start:end].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert dac.encoded([], known)[1] == [] and dac.encoded([""], known)[1] == [0]
+
+
 def test_file_of_several_segments():
     rng = np.random.default_rng(1)
     texts = [rng.integers(0, 60_000, size).astype(np.uint32) for size in (0, 5, 300, 0, 1_000, 1)]
@@ -462,6 +501,22 @@ def test_jaccard_join_of_rows_without_ids(spark, chunk):
     assert sorted(kept, key=repr) == sorted([20, 21, 23, None], key=repr)
 
 
+def test_jaccard_join_of_rows_that_share_an_id(spark):
+    """Near copies, a third of all rows, under one id: each class is fetched by its own rows, not by all of the id."""
+    rng = random.Random(13)
+    base = [f"u{i}" for i in range(200)]
+    rows = [(7, " ".join([*base[:-1], f"x{i}"])) for i in range(60)] + [(7, " ".join(base))] * 3
+    rows += [(100 + i, " ".join(f"y{rng.randrange(5000)}" for _ in range(30))) for i in range(60)]
+    rows += [(300 + i, " ".join([f"z{i}", *base[1:]])) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = similarity.join(frame).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(brute_components(rows), key=repr)
+    source = frame.select(F.col("doc_id").alias("id"), "text")
+    _, _, dealt = similarity._dealt_sets(source, 5, 80, 400_000)
+    # A set per class and copies of its text, in a single cell.
+    assert dealt.count() <= len(rows)
+
+
 @pytest.mark.parametrize("chunk", [400_000, 200])
 def test_jaccard_links(spark, chunk):
     """Every link of the join, counted once whatever the chunks; components alone need far fewer."""

@@ -46,10 +46,23 @@ def test_stages_keep_columns_of_the_operators_names(spark):
         assert rows and rows <= before
 
 
+def test_stages_keep_the_operators_helper_columns(spark):
+    rows = [(i, f"password = hunter{i}x secret words of text number {i % 3} and more words here", "en", "s", 1) for i in range(6)]
+    rows.append((None, rows[0][1], "en", "s", 1))
+    docs = spark.createDataFrame([(*row, *range(7)) for row in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint, _class int, _root int, "
+                                 "_least int, _place int, _hashes int, _row int, _live int")
+    for name, count in (("near_duplicates", len(rows)), ("secrets", len(rows))):
+        after = dict(corpus_pipeline.STAGES)[name](spark, docs, SF_DIR)
+        assert after.schema.simpleString() == docs.schema.simpleString()
+        found = after.collect()
+        assert 0 < len(found) <= count and {tuple(row)[5:] for row in found} == {tuple(range(7))}
+
+
 def test_registered(spark):
     found = __spark_entry__.queries()
     assert "pipeline" in found and all(name in found for name in registry.QUERIES)
-    assert sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(registry.SQL))
