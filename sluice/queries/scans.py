@@ -7,6 +7,7 @@ import gzip
 import io
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,6 +138,13 @@ def empty_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy(kind).agg(row_count(), F.sum(F.octet_length("content")).alias("n_bytes"))
 
 
+def _inflated_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for content in batch.column("content"):
+            lines = gzip.decompress(content.as_py()).decode().split("\n")
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["json"])
+
+
 def route_by_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON files give records; compressed JSON and text are whole files."""
     events = table(spark, sf_dir, "events")
@@ -150,9 +158,8 @@ def route_by_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("event_type")
     rest = found.where("extension = 'TXT'").select(lines).where("event_type != ''")
     # Nothing inflates whole files, so their bytes still hold all records.
-    inflated = F.udf(lambda content: gzip.decompress(content).decode(), "string")
-    line = F.explode(F.split(inflated("content"), "\n")).alias("json")
-    zipped = typed(found.where("extension = 'GZ' and json is null").select(line).where("json != ''"), "event_type string")
+    inflated = found.where("extension = 'GZ' and json is null").select("content").mapInArrow(_inflated_lines, "json string")
+    zipped = typed(inflated.where("json != ''"), "event_type string")
     return (
         clicks.withColumn("parser", F.lit("json"))
         .unionByName(rest.withColumn("parser", F.lit("binary")))
