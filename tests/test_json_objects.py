@@ -60,8 +60,15 @@ SPLIT_BYTES = 600
 
 
 @pytest.fixture()
-def small_splits(settings):
-    settings(spark__sql__files__maxPartitionBytes=str(SPLIT_BYTES), spark__sql__files__openCostInBytes="1")
+def small_splits(monkeypatch):
+    monkeypatch.setattr(json_objects, "_range_bytes", lambda spark, total: SPLIT_BYTES)
+
+
+def test_ranges_follow_the_session_and_the_input(spark, settings):
+    assert json_objects._range_bytes(spark, 1 << 40) == 16 << 20
+    assert json_objects._range_bytes(spark, 80 << 20) == 10 << 20
+    settings(spark__sql__files__maxPartitionBytes="603")
+    assert json_objects._range_bytes(spark, 1 << 40) == 600
 
 
 def test_cases(spark, folder):
@@ -172,13 +179,10 @@ def test_only_large_files_are_split(spark, small_splits, folder):
     assert found == {"small.json": ['{"a":1}'], "large.json": ['{"a":2}'] * 500}
 
 
-def test_setting_for_steady_splits_is_put_back(spark, small_splits, settings, folder):
-    where = folder({"large": '{"a":2}\n' * 500})
-    assert scan_json_objects(spark, where, whole_file_bytes=0).count() == 500
-    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
-    settings(spark__sql__files__minPartitionNum="3")
-    assert scan_json_objects(spark, where, whole_file_bytes=0).count() == 500
-    assert spark.conf.get("spark.sql.files.minPartitionNum") == "3"
+def test_the_session_keeps_its_settings(spark, small_splits, folder):
+    before = dict(spark.conf.getAll)
+    assert scan_json_objects(spark, folder({"large": '{"a":2}\n' * 500}), whole_file_bytes=0).count() == 500
+    assert dict(spark.conf.getAll) == before
 
 
 ENCODINGS = ["utf-8-sig", "utf-16", "utf-16-le", "utf-16-be", "utf-32", "utf-32-le", "utf-32-be"]
