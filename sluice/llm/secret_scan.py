@@ -195,7 +195,10 @@ def masked(
 ) -> DataFrame:
     """``documents`` with every live-looking value replaced by ``MASK``; copied examples stay.
 
-    The columns, their order and the rows stay. The texts are not shuffled: the hashes of live
+    The columns, their order and the rows stay. A null text stays null; null owners and repositories are of their own
+    name; repeated rows are masked row by row and count as further sightings; an empty table gives an empty
+    one. Columns named ``_hashes``, ``_row`` or ``_live`` would clash, so the pipeline renames them meanwhile.
+    The texts are not shuffled: the hashes of live
     values are looked up where they are found, by a join on the hash of the few rows that have
     candidates, and only those rows move.
     """

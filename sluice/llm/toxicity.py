@@ -130,7 +130,8 @@ def training_rows(
     """``text, label`` of at most about ``rows`` labelled rows that are not held out, chosen by a hash of their id.
 
     Only ids and labels are counted; the texts of the chosen rows are looked up. An id that is there
-    several times gives one row, the text with the smallest hash, so the bound holds for any input.
+    several times gives one row, the text with the smallest hash, so the bound holds for any input. An id with
+    labels of both kinds has label 1.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(target).cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & F.col("_id").isNotNull())
