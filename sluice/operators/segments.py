@@ -1,9 +1,10 @@
 """User code that has to see the rows of a group one after the other, for groups of any size.
 
-Rows are dealt out by ranges of key and order, and cut into segments of a bounded number of rows. A first pass
-sums up what each segment holds of the groups at its borders; these few rows, merged in order, tell what was before a
-segment. A second pass runs the code on all segments at once, each with the state that it begins with. So a
-group, whatever its size, is the work of as many tasks as it has segments.
+Rows are dealt out by ranges of key and order, written, and cut into segments of a bounded number of rows by their
+place in the files. A first pass sums up what each segment holds of the groups at its borders; these few rows, merged
+in order, tell what was before a segment. A second pass runs the code on all segments at once, each with the state
+that it begins with. So a group, whatever its size, is the work of as many tasks as it has segments. The groups
+that a batch of rows holds whole go to the code in one call, so small groups cost no call each.
 """
 
 from __future__ import annotations
@@ -12,15 +13,17 @@ import itertools
 from collections.abc import Iterable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DataType, IntegerType, IntegralType, StructField, StructType
 
 from sluice.operators.grouping import KEY
 from sluice.session import scratch_path
 
 SEGMENT_ROWS = 50_000
+_ROWS_OUT = 2000
 State = tuple[Any, ...]
 
 
@@ -31,6 +34,9 @@ class GroupScan:
     ``merge`` that of two stretches of rows, the first before the second. ``run`` gets the rows of a
     segment in frames, the state of all rows of the group before them (``None`` at its beginning) and whether
     the group ends with them, and yields any number of rows.
+
+    ``whole`` does what ``run`` does for many groups at once, of each of which it gets all rows. Code that can work
+    on many groups at once should have its own, which is faster by the cost of a call per group.
     """
 
     state: str
@@ -46,22 +52,46 @@ class GroupScan:
     ) -> Iterable[pd.DataFrame]:
         raise NotImplementedError
 
+    def whole(self, rows: pd.DataFrame) -> Iterable[pd.DataFrame]:
+        """The rows of many whole groups, in key order, with their keys; so are the results."""
+        results: list[pd.DataFrame] = []
+        held = 0
+        for begin, end in itertools.pairwise(_edges(rows[KEY].to_numpy())):
+            key = rows[KEY].iloc[begin]
+            for result in self.run(key, None, iter([rows.iloc[begin:end].reset_index(drop=True)]), True):
+                result = result.assign(**{KEY: key})
+                # Of one kind, as whole numbers beside nulls would become floats.
+                if results and (held >= _ROWS_OUT or not result.dtypes.equals(results[0].dtypes)):
+                    yield pd.concat(results, ignore_index=True)
+                    results, held = [], 0
+                results.append(result)
+                held += max(len(result), 1)
+        if results:
+            yield pd.concat(results, ignore_index=True)
+
+
+def _edges(values: np.ndarray) -> list[int]:
+    """Where a value differs from the one before, and both ends."""
+    return [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+
+
+def _filler(kind: DataType) -> Column:
+    value = 0 if isinstance(kind, IntegralType) else False if isinstance(kind, BooleanType) else None
+    return F.lit(value).cast(kind)
 
-def _stretches(batches: Iterable[pd.DataFrame], by: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
-    """Neighbouring rows with equal values, a batch's at a time."""
+
+def _pieces(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
+    """A segment's rows, a batch's at a time."""
     for rows in batches:
         if rows.empty:
             continue
-        keys = rows[by]
-        changes = (keys != keys.shift()).any(axis=1).to_numpy()
-        changes[0] = True
-        edges = [*changes.nonzero()[0].tolist(), len(rows)]
-        for begin, end in itertools.pairwise(edges):
-            yield tuple(keys.iloc[begin]), rows.iloc[begin:end]
+        segments = rows["_segment"].to_numpy()
+        for begin, end in itertools.pairwise(_edges(segments)):
+            yield int(segments[begin]), rows.iloc[begin:end]
 
 
 def group_scan(
-    df: DataFrame, scan: GroupScan, schema: str, order: list[str], *, segment_rows: int = SEGMENT_ROWS
+    df: DataFrame, scan: GroupScan, schema: str, order: list[str | Column], *, segment_rows: int = SEGMENT_ROWS
 ) -> DataFrame:
     """Runs ``scan`` over the rows of each group of a frame that has the group key, in ``order``.
 
@@ -72,83 +102,98 @@ def group_scan(
     """
     spark = df.sparkSession
     names = df.columns
-    fields = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in df.schema)
-    state_names = spark.createDataFrame([], scan.state).columns
-    states = ", ".join(f"`_s_{name}` {kind}" for name, kind in spark.createDataFrame([], scan.state).dtypes)
-    summed = [f"_s_{name}" for name in state_names]
+    state_types = spark.createDataFrame([], scan.state).dtypes
+    states = ", ".join(f"`_s_{name}` {kind}" for name, kind in state_types)
+    summed = [f"_s_{name}" for name, _ in state_types]
     has_key = KEY in spark.createDataFrame([], schema).columns
 
-    def states_of(rows: pd.DataFrame) -> State:
-        return scan.summary(rows[names].reset_index(drop=True))
+    def own_rows(piece: pd.DataFrame, begin: int, end: int) -> pd.DataFrame:
+        return piece.iloc[begin:end][names].reset_index(drop=True)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows with the number of their segment and their place in it; after a segment, its border groups' states."""
-        task, segment, place = TaskContext.get().partitionId() << 32, 0, 0
-        # Of the segment: the first group's state and the last one's, which may be the same group.
-        borders: list[list] = []
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The states of each segment's first and last group, which may be the same group."""
+        columns = [KEY, "_segment", "_place", *summed]
+        current, borders, out = None, [], []
+        for segment, piece in _pieces(batches):
+            if segment != current:
+                out += [[key, current, place, *state] for key, place, state in borders]
+                current, borders = segment, []
+                if len(out) >= _ROWS_OUT:
+                    yield pd.DataFrame(out, columns=columns, dtype=object)
+                    out = []
+            edges = _edges(piece[KEY].to_numpy())
+            # Groups between a batch's first and last are inside of the segment.
+            for begin, end in dict.fromkeys([(0, edges[1]), (edges[-2], edges[-1])]):
+                key, state = piece[KEY].iloc[begin], scan.summary(own_rows(piece, begin, end))
+                if borders and borders[-1][0] == key:
+                    borders[-1][2] = scan.merge(borders[-1][2], state)
+                else:
+                    borders = [*borders[:1], [key, int(piece["_place"].iloc[begin]), state]]
+        out += [[key, current, place, *state] for key, place, state in borders]
+        if out:
+            yield pd.DataFrame(out, columns=columns, dtype=object)
 
-        def closed() -> pd.DataFrame:
-            found = borders[:1] + borders[1:][-1:]
-            rows = pd.DataFrame([[key, *state] for key, state in found], columns=[KEY, *summed], dtype=object)
-            return rows.assign(_segment=task + segment, _place=[0, 1][: len(found)], _state=True)
+    def carry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """What each segment's border groups had before it, and whether they end in it; of a group, in order."""
+        columns = [KEY, "_segment", *summed, "_goes_on", "_ends"]
+        held = None  # key, segment, the state before it and the state at its end
 
-        for rows in batches:
-            at = 0
-            while at < len(rows):
-                part = rows.iloc[at : at + segment_rows - place]
-                for (key,), group in _stretches([part], [KEY]):
-                    state = states_of(group)
-                    if borders and borders[-1][0] == key:
-                        borders[-1][1] = scan.merge(borders[-1][1], state)
-                    else:
-                        borders = [*borders[:1], [key, state]]
-                numbers = range(place, place + len(part))
-                yield part.assign(_segment=task + segment, _place=numbers, _state=False)[[*names, "_segment", "_place", "_state"]]
-                at, place = at + len(part), place + len(part)
-                if place == segment_rows:
-                    yield closed()
-                    segment, place, borders = segment + 1, 0, []
-        if borders:
-            yield closed()
+        def known(ends: bool) -> list:
+            key, segment, before, _ = held
+            return [key, segment, *(before or [None] * len(summed)), before is not None, ends]
 
-    def carry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """What each segment's border groups had before it, and whether they end in it; of a group, one after the other."""
-        held = None
-        for (key,), rows in _stretches(batches, [KEY]):
+        for rows in batches:
             out = []
-            for row in rows.to_dict("records"):
-                state = tuple(row[name] for name in summed)
+            for key, segment, *values in rows[[KEY, "_segment", *summed]].itertuples(index=False, name=None):
+                state = tuple(values)
+                same = held is not None and held[0] == key
+                if same and held[1] == segment:  # which several tasks have read
+                    held = [*held[:-1], scan.merge(held[-1], state)]
+                    continue
                 if held is not None:
-                    out.append(held[:-1] if held[0] == key else [*held[:-2], True])
-                before = held[-1] if held is not None and held[0] == key else None
-                own = state if before is None else scan.merge(before, state)
-                held = [key, row["_segment"], row["_place"], *(before or [None] * len(summed)), before is not None, False, own]
+                    out.append(known(not same))
+                before = held[-1] if same else None
+                held = [key, segment, before, state if before is None else scan.merge(before, state)]
             if out:
-                yield pd.DataFrame(out, columns=carried, dtype=object)
+                yield pd.DataFrame(out, columns=columns, dtype=object)
         if held is not None:
-            yield pd.DataFrame([[*held[:-2], True]], columns=carried, dtype=object)
-
-    carried = [KEY, "_segment", "_place", *summed, "_goes_on", "_ends"]
+            yield pd.DataFrame([known(True)], columns=columns, dtype=object)
+
+    def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+        """Of each piece, what is known of its borders, its first group, those inside, its last group."""
+        for segment, piece in _pieces(batches):
+            at = int(piece["_state"].sum())
+            if at:
+                yield (segment, "borders", None), piece.iloc[:at]
+                piece = piece.iloc[at:]
+            if piece.empty:
+                continue
+            keys = piece[KEY].to_numpy()
+            edges = _edges(keys)
+            yield (segment, "group", keys[0]), own_rows(piece, 0, edges[1])
+            if len(edges) > 3:
+                yield (segment, "whole", None), own_rows(piece, edges[1], edges[-2])
+            if len(edges) > 2:
+                yield (segment, "group", keys[-1]), own_rows(piece, edges[-2], edges[-1])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         borders: dict[str, tuple[State | None, bool]] = {}
         current = None
-        for (segment, key, _), stretches in itertools.groupby(
-            _stretches(batches, ["_segment", KEY, "_state"]), key=lambda one: one[0]
-        ):
-            rows = (rows for _, rows in stretches)
+        for (segment, kind, key), found in itertools.groupby(stretches(batches), key=lambda one: one[0]):
             if segment != current:
                 borders, current = {}, segment
-            first = next(rows)
-            if first["_state"].iloc[0]:
-                row = first.iloc[0]
-                before = tuple(row[name] for name in summed) if row["_goes_on"] else None
-                borders[key] = before, bool(row["_ends"])
-                continue
-            before, last = borders.get(key, (None, True))
-            frames = (frame[names].reset_index(drop=True) for frame in itertools.chain([first], rows))
-            for result in scan.run(key, before, frames, last):
-                yield result.assign(**{KEY: key}) if has_key else result
+            frames = (rows for _, rows in found)
+            if kind == "borders":
+                for row in itertools.chain.from_iterable(rows.to_dict("records") for rows in frames):
+                    before = tuple(row[name] for name in summed) if row["_goes_on"] else None
+                    borders[row[KEY]] = before, bool(row["_ends"])
+            elif kind == "whole":
+                for result in itertools.chain.from_iterable(map(scan.whole, frames)):
+                    yield result if has_key else result.drop(columns=KEY, errors="ignore")
+            else:
+                before, last = borders.get(key, (None, True))
+                for result in scan.run(key, before, frames, last):
+                    yield result.assign(**{KEY: key}) if has_key else result
 
     by = [KEY, *order, "_hash", "_row"]
     hashed = [field.name for field in df.schema if "map<" not in field.dataType.simpleString()]
@@ -157,25 +202,19 @@ def group_scan(
     # Equal rows differ by their place in a written file, which is the same for every attempt of a task.
     row = F.xxhash64("_metadata.file_name", "_metadata.row_index").alias("_row")
     rows = spark.read.schema(df.schema).parquet(given).select("*", F.xxhash64(*hashed).alias("_hash"), row)
-    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by).drop("_hash", "_row")
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    ordered = ordered.select(*names, F.spark_partition_id().alias("_range"))
     where = scratch_path(spark, "segments")
-    marks = "_segment bigint, _place bigint, _state boolean"
-    columns, types = [*names, *summed, "_segment", "_place", "_state"], f"{fields}, {states}, {marks}"
-    ordered.mapInPandas(_columns(cut, columns), types).write.parquet(where)
-    written = spark.read.schema(types).parquet(where)
-    borders = written.where("_state").select(KEY, "_segment", "_place", *summed)
+    # One file per range, so a row's place in its file is its place in the range.
+    ordered.write.option("maxRecordsPerFile", 0).parquet(where)
+    segment = F.expr(f"(bigint(_range) << 32) + _metadata.row_index div {segment_rows} AS _segment")
+    written = spark.read.schema(StructType([*df.schema, StructField("_range", IntegerType())])).parquet(where)
+    written = written.select(*names, segment, F.col("_metadata.row_index").alias("_place"))
+    borders = written.mapInPandas(sums, f"{KEY} string, _segment bigint, _place bigint, {states}")
     dealt = borders.repartition(KEY).sortWithinPartitions(KEY, "_segment", "_place")
-    carried_schema = f"{KEY} string, _segment bigint, _place bigint, {states}, _goes_on boolean, _ends boolean"
-    known = dealt.mapInPandas(carry, carried_schema)
-    # Before the rows of their segment.
-    known = known.withColumn("_state", F.lit(True)).withColumn("_place", F.col("_place") - 2)
-    every = written.where("not _state").drop(*summed).unionByName(known, allowMissingColumns=True)
+    known = dealt.mapInPandas(carry, f"{KEY} string, _segment bigint, {states}, _goes_on boolean, _ends boolean")
+    # Before the rows of their segment, with values where nulls would turn a batch's whole numbers into floats.
+    filled = {field.name: _filler(field.dataType) for field in df.schema if field.name != KEY}
+    known = known.withColumns({**filled, "_place": F.lit(-1).cast("bigint"), "_state": F.lit(True)})
+    every = written.withColumn("_state", F.lit(False)).unionByName(known, allowMissingColumns=True)
     return every.repartition("_segment").sortWithinPartitions("_segment", "_place").mapInPandas(run, schema)
-
-
-def _columns(work, names: list[str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in work(batches):
-            yield rows.reindex(columns=names).astype(object)
-
-    return run

@@ -144,17 +144,30 @@ def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _begins(rows: pd.DataFrame) -> np.ndarray:
+    """Whether a row is the first of its group."""
+    return (rows[KEY] != rows[KEY].shift()).to_numpy()
+
+
 class LongestGap(GroupScan):
-    """Of a customer's orders, the most days between one and the next. A state: orders, first day, last day, gap."""
+    """Of a customer's orders, the most days between one and the next that are known.
+
+    A state: orders, first known day, last known day, gap.
+    """
 
     state = "orders bigint, first bigint, last bigint, gap bigint"
 
     def summary(self, rows):
-        days = rows["day"]
-        return len(days), int(days.iloc[0]), int(days.iloc[-1]), int(days.diff().max()) if len(days) > 1 else 0
+        days = rows["day"].dropna()
+        if days.empty:
+            return len(rows), None, None, 0
+        return len(rows), int(days.iloc[0]), int(days.iloc[-1]), int(days.diff().max()) if len(days) > 1 else 0
 
     def merge(self, first, second):
-        return first[0] + second[0], first[1], second[2], max(first[3], second[3], second[1] - first[2])
+        orders = first[0] + second[0]
+        if pd.isna(first[1]) or pd.isna(second[1]):
+            return orders, *(second if pd.isna(first[1]) else first)[1:]
+        return orders, first[1], second[2], max(first[3], second[3], second[1] - first[2])
 
     def run(self, key, before, rows, last):
         for some in rows:
@@ -163,19 +176,31 @@ class LongestGap(GroupScan):
         if last:
             yield pd.DataFrame({"orders": [before[0]], "longest_gap": [before[3]]})
 
+    def whole(self, rows):
+        begins = _begins(rows)
+        gaps = rows["day"].diff().fillna(0).mask(begins, 0).astype("int64").to_numpy()
+        first = np.flatnonzero(begins)
+        orders = np.diff([*first, len(rows)])
+        yield pd.DataFrame(
+            {KEY: rows[KEY].to_numpy()[first], "orders": orders, "longest_gap": np.maximum.reduceat(gaps, first)}
+        )
+
 
 class Gaps(LongestGap):
-    """Of every order, its place among the group's and the days since the one before."""
+    """Of every order, its place among the group's and the days since the one before; 0 if one is not known."""
 
     def run(self, key, before, rows, last):
         for some in rows:
             nth = (before[0] if before else 0) + np.arange(1, len(some) + 1)
             gap = some["day"].diff()
-            gap.iloc[0] = some["day"].iloc[0] - before[2] if before else 0
-            yield pd.DataFrame({"o_orderkey": some["o_orderkey"], "nth": nth, "gap": gap.astype("int64")})
+            gap.iloc[0] = some["day"].iloc[0] - before[2] if before and not pd.isna(before[2]) else 0
+            gap = gap.fillna(0).astype("int64")
+            yield pd.DataFrame({"o_orderkey": some["o_orderkey"], "nth": nth.astype("int64"), "gap": gap})
             own = self.summary(some)
             before = own if before is None else self.merge(before, own)
 
+    whole = GroupScan.whole
+
 
 _DAY = "unix_date(cast(o_orderdate as date))"
 

@@ -82,3 +82,39 @@ def test_a_hot_group_is_many_tasks_work(spark, settings):
     found = group_scan(frame, Trail(), SCHEMA, ["at"], segment_rows=500)
     tasks = found.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     assert sum(tasks) == 5001 and max(tasks) < 3000
+
+
+class Calls(Trail):
+    """Of the groups that come together, their number, and what the greatest value is in them."""
+
+    def whole(self, rows):
+        yield rows.groupby(KEY, as_index=False).agg(n=("v", "max")).assign(kind="whole", trail=str(rows[KEY].nunique()))
+
+    def summary(self, rows):
+        return len(rows), ""
+
+    def run(self, key, before, rows, last):
+        yield from (pd.DataFrame({"kind": ["run"], "n": [some["v"].max()], "trail": "1"}) for some in rows)
+
+
+def test_small_groups_come_together(spark, settings):
+    """Of a batch of a segment, only the first and the last group are called for alone; whole numbers stay whole."""
+    settings(spark__sql__execution__arrow__maxRecordsPerBatch="500")
+    exact = 2**53 + 1
+    frame = spark.range(4000, numPartitions=4).selectExpr(f"concat('k', id div 4) as {KEY}", "id as at", f"{exact}L + 2 * id as v")
+    found = group_scan(frame, Calls(), SCHEMA, ["at"], segment_rows=1000).collect()
+    values = {f"k{i}": exact + 2 * (4 * i + 3) for i in range(1000)}
+    assert {row[KEY] for row in found} == set(values)
+    assert all(row.n == values[row[KEY]] for row in found if row.kind == "whole")
+    assert {row.n for row in found} >= set(values.values()) and all(row.n % 2 for row in found)
+    assert sum(row.kind == "run" for row in found) < 100
+    assert max(int(row.trail) for row in found) > 50
+
+
+def test_segments_that_several_tasks_read(spark, settings):
+    settings(parquet__block__size="4096", spark__sql__files__maxPartitionBytes="4096", spark__sql__files__openCostInBytes="1")
+    settings(spark__sql__execution__arrow__maxRecordsPerBatch="150")
+    rows = [("hot" if i % 3 else f"k{i % 700:03d}", (i * 7919) % 6007, "abc"[i % 3]) for i in range(6000)]
+    frame = spark.createDataFrame(rows, f"{KEY} string, at bigint, v string").repartition(3)
+    found = group_scan(frame, Trail(), SCHEMA, ["at"], segment_rows=700).collect()
+    assert sorted(map(tuple, found), key=repr) == expected(rows)
