@@ -199,7 +199,12 @@ class Gaps(LongestGap):
             own = self.summary(some)
             before = own if before is None else self.merge(before, own)
 
-    whole = GroupScan.whole
+    def whole(self, rows):
+        begins = _begins(rows)
+        places = np.arange(len(rows))
+        nth = places - np.maximum.accumulate(np.where(begins, places, 0)) + 1
+        gap = rows["day"].diff().fillna(0).mask(begins, 0).astype("int64")
+        yield pd.DataFrame({KEY: rows[KEY], "o_orderkey": rows["o_orderkey"], "nth": nth, "gap": gap})
 
 
 _DAY = "unix_date(cast(o_orderdate as date))"
@@ -221,7 +226,8 @@ def grouped_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
     )
     schema = f"{KEY} string, o_orderkey bigint, nth bigint, gap bigint"
-    found = group_scan(with_group_key(orders, ["customer"]), Gaps(), schema, ["day", "o_orderkey"], segment_rows=2000)
+    order = [F.col("day").asc_nulls_last(), F.col("o_orderkey").asc_nulls_last()]
+    found = group_scan(with_group_key(orders, ["customer"]), Gaps(), schema, order, segment_rows=2000)
     return found.select("o_orderkey", "nth", "gap")
 
 

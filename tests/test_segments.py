@@ -7,6 +7,7 @@ import pytest
 
 from sluice.operators.grouping import KEY
 from sluice.operators.segments import GroupScan, group_scan
+from sluice.queries.groups import grouped_scan
 
 
 class Trail(GroupScan):
@@ -118,3 +119,19 @@ def test_segments_that_several_tasks_read(spark, settings):
     frame = spark.createDataFrame(rows, f"{KEY} string, at bigint, v string").repartition(3)
     found = group_scan(frame, Trail(), SCHEMA, ["at"], segment_rows=700).collect()
     assert sorted(map(tuple, found), key=repr) == expected(rows)
+
+
+def test_unknown_days_come_last(spark, tmp_path):
+    """Places and gaps of single orders, as in the query's SQL; a third of the orders are one group."""
+    rows = [(i, i % 40, None if i % 11 == 0 else f"2000-01-{i % 23 + 1:02d}") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderdate string")
+    frame.selectExpr("o_orderkey", "o_custkey", "date(o_orderdate) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    groups, want = {}, {}
+    for key, customer, date in rows:
+        groups.setdefault(-1 if key % 3 == 0 else customer, []).append((date is None, date and int(date[-2:]), key))
+    for members in groups.values():
+        day = None
+        for nth, (unknown, now, key) in enumerate(sorted(members, key=lambda m: (m[0], m[1] or 0, m[2])), 1):
+            want[key] = nth, 0 if unknown or day is None else now - day
+            day = now
+    assert {row.o_orderkey: (row.nth, row.gap) for row in grouped_scan(spark, str(tmp_path)).collect()} == want
