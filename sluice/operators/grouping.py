@@ -21,8 +21,10 @@ from sluice.functions.records import json_group_key, key_of
 
 KEY = "group_key"
 
-_HELD_BYTES = 64 * 1024 * 1024
+_HELD_BYTES = 16 * 1024 * 1024
 _ROWS_OUT = 2000
+#: Fewer rows of a key cost less as they are than a call.
+_FEW_ROWS = 16
 
 GroupModule = Callable[[str, Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 Partial = Callable[[pd.DataFrame], pd.DataFrame]
@@ -89,7 +91,8 @@ def group_apply(
     * ``partial(rows)`` combines rows of many groups at once. It must keep the columns of
       ``df``, group key included, and be associative: its output is its own next input.
     * Without ``partial``, the module itself is the combiner, so the same holds for it; a
-      key that it sets while combining is replaced by the key of its input.
+      key that it sets while combining is replaced by the key of its input. Keys of which a
+      task holds a few rows only are passed on as they are.
     * ``use_combiner=False`` is for modules that must see every row of a group in one call.
       A group is then one task's work, so ``max_group_rows`` must say how many rows a group
       can have; the job fails, rather than giving a partial answer, if there are more.
@@ -200,14 +203,27 @@ def _as_partial(df: DataFrame, module: GroupModule, schema: str) -> Partial:
     columns = df.columns
 
     def partial(rows: pd.DataFrame) -> pd.DataFrame:
-        results, keys = [], []
-        for key, group in rows.groupby(KEY, sort=False):
+        numbers, _ = pd.factorize(rows[KEY])
+        order = np.argsort(numbers, kind="stable")
+        order = order[numbers[order] >= 0]
+        sizes = np.bincount(numbers[order])
+        few = np.repeat(sizes < _FEW_ROWS, sizes)
+        done, results, keys = [rows.take(order[few])[columns]], [], []
+        rows, sizes = rows.take(order[~few]), sizes[sizes >= _FEW_ROWS]
+        for begin, end in itertools.pairwise(np.cumsum([0, *sizes]).tolist()):
+            group = rows.iloc[begin:end]
+            key = group[KEY].iloc[0]
             for result in module(key, iter([group])):
                 results.append(result)
                 keys += [key] * len(result)
-        if not keys:
-            return rows.iloc[:0]
-        return _with_keys(results, keys)[columns]
+            # A frame takes kilobytes, so one per key would take many times what its rows do.
+            if len(results) >= _ROWS_OUT:
+                done.append(_with_keys(results, keys)[columns])
+                results, keys = [], []
+        if keys:
+            done.append(_with_keys(results, keys)[columns])
+        done = [part for part in done if len(part)] or done[:1]
+        return pd.concat(done, ignore_index=True) if len(done) > 1 else done[0]
 
     return partial
 

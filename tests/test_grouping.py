@@ -1,4 +1,5 @@
 import random
+import weakref
 
 import pandas as pd
 import pytest
@@ -94,6 +95,35 @@ def test_combining_holds_a_bounded_amount(monkeypatch):
     assert len(chunks) > 5 and sum(map(len, chunks)) == 500
 
 
+def test_a_module_as_its_combiner_holds_few_frames(spark):
+    """Of 6,000 keys, a bounded number of the module's frames is held; keys of few rows cost no call."""
+    alive, most, called = 0, 0, []
+
+    def gone():
+        nonlocal alive
+        alive -= 1
+
+    def counted(key, batches):
+        nonlocal alive, most
+        for found in total(key, batches):
+            weakref.finalize(found, gone)
+            alive += 1
+            most = max(most, alive)
+            called.append(key)
+            yield found
+
+    values = [(f"k{i % 6000}", i) for i in range(120_000)] + [(f"few{i}", i) for i in range(50)]
+    rows = pd.DataFrame(values, columns=[KEY, "v"]).sample(frac=1, random_state=1)
+    partial = grouping._as_partial(spark.createDataFrame([], SCHEMA), counted, SCHEMA)
+    found = partial(rows)
+    assert found.groupby(KEY)["v"].sum().to_dict() == rows.groupby(KEY)["v"].sum().to_dict()
+    assert len(found) == 6050 and list(found.columns) == [KEY, "v"] and found["v"].dtype == "int64"
+    assert most < 3000 and not any(key.startswith("few") for key in called)
+    again = partial(found)
+    assert again.groupby(KEY)["v"].sum().to_dict() == rows.groupby(KEY)["v"].sum().to_dict()
+    assert partial(rows.iloc[:0]).empty
+
+
 def test_a_hot_group_is_small_when_it_reaches_the_module(spark, skewed):
     frame, groups = skewed
 
