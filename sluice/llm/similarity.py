@@ -6,11 +6,15 @@ so they share at least T shingles, T from their sizes, and T of the query's list
 1. Every text becomes its set of shingle hashes; equal sets are one class from here on.
 2. All sets count their shingles in a table of 2^20 cells. The counts order the shingles, rare
    cells first: any fixed order is right, a good one is fast.
-3. A set of n posts its first n - T + 1 shingles. Linked sets share a posting. In a short list of
-   postings all pairs of fitting sizes are candidates, and the histograms of the sets' hashes,
-   which bound their difference from below, rule out nearly all that merely share a passage. A long list is sorted by size and broken where sizes cannot link. Either way no link
-   leaves the groups that candidates make. Sets alone in their groups are done; most are.
-4. A group's whole sets meet in a task, which builds inverted lists and searches them with
+3. A set of n posts its first n - T + 1 shingles. Linked sets share a posting, which is among the
+   first of the smaller set's, where T is that of two sets of its size. The sets of all lists of
+   postings that have the same least class are a block; a set is in it once, so a group of near
+   copies is not written as the pairs that each of their lists makes. In a block sets are compared by
+   the histograms of their hashes, which bound their difference from below and rule out nearly all
+   that merely share a passage, and a forest of edges connects those that may link. A very long list is
+   sorted by size and broken where sizes cannot link. Either way no link leaves the groups that
+   the edges make. Sets alone in their groups are done; most are.
+4. A group's texts meet in a task, which builds inverted lists of their sets and searches them with
    DivideSkip: the longest lists are set aside, the short ones are merged with a heap that skips
    what cannot reach T, and survivors are looked up in the long ones by bisection. Counts are
    exact, so a survivor is a link. A group too large for a task is cut into chunks, and each
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.components import components
@@ -41,7 +45,8 @@ THRESHOLD = 80  # hundredths
 CELL_BITS = 20
 BLOCKS = 64
 CHUNK_SHINGLES = 400_000
-SHORT_LIST = 32
+SHORT_LIST = 4096
+BLOCK_SETS = 4096
 _PIECE = 1 << 20
 _M = 1 << 64
 
@@ -128,6 +133,11 @@ def prefix_length(size: int, threshold: int = THRESHOLD) -> int:
     return size - -(-threshold * size // 100) + 1
 
 
+def first_length(size: int, threshold: int = THRESHOLD) -> int:
+    """How many of them can be the first that a linked set of this size or a larger one has in common with it."""
+    return size - required(size, size, threshold) + 1
+
+
 class _Lists:
     """The inverted lists of one component: for each shingle the ascending numbers of the sets that have it."""
 
@@ -272,6 +282,83 @@ def may_link(size: int, other: int, histogram: bytes, others: bytes, threshold:
     return np.abs(a - b).sum() <= size + other - 2 * required(size, other, threshold)
 
 
+class _Window:
+    """The sets of a block that later ones, which are larger, may link: at most ``BLOCK_SETS``."""
+
+    def __init__(self):
+        self.names = np.empty(BLOCK_SETS, np.int64)
+        self.sizes = np.empty(BLOCK_SETS, np.int64)
+        self.parts = np.empty(BLOCK_SETS, np.int64)
+        self.sums = np.empty((BLOCK_SETS, 64), np.int32)
+        self.whole: list[bytes] = []
+        self.low = self.high = 0
+
+    def clear(self) -> None:
+        self.whole.clear()
+        self.low = self.high = 0
+
+    def drop_below(self, size: int) -> None:
+        while self.low < self.high and self.sizes[self.low] < size:
+            self.low += 1
+        if self.low and self.high == BLOCK_SETS:
+            kept = slice(self.low, self.high)
+            self.high -= self.low
+            for column in (self.names, self.sizes, self.parts, self.sums):
+                column[: self.high] = column[kept].copy()
+            del self.whole[: self.low]
+            self.low = 0
+
+    def add(self, name: int, size: int, histogram: bytes, threshold: int) -> Iterator[tuple[int, int]]:
+        """Puts a set in; edges to one set of each part that it may link, which become one part with it."""
+        sums = np.frombuffer(histogram, np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int32)
+        at = self.high
+        self.names[at], self.sizes[at], self.parts[at], self.sums[at] = name, size, at, sums
+        self.whole.append(histogram)
+        self.high += 1
+        if self.low == at:
+            return
+        both = self.sizes[self.low : at] + size
+        apart = np.abs(self.sums[self.low : at] - sums).sum(axis=1)
+        hits = np.flatnonzero(apart <= both - 2 * -(-threshold * both // (100 + threshold))) + self.low
+        joined: set[int] = set()
+        for other, part in zip(hits.tolist(), self.parts[hits].tolist(), strict=True):
+            if part not in joined and may_link(int(self.sizes[other]), size, self.whole[other], histogram, threshold):
+                joined.add(part)
+                yield int(self.names[other]), name
+        for part in joined:
+            parts = self.parts[self.low : at]
+            parts[parts == part] = at
+
+
+def block_edges(given, threshold: int = THRESHOLD) -> Iterator[tuple[int, int]]:
+    """Edges that connect, in each block, all sets that ``may_link`` says may link; from ``block, class, n, histogram`` in
+    order of block and size.
+
+    A forest: sets already connected are not compared, so there are fewer edges than sets. Where more than
+    ``BLOCK_SETS`` sets of a block have sizes that fit, they are connected without being compared.
+    """
+    held, block, last, full = _Window(), None, None, False
+    for key, name, size, histogram in given:
+        if key != block:
+            held.clear()
+            block, last, full = key, None, False
+        if full and 100 * last[1] < threshold * size:
+            # No set before this one is large enough.
+            held.clear()
+            full = False
+        if not full:
+            held.drop_below(-(-threshold * size // 100))
+            if held.high == BLOCK_SETS:
+                names = held.names[: held.high].tolist()
+                yield from zip(names, names[1:], strict=False)
+                full = True
+        if full:
+            yield last[0], name
+        else:
+            yield from held.add(name, size, histogram, threshold)
+        last = name, size
+
+
 def _shingle_counts(documents: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
     """``id, class, n, histogram, mark`` of every row, written, the mark a hash of its text; and the cells' counts, 2^20 numbers whatever the input."""
     width = (1 << CELL_BITS) // BLOCKS
@@ -331,47 +418,42 @@ def _candidate_groups(
             if len(lately) >= 200_000:
                 lately.clear()
             lately.add(name)
-            length = prefix_length(len(found), threshold)
-            order = np.lexsort((found, rank[_cells(found)]))[:length]
-            for member in found[order].view(np.int64).tolist():
-                yield member, name, len(found)
-
-    postings = map_rows(documents.select("text"), work, "shingle bigint, class bigint, n bigint", every=50_000)
-    run = Window.partitionBy("shingle").orderBy("n", "class")
-    one = F.struct("n", "class")
-    lists = postings.withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("times > 1")
-    lists = lists.withColumn("before", F.lag(one).over(run)).withColumn(
-        "all", F.when(F.col("times") <= SHORT_LIST, F.collect_list(one).over(run.rowsBetween(1 - SHORT_LIST, -1)))
-    )
-    fits = (F.col("class") != F.col("other.class")) & (100 * F.col("other.n") >= threshold * F.col("n"))
-
-    def pairs(frame: DataFrame, other: Column) -> DataFrame:
-        found = frame.select("class", "n", other.alias("other")).where(fits)
-        return found.select(
-            F.least("class", "other.class").alias("a"), F.greatest("class", "other.class").alias("b")
-        ).distinct()
-
-    chained = pairs(lists.where(F.col("times") > SHORT_LIST), F.col("before"))
-    listed = pairs(lists.where(F.col("times") <= SHORT_LIST), F.explode("all"))
-    known = rows.where("class is not null").groupBy("class").agg(F.first("n").alias("n"), F.first("histogram").alias("h"))
-    first = known.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("h").alias("ha"))
-    second = known.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("h").alias("hb"))
-
-    def compare(given):
-        for a, b, size, other, histogram, others in given:
-            if may_link(size, other, histogram, others, threshold):
-                yield a, b
-
-    both = listed.join(first, "a").join(second, "b").select("a", "b", "na", "nb", "ha", "hb")
-    edges = map_rows(both, compare, "a bigint, b bigint", every=20_000).unionByName(chained)
-    return components(edges, label="candidates")
+            n = len(found)
+            order = np.lexsort((found, rank[_cells(found)]))[: prefix_length(n, threshold)]
+            first = first_length(n, threshold)
+            for place, member in enumerate(found[order].view(np.int64).tolist()):
+                yield member, name, 2 * n + (place >= first)
+
+    postings = map_rows(documents.select("text"), work, "shingle bigint, class bigint, size int", every=50_000)
+    of = Window.partitionBy("shingle")
+    least = F.min(F.when(F.col("size") % 2 == 0, F.col("size"))).over(of)
+    lists = postings.select(
+        "*",
+        F.count(F.lit(1)).over(of).alias("times"),
+        F.min("class").over(of).alias("block"),
+        F.max("class").over(of).alias("last"),
+        least.alias("least"),
+    ).where("block != last and size >= least")
+    n = F.shiftright("size", 1)
+    run = of.orderBy("size", "class")
+    before = F.lag(F.struct("class", n.alias("n"))).over(run).alias("other")
+    chained = lists.where(F.col("times") > SHORT_LIST).select("class", n.alias("n"), before)
+    chained = chained.where((F.col("class") != F.col("other.class")) & (100 * F.col("other.n") >= threshold * F.col("n")))
+    chained = chained.select(F.col("class").alias("a"), F.col("other.class").alias("b")).distinct()
+    known = rows.where("class is not null").groupBy("class").agg(F.first("n").alias("n"), F.first("histogram").alias("histogram"))
+    # Each class once in a block, however many lists it shares with the others there.
+    short = lists.where(F.col("times") <= SHORT_LIST).select("block", "class")
+    placed = short.repartition("class").distinct().join(known, "class").select("block", "class", "n", "histogram")
+    dealt = placed.repartition("block").sortWithinPartitions("block", "n", "class")
+    edges = map_rows(dealt, lambda given: block_edges(given, threshold), "a bigint, b bigint", every=20_000)
+    return components(edges.unionByName(chained), label="candidates")
 
 
 def _dealt_sets(
     source: DataFrame, words: int, threshold: int, chunk_shingles: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``id, class, n, histogram`` of every row of ``id, text``; ``class, first, mark, n, copies`` of every class; and the
-    whole sets of the candidate groups, dealt by ``component, low, high``: a pair of chunks."""
+    texts of the candidate groups' sets, dealt by ``component, low, high``: a pair of chunks."""
     rows, table = _shingle_counts(source, words)
     groups = staged(_candidate_groups(source, rows, table, words, threshold), "groups")
     one = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "mark"))).alias("one")
@@ -401,28 +483,23 @@ def _dealt_sets(
     known = map_rows(source.where("id is null").select("text"), classes, "wanted bigint, text string")
     others = known.join(limited_broadcast(nameless), "wanted").dropDuplicates(["wanted"])
     place = ["text", "wanted", "component", "chunks", "chunk"]
-
-    def sets(given):
-        for body, wanted, component, chunks, chunk in given:
-            found = shingles(body, words)
-            # A mark may stand for several texts; only the one that is meant is taken.
-            if class_of(found) != wanted:
-                continue
-            data = found.tobytes()
-            for other in range(chunks):
-                low, high = min(chunk, other), max(chunk, other)
-                yield component, low, high, wanted, chunk, data
-
-    cells = map_rows(
-        texts.select(place).unionByName(others.select(place)),
-        sets,
-        "component bigint, low int, high int, class bigint, chunk int, members binary",
+    # Texts travel, not sets, which take twice their room.
+    cells = texts.select(place).unionByName(others.select(place)).select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+    )
+    cells = cells.select(
+        "component",
+        F.least("chunk", "other").alias("low"),
+        F.greatest("chunk", "other").alias("high"),
+        F.col("wanted").alias("class"),
+        "chunk",
+        "text",
     )
     dealt = cells.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high", "class")
     return rows, sizes, dealt
 
 
-def _per_cell(dealt: DataFrame, find) -> DataFrame:
+def _per_cell(dealt: DataFrame, words: int, find) -> DataFrame:
     """``a, b`` of the classes that ``find`` pairs, from the cell's classes, their chunks and sets, and its chunks."""
 
     def search(given):
@@ -435,12 +512,16 @@ def _per_cell(dealt: DataFrame, find) -> DataFrame:
                 for a, b in find(list(sets), chunks, current[1:]):
                     yield names[a], names[b]
 
-        for component, low, high, name, chunk, data in given:
+        for component, low, high, name, chunk, body in given:
             if (component, low, high) != current:
                 yield from pairs()
                 held, current = [], (component, low, high)
-            if not held or held[-1][0] != name:
-                held.append((name, chunk, np.frombuffer(data, np.uint64)))
+            if held and held[-1][0] == name:
+                continue
+            found = shingles(body, words)
+            # A mark may stand for several texts; only the one that is meant is taken.
+            if class_of(found) == name:
+                held.append((name, chunk, found))
         yield from pairs()
 
     return map_rows(dealt, search, "a bigint, b bigint")
@@ -455,7 +536,7 @@ def _linked_classes(
     def connect(sets, chunks, cell):
         return ((a, b) for a, b in enumerate(linked_components(sets, threshold)) if a != b)
 
-    joined = components(_per_cell(dealt, connect), label="links")
+    joined = components(_per_cell(dealt, words, connect), label="links")
     homes = joined.join(sizes, joined["id"] == sizes["class"]).select("class", "component", "first")
     least = homes.groupBy("component").agg(F.min("first").alias("least"))
     named = homes.join(least, "component").select("class", F.col("component").alias("home"), "least")
@@ -517,7 +598,7 @@ def links(
             if (min(chunks[a], chunks[b]), max(chunks[a], chunks[b])) == cell:
                 yield a, b
 
-    found = _per_cell(dealt, pair).select(F.least("a", "b").alias("class"), F.greatest("a", "b").alias("other"))
+    found = _per_cell(dealt, words, pair).select(F.least("a", "b").alias("class"), F.greatest("a", "b").alias("other"))
     one = sizes.select("class", F.col("first").alias("doc_id"), "copies")
     two = sizes.select(F.col("class").alias("other"), F.col("first").alias("other_id"), F.col("copies").alias("others"))
     between = found.join(one, "class").join(two, "other").select(

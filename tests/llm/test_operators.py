@@ -543,6 +543,59 @@ def test_jaccard_links(spark, chunk):
     assert len({(row["class"], row.other) for row in got}) == len(got)
 
 
+def test_candidates_of_near_copies_are_few_edges(spark, monkeypatch):
+    """A group of near copies gives some edges for each of its sets, not one for each pair of them."""
+    rng = random.Random(17)
+    bases = [[f"b{group}_{i}" for i in range(150)] for group in range(3)]
+    texts = []
+    for base in bases:
+        for copy in range(40):
+            words = list(base)
+            words[rng.randrange(150)] = f"c{copy}"
+            texts.append(" ".join(words))
+    found = []
+
+    def kept(edges, label):
+        found.append(edges.count())
+        return components(edges, label=label)
+
+    monkeypatch.setattr(similarity, "components", kept)
+    got = similarity.join(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert sorted({row.component_id for row in got}) == [0, 40, 80]
+    assert found[0] < 4 * len(texts)
+
+
+@pytest.mark.parametrize("most", [4096, 8])
+def test_edges_of_a_block(monkeypatch, most):
+    """Sets of a block that may link are connected, by fewer edges than sets, however many the block holds at once."""
+    monkeypatch.setattr(similarity, "BLOCK_SETS", most)
+    rng = np.random.default_rng(23)
+    rows = []
+    for block in range(3):
+        sets = []
+        for _ in range(12):
+            base = rng.integers(0, 1 << 63, int(rng.integers(3, 900)), np.uint64)
+            for _ in range(int(rng.integers(1, 5))):
+                copy = base.copy()
+                copy[: len(copy) // 50] = rng.integers(0, 1 << 63, len(copy) // 50, np.uint64)
+                sets.append(np.unique(copy))
+        sets.sort(key=len)
+        rows += [(block, 100 * block + i, len(found), similarity._histogram(found).tobytes()) for i, found in enumerate(sets)]
+    edges = list(similarity.block_edges(iter(rows)))
+    forest = Forest()
+    for a, b in edges:
+        assert a // 100 == b // 100
+        forest.join(a, b)
+    linked = 0
+    for block, a, size, histogram in rows:
+        for other, b, other_size, other_histogram in rows:
+            fits = 100 * size >= 80 * other_size and a < b and block == other
+            if fits and similarity.may_link(size, other_size, histogram, other_histogram):
+                assert forest.find(a) == forest.find(b)
+                linked += 1
+    assert 0 < linked and len(edges) < len(rows)
+
+
 def test_divide_skip_finds_all():
     rng = random.Random(4)
     for _ in range(60):
