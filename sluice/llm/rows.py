@@ -15,6 +15,7 @@ from sluice.session import scratch_path
 
 FLUSH_ROWS = 2_000
 FLUSH_BYTES = 8 << 20
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def map_rows(
@@ -54,10 +55,22 @@ def map_rows(
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """The frame written to the shared folder and read back: cuts lineage, survives lost executors."""
-    where = scratch_path(df.sparkSession, label)
-    df.write.parquet(where)
-    return df.sparkSession.read.schema(df.schema).parquet(where)
+    """The frame written to the shared folder and read back: cuts lineage, survives lost executors.
+
+    The shuffle files of the write go with its end; otherwise they stay until the driver happens to collect its garbage.
+    """
+    spark = df.sparkSession
+    where = scratch_path(spark, label)
+    before = spark.conf.get(_FREED, None)
+    spark.conf.set(_FREED, "true")
+    try:
+        df.write.parquet(where)
+    finally:
+        if before is None:
+            spark.conf.unset(_FREED)
+        else:
+            spark.conf.set(_FREED, before)
+    return spark.read.schema(df.schema).parquet(where)
 
 
 def limited_broadcast(df: DataFrame, rows: int = 1_000_000) -> DataFrame:

@@ -6,6 +6,7 @@ import io
 import os
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -17,6 +18,7 @@ from tokenizers import Tokenizer
 
 from sluice.llm import bpe, caps, dac, decontaminate, pieces, quality, secret_scan, similarity, token_counts, toxicity, warc
 from sluice.llm.components import Forest, components
+from sluice.llm.rows import staged
 
 SF_DIR = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -596,6 +598,26 @@ def test_edges_of_a_block(monkeypatch, most):
     assert 0 < linked and len(edges) < len(rows)
 
 
+def test_staged_leaves_no_shuffle_files(spark):
+    """A written table's shuffles go with its write; they stayed until the driver's garbage was collected."""
+    frame = spark.range(5000).select(F.xxhash64("id").alias("h")).groupBy("h").count()
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {name for name in disk.getAllBlocks().mkString(" ").split() if name.startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files(), spark.conf.get(setting)
+    table = staged(frame, "shuffled")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(setting) == was
+    assert table.count() == 5000
+
+
 def test_divide_skip_finds_all():
     rng = random.Random(4)
     for _ in range(60):
